@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings import tables as t
-from bindings.oracle import ALIASES, CTES, SALE_TYPE, SPORT, _key, sql
-from bindings.tables import AS_OF, RUNS_AS_OF
+from bindings.oracle import SALE_TYPE, SPORT, _key, sql
+from bindings.tables import AS_OF
 from hammerline import fixed
 from hammerline.functions import sales as fs
 from hammerline.functions import text as tx
 from hammerline.operators import checks, dedup, outliers, resolve, rolling, scd, validate
 from hammerline.plans import certs, ingest, marts, monitor, parsing, serving
-from hammerline.session import broadcast_if_small, materialise, scratch_path, write_table
+from hammerline.schemas import RAW_SALE
+from hammerline.session import materialise, scratch_path, write_table
 from hammerline.sources import scans, sinks
 from hammerline.streaming import ingest as streaming
 
@@ -199,7 +200,7 @@ def date_parts(spark, sf):
 @query(
     sql(
         f"SELECT listing_id, l_partkey, {SPORT} AS sport FROM (SELECT *, "
-        "concat(CASE l_partkey % 3 WHEN 0 THEN 'Topps Chrome ' WHEN 1 THEN 'UFC ' ELSE '' END, fighter_name) "
+        "CASE l_partkey % 3 WHEN 0 THEN 'Topps Chrome ' WHEN 1 THEN 'UFC ' ELSE '' END || fighter_name "
         "AS fighter_name_canonical FROM sales)"
     )
 )
@@ -599,7 +600,7 @@ def union_sources(spark, sf):
     """The three staging models over the per-source raw tables, then their union."""
     rows = t.enriched(spark, sf).withColumn("processing_date", t.as_of())
     path = scratch_path(spark, "source_tables")
-    sinks.write_source_tables(rows, path)
+    sinks.write_source_tables(rows, path, grain="month")
     stages = [
         marts.staged(scans.scan_table(spark, path, source), source, t.as_of_future())
         for source in fixed.STAGED_SOURCES
@@ -685,7 +686,7 @@ def market_overview(spark, sf):
 
 @query(
     sql(
-        f"""SELECT count(DISTINCT fighter_id) AS unique_fighters, CAST(sum(sale_count_30d) AS BIGINT) AS total_sales_30d,
+        f"""SELECT count(DISTINCT fighter_id) AS unique_fighters, CAST(coalesce(sum(sale_count_30d), 0) AS BIGINT) AS total_sales_30d,
             (SELECT fighter_name FROM ({OVERVIEW}) LIMIT 1) AS top_fighter FROM ({OVERVIEW})"""
     )
 )
@@ -1026,8 +1027,6 @@ CERT_HITS = r"""
                 FROM (SELECT doc_id, regexp_extract_all(text,
                       '(?i)(?:\bcert(?:ificate)?\s*[:#]?\s*|PSA\s*cert\s*[:#]?\s*)?[0-9]+') AS hits FROM documents)))
     WHERE (worded AND length(run) >= 6) OR (NOT worded AND length(run) = 8)"""
-CERT_FOUND = f"""SELECT cert_number, min(doc_id) AS doc_id, min_by(doc_id, doc_id) AS d FROM (
-    SELECT DISTINCT doc_id, coalesce(nullif(ltrim(digits, '0'), ''), '0') AS cert_number FROM ({CERT_HITS})) GROUP BY cert_number"""
 
 
 @query(
@@ -1300,7 +1299,8 @@ def records_over_time(spark, sf):
 )
 def batch_counters(spark, sf):
     seen = t.sales(spark, sf).where(SEEN)
-    counters = monitor.batch_counters(validate.validate_sales(_dirty(spark, sf), YEAR), seen)
+    validated = write_table(validate.validate_sales(_dirty(spark, sf), YEAR), "validated")
+    counters = monitor.batch_counters(validated, seen)
     listed = F.transform("errors", lambda e: F.concat_ws(":", e["error"], e["records"].cast("string")))
     return counters.withColumn("errors", F.concat_ws("; ", listed))
 
@@ -1310,10 +1310,7 @@ def batch_counters(spark, sf):
 RAW_OUT = ["listing_id", "source", "sale_price_usd", "sale_date", "listing_title", "grade_numeric", "record_hash"]
 
 
-def _raw_records(spark, sf):
-    from hammerline.schemas import RAW_SALE
-
-    rows = t.sales(spark, sf).withColumn("scraped_at", F.col("scraped_at").cast("timestamp"))
+def _raw_records(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SALE.fields])
 
 
@@ -1321,7 +1318,7 @@ def _raw_records(spark, sf):
 def roundtrip_raw(spark, sf):
     """NDJSON folders by ingest date, read back for one source."""
     path = scratch_path(spark, "raw")
-    sinks.append_raw(_raw_records(spark, sf), path)
+    sinks.append_raw(_raw_records(t.sales(spark, sf)), path, t.as_of())
     parsed, _ = scans.split_corrupt(scans.scan_raw(spark, path, "pwcc"))
     return parsed.select(*RAW_OUT)
 
@@ -1340,7 +1337,7 @@ def roundtrip_stage(spark, sf):
 @query(sql("SELECT listing_title FROM sales"))
 def roundtrip_titles(spark, sf):
     path = scratch_path(spark, "raw_titles")
-    sinks.append_raw(_raw_records(spark, sf), path)
+    sinks.append_raw(_raw_records(t.sales(spark, sf)), path, t.as_of())
     return scans.scan_titles(spark, path)
 
 
@@ -1374,19 +1371,38 @@ def roundtrip_status(spark, sf):
     return spark.read.parquet(path).select(*STATUS_OUT)
 
 
-@query(sql(f"SELECT {', '.join(RANGE_OUT)} FROM ({RANGE_SQL.replace('enriched', 'fixed_enriched')})", (
-    "fixed_enriched",
-    f"""SELECT n.* REPLACE ({SALE_TYPE} AS sale_type), d.canonical AS fighter_name_canonical
-        FROM normalised n LEFT JOIN dictionary d ON d.priority = n.l_partkey % 120""",
-)) if False else None)
+@query(
+    sql(
+        """SELECT fighter_name_canonical, grade, count(*) AS sales,
+                  CAST(max(n) AS BIGINT) AS busiest_30d
+           FROM (SELECT *, count(*) OVER (PARTITION BY fighter_name_canonical, grade, grader ORDER BY sale_date
+                                          RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS n
+                 FROM (SELECT s.*, d.canonical AS fighter_name_canonical,
+                              coalesce(CAST(s.sale_price_usd AS DOUBLE) < b.q1 - 3.0 * (b.q3 - b.q1)
+                                       OR CAST(s.sale_price_usd AS DOUBLE) > b.q3 + 3.0 * (b.q3 - b.q1), FALSE) AS is_outlier
+                       FROM raw_latest s JOIN dictionary d ON d.priority = s.l_partkey % 120
+                       LEFT JOIN (SELECT source, grade, quantile_disc(CAST(sale_price_usd AS DOUBLE), 0.25) AS q1,
+                                         quantile_disc(CAST(sale_price_usd AS DOUBLE), 0.75) AS q3
+                                  FROM raw_latest GROUP BY source, grade) b
+                         ON s.source = b.source AND s.grade = b.grade)
+                 WHERE grade IS NOT NULL AND grader IS NOT NULL AND NOT is_outlier)
+           GROUP BY fighter_name_canonical, grade""",
+        ("dictionary", f"SELECT * FROM (VALUES {FIXED_ALIASES}) v(priority, alias, canonical)"),
+        (
+            "raw_latest",
+            """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_hash
+                      ORDER BY scraped_at DESC, sale_price_usd, listing_title) AS rn FROM sales) WHERE rn = 1""",
+        ),
+    )
+)
 def stages_end_to_end(spark, sf):
     """Raw NDJSON through all four stages on disk, with the built-in dictionary."""
     layout = scans.Layout(scratch_path(spark, "layout"))
     names = F.create_map(*[F.lit(x) for i, alias, _ in resolve.alias_rows() for x in (i, alias)])
-    rows = _raw_records(spark, sf).withColumn(
-        "fighter_name", F.try_element_at(names, F.pmod(F.xxhash64("listing_title"), F.lit(120)).cast("int"))
+    named = t.sales(spark, sf).withColumn(
+        "fighter_name", F.try_element_at(names, (F.col("l_partkey") % 120).cast("int"))
     )
-    sinks.append_raw(rows, layout.raw)
+    sinks.append_raw(_raw_records(named), layout.raw, t.as_of())
     ingest.run_stages(spark, layout)
     return spark.read.parquet(layout.benchmarks).groupBy("fighter_name_canonical", "grade").agg(
         F.count("*").alias("sales"), F.max("sale_count_30d").alias("busiest_30d")

@@ -120,7 +120,8 @@ def recent_errors(runs: DataFrame, n_runs: int = 20, n: int = 10) -> DataFrame:
 def batch_counters(validated: DataFrame, seen: DataFrame, *keys: str) -> DataFrame:
     """Scraped, valid, new and written per batch, with counts per error message.
 
-    New records are counted after removing copies within the batch. Messages are counted
+    ``validated`` is read three times and should be a written table. New records are
+    counted after removing copies within the batch. Messages are counted
     before they are listed, so the list is as long as the number of rules.
     """
     keys = keys or ("source",)

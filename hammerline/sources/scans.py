@@ -58,9 +58,12 @@ def scan_raw(spark: SparkSession, raw_dir: str, source: str | None = None, hive:
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parsed records, and the text of the lines that are not JSON."""
+    """Parsed records, and the lines that do not fit the schema.
+
+    Both sides keep all fields, so the same fields are parsed and the same lines fail.
+    """
     bad = F.col(CORRUPT).isNotNull()
-    return raw.where(~bad).drop(CORRUPT), raw.where(bad).select("source_file", F.col(CORRUPT).alias("line"))
+    return raw.where(~bad).drop(CORRUPT), raw.where(bad).withColumnRenamed(CORRUPT, "line")
 
 
 def scan_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

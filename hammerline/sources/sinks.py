@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline import fixed
@@ -17,6 +17,9 @@ from hammerline.functions.sales import path_parts
 from hammerline.operators.dedup import merge_seen
 
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def _partitioned(df: DataFrame, by: Sequence[str]):
     return df.hint("rebalance", *by).write.partitionBy(*by)
 
@@ -31,19 +34,27 @@ def write_benchmarks(df: DataFrame, path: str) -> None:
     write_stage(df, path, ["processing_date"])
 
 
-def write_source_tables(df: DataFrame, path: str, sources: Sequence[str] = tuple(fixed.SOURCES)) -> None:
-    """K3: the enriched rows as one folder per source, by day, replaced as a whole.
+def write_source_tables(
+    df: DataFrame, path: str, sources: Sequence[str] = tuple(fixed.SOURCES), grain: str = "day"
+) -> None:
+    """K3: the enriched rows as one folder per source and day, replaced as a whole.
 
-    One pass writes all sources; a source without rows simply has no folder.
+    One pass writes all sources; a source without rows simply has no folder. For thin
+    histories ``grain="month"`` keeps files from becoming tiny.
     """
     rows = df.where(F.col("source").isin(list(sources))).drop("processing_date")
-    _partitioned(rows, ["source", "sale_date"]).mode("overwrite").parquet(path)
+    if grain == "day":
+        _partitioned(rows, ["source", "sale_date"]).mode("overwrite").parquet(path)
+    else:
+        monthly = rows.withColumn("sale_month", F.trunc("sale_date", grain))
+        _partitioned(monthly, ["source", "sale_month"]).mode("overwrite").parquet(path)
 
 
-def append_raw(df: DataFrame, path: str, ts: str = "scraped_at") -> None:
-    """K4: NDJSON appended below source/year/month/day."""
+def append_raw(df: DataFrame, path: str, as_of: Column | None = None) -> None:
+    """K4: NDJSON appended below source/year/month/day of the capture run."""
     by = ["source", "year", "month", "day"]
-    _partitioned(df.withColumns(path_parts(ts)), by).mode("append").json(path)
+    now = F.current_timestamp() if as_of is None else as_of
+    _partitioned(df.withColumns(path_parts(now)), by).mode("append").json(path)
 
 
 def append_status(status: DataFrame, path: str) -> None:
@@ -55,7 +66,7 @@ def append_status(status: DataFrame, path: str) -> None:
 
 def append_run_log(runs: DataFrame, path: str) -> None:
     """K6: run summaries; rows are identified by (run_id, source)."""
-    runs.write.mode("append").json(path)
+    runs.write.mode("append").option("timestampNTZFormat", MICROS).option("timestampFormat", MICROS + "XXX").json(path)
 
 
 def save_mart(df: DataFrame, path: str, day: str | None = None) -> None:
