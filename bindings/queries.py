@@ -25,13 +25,22 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None):
-    """Register a query under its function name."""
+def query(oracle: str | None = None, number: str = "", text: str = ""):
+    """Register a query under its function name.
+
+    Columns named in ``number`` leave both sides as doubles, those in ``text`` as strings:
+    decimals, dates, times and nullable integers have no common plain form otherwise.
+    """
+    casts = {**dict.fromkeys(number.split(), "double"), **dict.fromkeys(text.split(), "string")}
 
     def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            return fn(spark, sf).withColumns({name: F.col(name).cast(kind) for name, kind in casts.items()})
+
+        QUERIES[fn.__name__] = run if casts else fn
         if oracle is not None:
-            ORACLES[fn.__name__] = oracle
+            replaced = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in casts.items())
+            ORACLES[fn.__name__] = f"SELECT * REPLACE ({replaced}) FROM ({oracle})" if casts else oracle
         return fn
 
     return add
@@ -48,7 +57,7 @@ SALE_OUT = ["record_hash", "listing_id", "source", "sale_price_usd", "sale_date"
 SALE_SQL = ", ".join(SALE_OUT)
 
 
-@query(sql(f"SELECT {SALE_SQL}, l_partkey FROM ingested"))
+@query(sql(f"SELECT {SALE_SQL}, l_partkey FROM ingested"), number="sale_price_usd", text="sale_date")
 def keep_latest(spark, sf):
     return t.ingested(spark, sf).select(*SALE_OUT, "l_partkey")
 
@@ -92,8 +101,7 @@ def _seen_and_batch(spark, sf):
                    sale_price_usd, listing_title, grade ASC NULLS LAST, sale_type) AS rn
             FROM sales WHERE sale_date >= DATE '1997-06-01') b
         WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM sales s WHERE s.record_hash = b.record_hash AND s.{SEEN})"""
-    )
-)
+    ), number="sale_price_usd", text="sale_date")
 def anti_seen(spark, sf):
     seen, batch = _seen_and_batch(spark, sf)
     return dedup.new_records(batch, seen, ties=t.TIES).select("record_hash", "listing_id", "sale_price_usd", "sale_date")
@@ -121,7 +129,7 @@ def set_difference(spark, sf):
 @query(
     sql(
         """SELECT listing_id, source, l_partkey, source = 'pwcc' AS stage_premium,
-           CASE source WHEN 'ebay' THEN FALSE WHEN 'pwcc' THEN TRUE WHEN 'myslabs' THEN TRUE END AS mart_premium
+           source IN ('pwcc', 'myslabs') AS mart_premium
            FROM sales"""
     )
 )
@@ -132,7 +140,7 @@ def buyer_premium(spark, sf):
         "source",
         "l_partkey",
         fs.stage_premium().alias("stage_premium"),
-        F.try_element_at(mart, F.col("source")).alias("mart_premium"),
+        F.coalesce(F.try_element_at(mart, F.col("source")), F.lit(False)).alias("mart_premium"),
     )
 
 
@@ -254,7 +262,7 @@ def validate_rows(spark, sf):
     return checked.select("record_hash", "l_partkey", F.concat_ws("; ", "errors").alias("errors"))
 
 
-@query(sql(f"SELECT record_hash, l_partkey, sale_price_usd FROM ({DIRTY}) WHERE {ERRORS_SQL} = ''"))
+@query(sql(f"SELECT record_hash, l_partkey, sale_price_usd FROM ({DIRTY}) WHERE {ERRORS_SQL} = ''"), number="sale_price_usd")
 def valid_rows(spark, sf):
     valid, _ = validate.split_valid(validate.validate_sales(_dirty(spark, sf), YEAR))
     return valid.select("record_hash", "l_partkey", "sale_price_usd")
@@ -286,7 +294,7 @@ def _count(source: str, condition: str) -> str:
 
 def _dups(source: str, column: str, what: str) -> str:
     return (
-        f"(SELECT coalesce({what}, 0) FROM (SELECT {column}, count(*) AS n FROM {source} "
+        f"(SELECT CAST(coalesce({what}, 0) AS BIGINT) FROM (SELECT {column}, count(*) AS n FROM {source} "
         f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1))"
     )
 
@@ -363,7 +371,7 @@ def card_tests(spark, sf):
     return checks.run_checks(cards, checks.MART_TESTS["dim_card"])
 
 
-@query(sql("SELECT listing_id, l_partkey, sale_price_usd FROM (" + DIRTY + ") WHERE sale_price_usd <= 0"))
+@query(sql("SELECT listing_id, l_partkey, sale_price_usd FROM (" + DIRTY + ") WHERE sale_price_usd <= 0"), number="sale_price_usd")
 def non_positive_prices(spark, sf):
     return checks.non_positive_prices(_dirty(spark, sf)).select("listing_id", "l_partkey", "sale_price_usd")
 
@@ -519,7 +527,7 @@ RANGE_OUT = [
 ]
 
 
-@query(sql(RANGE_SQL))
+@query(sql(RANGE_SQL), number="sale_price_usd", text="sale_date")
 def rolling_benchmarks(spark, sf):
     return ingest.benchmark(t.enriched(spark, sf), t.as_of()).select(*RANGE_OUT)
 
@@ -531,8 +539,7 @@ def rolling_benchmarks(spark, sf):
            FROM sales WHERE grade IS NOT NULL
            WINDOW w AS (PARTITION BY source, grade ORDER BY sale_date
                         RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW)"""
-    )
-)
+    ), text="sale_date")
 def rolling_weighted(spark, sf):
     """The optional weighted mean."""
     rows = t.sales(spark, sf).dropna(subset=["grade"])
@@ -555,12 +562,12 @@ BENCH_OUT = [
 ]
 
 
-@query(sql(f"SELECT {', '.join(BENCH_OUT)} FROM pct"))
+@query(sql(f"SELECT {', '.join(BENCH_OUT)} FROM pct"), number="grade_id", text="benchmark_date")
 def rolling_rows(spark, sf):
     return t.benchmarks(spark, sf, t.entities(spark, sf)).select(*BENCH_OUT)
 
 
-@query(like("rolling_rows"))
+@query(like("rolling_rows"), number="grade_id", text="benchmark_date")
 def rolling_rows_blocks(spark, sf):
     """The same frames with groups above 1,000 sales cut into blocks."""
     rows = write_table(t.fact(spark, sf, t.entities(spark, sf)), "fact")
@@ -590,12 +597,12 @@ STAGED_OUT = [
 ]
 
 
-@query(sql(f"SELECT {', '.join(STAGED_OUT)} FROM staged"))
+@query(sql(f"SELECT {', '.join(STAGED_OUT)} FROM staged"), number="sale_price_usd", text="sale_date")
 def staging_one_scan(spark, sf):
     return marts.staged_sales(t.enriched(spark, sf), t.as_of_future()).select(*STAGED_OUT)
 
 
-@query(like("staging_one_scan"))
+@query(like("staging_one_scan"), number="sale_price_usd", text="sale_date")
 def union_sources(spark, sf):
     """The three staging models over the per-source raw tables, then their union."""
     rows = t.enriched(spark, sf).withColumn("processing_date", t.as_of())
@@ -635,12 +642,12 @@ def resolve_dim(spark, sf):
 FACT_OUT = [c for c in marts.FACT_COLUMNS if c not in ("scraped_at", "ingested_at")]
 
 
-@query(sql(f"SELECT {', '.join(FACT_OUT)} FROM fact"))
+@query(sql(f"SELECT {', '.join(FACT_OUT)} FROM fact"), number="sale_price_usd grade_id", text="sale_date")
 def star_fact(spark, sf):
     return t.fact(spark, sf, t.entities(spark, sf)).select(*FACT_OUT)
 
 
-@query(like("star_fact"))
+@query(like("star_fact"), number="sale_price_usd grade_id", text="sale_date")
 def star_fact_joined(spark, sf):
     """The fact with the card key looked up by a join instead of derived."""
     dim = t.entities(spark, sf)
@@ -653,8 +660,7 @@ def star_fact_joined(spark, sf):
         """SELECT s.listing_id, s.l_partkey, s.grader, s.grade_numeric, g.grade_id FROM sales s
            LEFT JOIN dim_grade g ON upper(trim(s.grader)) = upper(g.grader)
              AND s.grade_numeric IS NOT DISTINCT FROM g.grade_numeric"""
-    )
-)
+    ), number="grade_id")
 def grade_join_raw(spark, sf):
     rows = marts.join_grade(t.sales(spark, sf), marts.dim_grade(spark), raw_match=True)
     return rows.select("listing_id", "l_partkey", "grader", "grade_numeric", "grade_id")
@@ -679,7 +685,7 @@ def _overview(spark, sf):
     return serving.market_overview(t.benchmarks(spark, sf, dim), dim, grades, t.as_of())
 
 
-@query(sql(OVERVIEW))
+@query(sql(OVERVIEW), text="benchmark_date")
 def market_overview(spark, sf):
     return _overview(spark, sf)
 
@@ -769,7 +775,7 @@ def _history(spark, sf):
     return serving.price_history(t.benchmarks(spark, sf, dim), grades, t.as_of())
 
 
-@query(sql(HISTORY))
+@query(sql(HISTORY), text="date")
 def fighter_history(spark, sf):
     return _history(spark, sf)
 
@@ -782,8 +788,7 @@ LABELS = ["PSA 10", "PSA 9", "BGS 9.5", "BGS 9", "SGC 10"]
         "SELECT fighter_id, date, "
         + ", ".join(f"max(vwap_30d) FILTER (WHERE grade_label = '{x}') AS \"{x}\"" for x in LABELS)
         + f" FROM ({HISTORY}) GROUP BY fighter_id, date"
-    )
-)
+    ), text="date")
 def price_pivot(spark, sf):
     return serving.price_pivot(_history(spark, sf), LABELS)
 
@@ -800,7 +805,7 @@ RECENT = """SELECT * EXCLUDE (rn) FROM (
     FROM fact s JOIN dim_grade g ON s.grade_id = g.grade_id WHERE s.fighter_id IS NOT NULL) WHERE rn <= 20"""
 
 
-@query(sql(RECENT))
+@query(sql(RECENT), text="sale_date")
 def recent_sales(spark, sf):
     dim, grades = _star(spark, sf)
     return serving.recent_sales(t.fact(spark, sf, dim), grades)
@@ -819,8 +824,7 @@ def recent_sales(spark, sf):
                               first(listing_title ORDER BY sale_date DESC, sale_id) AS newest_title,
                               last(listing_title ORDER BY sale_date DESC, sale_id) AS oldest_title
                        FROM ({RECENT}) GROUP BY fighter_id) r ON f.fighter_id = r.fighter_id"""
-    )
-)
+    ), text="first_point")
 def fighter_detail(spark, sf):
     """The nested answer for all entities, summarised so that SQL can state it."""
     dim, grades = _star(spark, sf)
@@ -878,8 +882,7 @@ DIFFERS = (
             WHERE o.fighter_id IS NULL OR {DIFFERS}""",
         ("o", AT.format(d=FIRST)),
         ("n", AT.format(d=SECOND)),
-    )
-)
+    ), text="valid_from valid_to")
 def scd2_snapshot(spark, sf):
     """Two snapshot runs over the last 60 days of benchmarks, so keys also disappear."""
     rows = write_table(t.benchmarks(spark, sf, t.entities(spark, sf)), "benchmarks")
@@ -936,8 +939,7 @@ PRICE_TEXT = """CASE l_partkey % 5 WHEN 0 THEN concat('$', CAST(sale_price_usd A
     sql(
         f"""SELECT listing_id, l_partkey, CASE WHEN l_partkey % 5 IN (0, 1) THEN sale_price_usd
             WHEN l_partkey % 5 = 4 THEN CAST(l_partkey * 1000 + 500 AS DECIMAL(12,2)) END AS price FROM sales"""
-    )
-)
+    ), number="price")
 def price_text(spark, sf):
     rows = t.sales(spark, sf).withColumn("raw", F.expr(PRICE_TEXT))
     return rows.select("listing_id", "l_partkey", tx.price_from_text("raw").alias("price"))
@@ -947,8 +949,7 @@ def price_text(spark, sf):
     sql(
         f"""SELECT listing_id, l_partkey, CASE WHEN l_partkey % 6 = 5 THEN DATE '{AS_OF}' ELSE sale_date END AS parsed
             FROM sales"""
-    )
-)
+    ), text="parsed")
 def date_text(spark, sf):
     """Five spellings and one unreadable text."""
     day = F.col("sale_date")
@@ -987,8 +988,7 @@ def title_case(spark, sf):
     sql(
         f"""SELECT listing_id, l_partkey, CASE WHEN l_partkey % 4 = 3 THEN NULL ELSE sale_date END AS sale_date,
             CASE l_partkey % 4 WHEN 1 THEN 'auction' WHEN 2 THEN 'auction' ELSE 'buy_it_now' END AS sale_type FROM sales"""
-    )
-)
+    ), text="sale_date")
 def sold_line(spark, sf):
     wording = F.element_at(
         F.array(F.lit("Buy Now"), F.lit("Weekly Auction"), F.lit("Premier"), F.lit("nothing")),
@@ -1084,8 +1084,7 @@ TITLED = r"""(SELECT *, regexp_extract(listing_title, '(?i)\b(PSA|BGS|SGC|CGC)\s
             listing_url, CASE WHEN l_partkey % 2 = 0 THEN 'https://img.example.com/1.jpg' END AS image_url,
             CASE WHEN l_partkey % 3 = 0 THEN 'auction' ELSE 'buy_it_now' END AS sale_type
             FROM {TITLED} WHERE l_partkey % 10 <> 0"""
-    )
-)
+    ), number="sale_price_usd", text="sale_date")
 def api_payload(spark, sf):
     """Payloads of two items each: the sale, and one in another currency or without one."""
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
@@ -1118,8 +1117,7 @@ def _money(c: str = "sale_price_usd"):
     sql(
         f"""SELECT listing_id, 'ebay' AS source, sale_price_usd, sale_date, listing_title, {TITLE_GRADE}, listing_url,
             'https://img.example.com/a.jpg' AS image_url, 'auction' AS sale_type FROM {TITLED}"""
-    )
-)
+    ), number="sale_price_usd", text="sale_date")
 def listing_pages_ebay(spark, sf):
     """Stored result pages, derived per sale: a placeholder item and the sale."""
     html = F.concat(
@@ -1147,8 +1145,7 @@ def listing_pages_ebay(spark, sf):
             concat('https://www.myslabs.com/slab/view/', listing_id, '/') AS listing_url,
             'https://img.example.com/b.jpg' AS image_url,
             CASE WHEN l_partkey % 2 = 0 THEN 'auction' ELSE 'buy_it_now' END AS sale_type FROM {TITLED}"""
-    )
-)
+    ), number="sale_price_usd", text="sale_date")
 def listing_pages_myslabs(spark, sf):
     icon = F.when(F.col("l_partkey") % 2 == 0, "/static/auction.svg").otherwise("/static/fixed-price.svg")
     html = F.concat(
@@ -1177,8 +1174,7 @@ def listing_pages_myslabs(spark, sf):
                    CASE l_partkey % 2 WHEN 0 THEN 'buy-now/' ELSE 'weekly-auction/' END, listing_id) AS listing_url,
             'https://img.example.com/c.jpg' AS image_url,
             CASE l_partkey % 2 WHEN 0 THEN 'buy_it_now' ELSE 'auction' END AS sale_type FROM {TITLED}"""
-    )
-)
+    ), number="sale_price_usd", text="sale_date")
 def listing_pages_pwcc(spark, sf):
     section = F.when(F.col("l_partkey") % 2 == 0, "buy-now/").otherwise("weekly-auction/")
     wording = F.when(F.col("l_partkey") % 2 == 0, "Buy Now").otherwise("Weekly Auction")
@@ -1213,7 +1209,7 @@ STATUS_OUT = [
 ]
 
 
-@query(sql("SELECT source, run_id, completed_at, records_written FROM latest_runs"))
+@query(sql("SELECT source, run_id, completed_at, records_written FROM latest_runs"), text="completed_at")
 def latest_run(spark, sf):
     return monitor.latest_runs(t.runs(spark, sf)).select("source", "run_id", "completed_at", "records_written")
 
@@ -1263,7 +1259,7 @@ def run_summary(spark, sf):
 RUN_OUT = ["source", "run_id", "started_at", "completed_at", "records_scraped", "records_valid", "records_new", "records_written"]
 
 
-@query(sql(f"SELECT {', '.join(RUN_OUT)} FROM runs ORDER BY completed_at DESC, run_id DESC LIMIT 30"))
+@query(sql(f"SELECT {', '.join(RUN_OUT)} FROM runs ORDER BY completed_at DESC, run_id DESC LIMIT 30"), text="completed_at started_at")
 def run_history(spark, sf):
     return monitor.run_history(t.runs(spark, sf)).select(*RUN_OUT)
 
@@ -1271,13 +1267,13 @@ def run_history(spark, sf):
 @query(sql("""SELECT completed_at, source, run_id, error FROM (
     SELECT completed_at, source, run_id, unnest(errors) AS error, generate_subscripts(errors, 1) AS pos
     FROM (SELECT * FROM runs ORDER BY completed_at DESC, run_id DESC LIMIT 20))
-    ORDER BY completed_at DESC, run_id DESC, pos LIMIT 10"""))
+    ORDER BY completed_at DESC, run_id DESC, pos LIMIT 10"""), text="completed_at")
 def recent_errors(spark, sf):
     return monitor.recent_errors(t.runs(spark, sf))
 
 
 @query(sql("""SELECT started_at, source, records_written FROM
-    (SELECT * FROM runs ORDER BY completed_at DESC, run_id DESC LIMIT 60) WHERE started_at IS NOT NULL"""))
+    (SELECT * FROM runs ORDER BY completed_at DESC, run_id DESC LIMIT 60) WHERE started_at IS NOT NULL"""), text="started_at")
 def records_over_time(spark, sf):
     return monitor.records_over_time(t.runs(spark, sf))
 
@@ -1314,7 +1310,7 @@ def _raw_records(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SALE.fields])
 
 
-@query(sql(f"SELECT {', '.join(RAW_OUT)} FROM sales WHERE source = 'pwcc'"))
+@query(sql(f"SELECT {', '.join(RAW_OUT)} FROM sales WHERE source = 'pwcc'"), number="sale_price_usd", text="sale_date")
 def roundtrip_raw(spark, sf):
     """NDJSON folders by ingest date, read back for one source."""
     path = scratch_path(spark, "raw")
@@ -1323,7 +1319,7 @@ def roundtrip_raw(spark, sf):
     return parsed.select(*RAW_OUT)
 
 
-@query(sql(f"SELECT {', '.join(RAW_OUT)} FROM sales WHERE source IN ('ebay', 'goldin')"))
+@query(sql(f"SELECT {', '.join(RAW_OUT)} FROM sales WHERE source IN ('ebay', 'goldin')"), number="sale_price_usd", text="sale_date")
 def roundtrip_stage(spark, sf):
     """Two writes of a stage: the second replaces only its own source's folder."""
     path = scratch_path(spark, "stage")
@@ -1350,7 +1346,7 @@ def roundtrip_seen(spark, sf):
     return scans.scan_seen(spark, second)
 
 
-@query(sql("SELECT source, run_id, started_at, records_written, coalesce(len(errors), 0) AS n_errors FROM runs"))
+@query(sql("SELECT source, run_id, started_at, records_written, coalesce(len(errors), 0) AS n_errors FROM runs"), text="started_at")
 def roundtrip_run_log(spark, sf):
     path = scratch_path(spark, "runs")
     sinks.append_run_log(t.runs(spark, sf), path)
