@@ -97,8 +97,8 @@ def _seen_and_batch(spark, sf):
 @query(
     sql(
         f"""SELECT record_hash, listing_id, sale_price_usd, sale_date FROM (
-            SELECT *, row_number() OVER (PARTITION BY record_hash ORDER BY scraped_at DESC, l_partkey, l_suppkey,
-                   sale_price_usd, listing_title, grade ASC NULLS LAST, sale_type) AS rn
+            SELECT *, row_number() OVER (PARTITION BY record_hash ORDER BY scraped_at DESC, l_partkey DESC, l_suppkey DESC,
+                   sale_price_usd DESC, listing_title DESC, grade DESC NULLS LAST, sale_type DESC) AS rn
             FROM sales WHERE sale_date >= DATE '1997-06-01') b
         WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM sales s WHERE s.record_hash = b.record_hash AND s.{SEEN})"""
     ), number="sale_price_usd", text="sale_date")
@@ -529,7 +529,9 @@ RANGE_OUT = [
 
 @query(sql(RANGE_SQL), number="sale_price_usd", text="sale_date")
 def rolling_benchmarks(spark, sf):
-    return ingest.benchmark(t.enriched(spark, sf), t.as_of()).select(*RANGE_OUT)
+    wanted = ["record_hash", "sale_date", "sale_price_usd", "is_outlier", *rolling.ENTITY_KEYS]
+    rows = write_table(t.enriched(spark, sf).select(*wanted), "enriched")
+    return ingest.benchmark(rows, t.as_of()).select(*RANGE_OUT)
 
 
 @query(
@@ -1387,7 +1389,7 @@ def roundtrip_status(spark, sf):
         (
             "raw_latest",
             """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_hash
-                      ORDER BY scraped_at DESC, sale_price_usd, listing_title) AS rn FROM sales) WHERE rn = 1""",
+                      ORDER BY scraped_at DESC, sale_price_usd DESC, listing_title DESC) AS rn FROM sales) WHERE rn = 1""",
         ),
     )
 )

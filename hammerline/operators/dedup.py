@@ -27,14 +27,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[C
 def keep_latest(
     df: DataFrame, key: str = "record_hash", latest: str = "scraped_at", ties: Sequence[str] | None = None
 ) -> DataFrame:
-    """Newest row per key. Ties fall to the remaining columns, so reruns agree.
+    """Newest row per key. Among equally new rows the one with the largest ``ties``
+    wins (by default all other columns, in order), so reruns agree.
 
-    Rows with a NULL key are not comparable and are left out; see :func:`split_null_key`.
+    An aggregate rather than a rank: each task first reduces its own copies of a key to
+    one row, so a hot key costs the shuffle one row per task. Rows with a NULL key are not
+    comparable and are left out; see :func:`split_null_key`.
     """
     if ties is None:
         ties = [c for c in _sortable(df) if c not in (key, latest)]
-    order = [F.col(latest).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
-    return first_per_key(df.where(F.col(key).isNotNull()), [key], order)
+    others = [c for c in df.columns if c != key]
+    newest = F.max_by(F.struct(*others), F.struct(latest, *ties))
+    kept = df.where(F.col(key).isNotNull()).groupBy(key).agg(newest.alias("_row"))
+    return kept.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def split_null_key(df: DataFrame, key: str = "record_hash") -> tuple[DataFrame, DataFrame]:

@@ -54,9 +54,16 @@ def rolling_by_date(
         F.sum(amount).alias("_sum"), units.alias("_n"), F.count("*").alias("_rows")
     )
     by_day = W.partitionBy(*keys).orderBy(F.unix_date(date))
-    frames = {d: by_day.rangeBetween(-d, 0) for d in {*mean_days, *count_days}}
-    means = [_mean(F.sum("_sum").over(frames[d]), F.sum("_n").over(frames[d])).alias(f"vwap_{d}d") for d in mean_days]
-    counts = [F.sum("_rows").over(frames[d]).alias(f"sale_count_{d}d") for d in count_days]
+
+    def frame(column: str, days: int) -> Column:
+        """Everything so far minus everything before the frame: both only ever grow,
+        whereas a sliding frame is added up again for each day."""
+        so_far = F.sum(column).over(by_day.rangeBetween(W.unboundedPreceding, 0))
+        before = F.sum(column).over(by_day.rangeBetween(W.unboundedPreceding, -(days + 1)))
+        return F.coalesce(so_far, F.lit(0)) - F.coalesce(before, F.lit(0))
+
+    means = [_mean(frame("_sum", d), frame("_n", d)).alias(f"vwap_{d}d") for d in mean_days]
+    counts = [frame("_rows", d).alias(f"sale_count_{d}d") for d in count_days]
     benchmarks = daily.select(*keys, date, *means, *counts)
     names = [f"vwap_{d}d" for d in mean_days] + [f"sale_count_{d}d" for d in count_days]
     return df.join(benchmarks, [*keys, date], "left").select(*df.columns, *names)
