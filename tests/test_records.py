@@ -1,0 +1,231 @@
+"""Validation, dedup, quarantine and the raw scan."""
+
+import datetime as dt
+import json
+import os
+from decimal import Decimal
+
+import pytest
+from conftest import column, values
+from pyspark.sql import functions as F
+
+from hammerline import schemas
+from hammerline.operators import dedup, validate
+from hammerline.plans import ingest, monitor
+from hammerline.sources import scans, sinks
+
+VALID = {
+    "listing_id": "abc123",
+    "source": "ebay",
+    "scraped_at": dt.datetime(2024, 6, 1, 12),
+    "sale_price_usd": Decimal("99.99"),
+    "sale_date": dt.date(2024, 6, 1),
+    "listing_title": "UFC Conor McGregor PSA 10 Rookie Card",
+    "listing_url": "https://www.example.com/itm/123456",
+    "sale_type": "auction",
+}
+
+
+def sales(spark, *overrides):
+    rows = [{**VALID, **o} for o in overrides]
+    return spark.createDataFrame([tuple(r.get(n) for n in schemas.RAW_SALE.names) for r in rows], schemas.RAW_SALE)
+
+
+@pytest.mark.parametrize(
+    "change, ok",
+    [
+        ({}, True),
+        ({"sale_price_usd": Decimal("0")}, False),
+        ({"sale_price_usd": Decimal("-5.00")}, False),
+        ({"sale_price_usd": Decimal("1000000")}, False),
+        ({"sale_price_usd": Decimal("999999.99")}, True),
+        ({"sale_price_usd": None}, False),
+        ({"card_year": 1989}, False),
+        ({"card_year": 2025}, False),
+        ({"card_year": 2024}, True),
+        ({"card_year": 2009}, True),
+        ({"grade_numeric": 0.9}, False),
+        ({"grade_numeric": 10.1}, False),
+        ({"grade_numeric": 1.0}, True),
+        ({"grade_numeric": 10.0}, True),
+        ({"listing_title": ""}, False),
+        ({"listing_title": " \t "}, False),
+        ({"source": "other"}, False),
+        ({"source": "goldin"}, True),
+        ({"grader": "XYZ"}, False),
+        ({"grader": "Raw"}, True),
+        ({"sale_type": None}, False),
+        ({"listing_url": "not a url"}, False),
+        ({"image_url": "ftp://x"}, False),
+    ],
+)
+def test_validation_bounds(spark, change, ok):
+    valid, invalid = validate.split_valid(validate.validate_sales(sales(spark, change), 2024))
+    assert (valid.count(), invalid.count()) == ((1, 0) if ok else (0, 1))
+
+
+def test_names_and_hash_are_normalised(spark):
+    checked = validate.validate_sales(sales(spark, {"fighter_name": "  conor mcgregor ", "record_hash": "fake"}), 2024)
+    [row] = checked.collect()
+    assert row["fighter_name"] == "Conor Mcgregor"
+    assert row["record_hash"] == "25eca1e35a1e5881e8150ebd0f1571ff64e73839de092c63d176ad5452e9b5c5"
+
+
+def hashed(spark, rows):
+    return spark.createDataFrame(rows, "record_hash string, scraped_at timestamp, price int")
+
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def at(hours):
+    return T0 + dt.timedelta(hours=hours)
+
+
+def test_keep_latest_is_total_and_idempotent(spark):
+    df = hashed(spark, [("a", at(1), 1), ("a", at(2), 5), ("a", at(2), 7), ("b", None, 3), (None, at(3), 1), (None, at(4), 2)])
+    once = dedup.keep_latest(df)
+    assert values(once) == [("a", at(2), 7), ("b", None, 3)]
+    assert values(dedup.keep_latest(once)) == values(once)
+    assert values(dedup.keep_latest(df.repartition(7))) == values(once)
+    keyed, unkeyed = dedup.split_null_key(df)
+    assert (keyed.count(), unkeyed.count()) == (4, 2)
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("record_hash"),
+        F.lit(T0).alias("scraped_at"),
+        F.col("id").cast("int").alias("price"),
+    )
+    kept = dedup.keep_latest(df)
+    assert kept.count() == 20_001
+    assert kept.where("record_hash = 'hot'").first()["price"] == 29_997
+
+
+def test_new_records_drops_batch_copies_and_seen(spark):
+    batch = hashed(spark, [("a", at(1), 1), ("b", at(1), 1), ("b", at(2), 2), ("c", at(1), 1)])
+    seen = spark.createDataFrame([("a",), ("z",)], "record_hash string")
+    assert values(dedup.new_records(batch, seen)) == [("b", at(2), 2), ("c", at(1), 1)]
+    assert sorted(column(dedup.merge_seen(seen, batch))) == ["a", "b", "c", "z"]
+    assert sorted(column(dedup.unseen_keys(batch, seen))) == ["b", "c"]
+    nothing = seen.limit(0)
+    assert dedup.new_records(batch, nothing).count() == 3
+    assert dedup.new_records(batch, dedup.merge_seen(seen, batch)).count() == 0
+    assert seen.count() == 2
+
+
+def test_profile_matches_separate_counts(spark):
+    df = sales(
+        spark,
+        {"sale_price_usd": None, "record_hash": "x"},
+        {"sale_price_usd": Decimal("-1"), "record_hash": "x"},
+        {"sale_date": None, "record_hash": "y"},
+        {"listing_id": None, "record_hash": None},
+        {"listing_id": None, "record_hash": None},
+    )
+    [row] = validate.profile(df).collect()
+    assert row.asDict() == {
+        "total_count": 5,
+        "null_price_count": 1,
+        "invalid_price_count": 1,
+        "null_date_count": 1,
+        "null_id_count": 2,
+        "duplicate_hash_count": 2,
+    }
+    assert validate.profile(df.limit(0)).first()["total_count"] == 0
+
+
+def test_raw_scan_quarantines_bad_lines(spark, tmp_path):
+    folder = tmp_path / "raw" / "source=ebay" / "year=2024" / "month=06" / "day=01"
+    os.makedirs(folder)
+    good = {"listing_id": "1", "sale_price_usd": "12.50", "sale_date": "2024-06-01", "record_hash": "h", "scraped_at": "2024-06-01T10:00:00Z"}
+    (folder / "a.ndjson").write_text(json.dumps(good) + "\nnot json\n")
+    parsed, corrupt = scans.split_corrupt(scans.scan_raw(spark, str(tmp_path / "raw"), "ebay"))
+    [row] = parsed.collect()
+    assert row["sale_price_usd"] == Decimal("12.50") and row["source"] == "ebay"
+    assert row["source_file"].endswith("a.ndjson")
+    assert column(corrupt, "line") == ["not json"]
+    assert scans.scan_raw(spark, str(tmp_path / "raw"), "pwcc").count() == 0
+    assert column(scans.scan_titles(spark, str(tmp_path / "raw"))) == []
+
+
+def test_raw_scan_reads_bare_source_folders(spark, tmp_path):
+    for source in ("ebay", "pwcc"):
+        folder = tmp_path / source / "year=2024" / "month=06" / "day=01"
+        os.makedirs(folder)
+        (folder / "x.ndjson").write_text(json.dumps({"listing_id": source, "source": source}) + "\n")
+    both = scans.scan_raw(spark, str(tmp_path), hive=False)
+    assert sorted(column(both, "listing_id")) == ["ebay", "pwcc"]
+    assert column(scans.scan_raw(spark, str(tmp_path), "pwcc", hive=False), "source") == ["pwcc"]
+
+
+def test_seen_json(spark, tmp_path):
+    assert scans.scan_seen_json(spark, str(tmp_path / "missing.json")).count() == 0
+    blank, good, bad = tmp_path / "blank.json", tmp_path / "good.json", tmp_path / "bad.json"
+    blank.write_text(" \n")
+    good.write_text(json.dumps(["aaa", "mmm", "zzz"], indent=2))
+    bad.write_text("not valid json {{{")
+    assert scans.scan_seen_json(spark, str(blank)).count() == 0
+    assert sorted(column(scans.scan_seen_json(spark, str(good)))) == ["aaa", "mmm", "zzz"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scans.scan_seen_json(spark, str(bad)).collect()
+
+
+def test_cert_cache(spark, tmp_path):
+    cache = tmp_path / "certs.json"
+    cache.write_text(
+        json.dumps({"123": {"cert_number": "123", "grade_numeric": 10.0}, "404": None, "_meta": {"calls_today": {"d": 3}}})
+    )
+    rows = {r["cert_key"]: r["cert"] for r in scans.scan_cert_cache(spark, str(cache)).collect()}
+    assert set(rows) == {"123", "404"}
+    assert rows["123"]["grade_numeric"] == 10.0
+    cache.write_text("{broken")
+    assert scans.scan_cert_cache(spark, str(cache)).count() == 0
+    assert scans.scan_cert_cache(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_run_log_documents(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        json.dumps({"source": "ebay", "run_id": "1", "completed_at": "2024-01-01T00:00:00Z", "records_written": 0, "errors": []}, indent=2)
+    )
+    (tmp_path / "b.json").write_text("{oops")
+    (tmp_path / "c.json").write_text(json.dumps({"source": "pwcc", "run_id": "2", "started_at": "bad", "errors": ["x", "y"]}))
+    runs = scans.scan_run_log(spark, str(tmp_path))
+    assert sorted(column(runs, "run_id")) == ["1", "2"]
+    assert monitor.records_over_time(runs).count() == 0
+    assert column(monitor.zero_output(runs), "source") == ["ebay"]
+    as_of = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    status = {r["source"]: (r["status"], r["lag_hours"]) for r in monitor.source_status(runs, as_of).collect()}
+    assert status == {"ebay": ("degraded", 12.0), "pwcc": ("error", 0.0)}
+    assert [r["error"] for r in monitor.recent_errors(runs).collect()] == ["x", "y"]
+
+
+def test_capture_keeps_quarantine(spark):
+    batch = sales(spark, {}, {}, {"listing_id": "b"}, {"sale_type": "gift"})
+    seen = spark.createDataFrame([], "record_hash string")
+    fresh, quarantine = ingest.capture(batch, seen, 2024)
+    assert (fresh.count(), quarantine.count()) == (2, 1)
+    assert quarantine.first()["errors"] == ["sale_type not allowed"]
+
+
+def test_second_day_does_not_repeat_records(spark, tmp_path):
+    layout = scans.Layout(str(tmp_path))
+    day = F.lit("2024-06-02").cast("timestamp")
+    rows = validate.validate_sales(sales(spark, *[{"listing_id": str(i)} for i in range(20)]), 2024).drop("errors")
+    sinks.append_raw(rows, layout.raw, day)
+    ingest.run_stages(spark, layout, as_of=dt.datetime(2024, 6, 2))
+    sinks.append_raw(rows, layout.raw, F.lit("2024-06-03").cast("timestamp"))
+    ingest.run_stages(spark, layout, as_of=dt.datetime(2024, 6, 3))
+    assert spark.read.parquet(layout.enriched).count() == 20
+    one = spark.read.parquet(layout.enriched).first()
+    assert (one["fighter_name_canonical"], one["sport"], one["sale_type"]) == ("Conor McGregor", "UNKNOWN", "AUCTION")
+    assert one["processing_date"] == dt.date(2024, 6, 3)
+
+
+def test_source_tables_sum_to_input(spark, tmp_path):
+    rows = sales(spark, *[{"source": s, "listing_id": str(i)} for i in range(5) for s in ("ebay", "pwcc", "goldin")])
+    sinks.write_source_tables(rows.withColumn("processing_date", F.current_date()), str(tmp_path / "w"))
+    counts = {s: scans.scan_table(spark, str(tmp_path / "w"), s).count() for s in ("ebay", "pwcc", "myslabs", "goldin")}
+    assert counts == {"ebay": 5, "pwcc": 5, "myslabs": 0, "goldin": 5}
+    assert "processing_date" not in spark.read.parquet(str(tmp_path / "w")).columns
