@@ -65,8 +65,7 @@ def rolling_by_date(
     means = [_mean(frame("_sum", d), frame("_n", d)).alias(f"vwap_{d}d") for d in mean_days]
     counts = [frame("_rows", d).alias(f"sale_count_{d}d") for d in count_days]
     benchmarks = daily.select(*keys, date, *means, *counts)
-    names = [f"vwap_{d}d" for d in mean_days] + [f"sale_count_{d}d" for d in count_days]
-    return df.join(benchmarks, [*keys, date], "left").select(*df.columns, *names)
+    return df.join(benchmarks, [*keys, date], "left").select(*df.columns, *_frame_names(mean_days, count_days))
 
 
 def rolling_by_date_per_row(
@@ -94,6 +93,10 @@ def with_deviation(df: DataFrame, value: str = "sale_price_usd", days: Sequence[
     )
 
 
+def _frame_names(means: Sequence[int], counts: Sequence[int]) -> list[str]:
+    return [f"vwap_{n}d" for n in means] + [f"sale_count_{n}d" for n in counts]
+
+
 def _row_frames(
     df: DataFrame,
     group: Sequence[str],
@@ -125,13 +128,6 @@ def _row_frames(
     )
 
 
-def _match_null_safe(keys: Sequence[str], left: str, right: str) -> Column:
-    match = F.lit(True)
-    for key in keys:
-        match = match & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return match
-
-
 def rolling_by_rows(
     df: DataFrame,
     keys: Sequence[str] = DIM_KEYS,
@@ -153,22 +149,24 @@ def rolling_by_rows(
     """
     keys = list(keys)
     order = [F.col(date).asc_nulls_first(), F.col(tie).asc_nulls_first()]
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = materialise(counts.where(F.col("_rows") > hot_rows).select(*keys))
+    # A struct of the keys is never NULL itself, so NULL keys group and join as values.
+    grouped = df.withColumn("_group", F.struct(*keys))
+    counts = grouped.groupBy("_group").agg(F.count("*").alias("_rows"))
+    hot = materialise(counts.where(F.col("_rows") > hot_rows).select("_group"))
     if hot.isEmpty():
         return _row_frames(df, keys, order, value, mean_rows, count_rows)
     side = F.broadcast(hot) if is_small(hot) else hot
-    match = _match_null_safe(keys, "s", "h")
-    cold = df.alias("s").join(side.alias("h"), match, "left_anti")
-    warm = df.alias("s").join(side.alias("h"), match, "left_semi")
+    cold = grouped.join(side, "_group", "left_anti").drop("_group")
+    warm = grouped.join(side, "_group", "left_semi")
     return _row_frames(cold, keys, order, value, mean_rows, count_rows).unionByName(
-        _rolling_hot(warm, keys, date, tie, value, mean_rows, count_rows, hot_rows)
+        _rolling_hot(warm, date, tie, value, mean_rows, count_rows, hot_rows).select(
+            *df.columns, *_frame_names(mean_rows, count_rows)
+        )
     )
 
 
 def _rolling_hot(
     df: DataFrame,
-    keys: list[str],
     date: str,
     tie: str,
     value: str,
@@ -176,33 +174,33 @@ def _rolling_hot(
     count_rows: Sequence[int],
     block_rows: int,
 ) -> DataFrame:
-    """Row frames of groups too large for one task.
+    """Row frames of groups (column ``_group``) too large for one task.
 
     1. Slice each group by day and leading characters of ``tie``; both follow the order.
        Slice counts, summed in order, give the position each slice starts at.
-    2. Position of a row = start of its slice + rank inside the slice.
+    2. Position of a row = start of its slice + rank inside the slice. The join and the
+       rank use the same keys, so the rows are shuffled once for both.
     3. Cut the group into blocks of ``block_rows`` positions. The last rows of a block are
        copied to the next one, so every frame is complete inside its block; the copies are
        dropped afterwards.
     """
     longest = max([*mean_rows, *count_rows])
     block_rows = max(block_rows, longest)
-    piece = F.substring(F.coalesce(F.col(tie), F.lit("")), 1, 2)
-    sliced = df.withColumns({"_piece": piece, "_day": F.coalesce(F.unix_date(date), F.lit(-(2**31)))})
-    slice_keys = [*keys, "_day", "_piece"]
-    before = W.partitionBy(*keys).orderBy("_day", "_piece").rowsBetween(W.unboundedPreceding, -1)
+    sliced = df.withColumns(
+        {
+            "_piece": F.substring(F.coalesce(F.col(tie), F.lit("")), 1, 2),
+            "_day": F.coalesce(F.unix_date(date), F.lit(-(2**31))),
+        }
+    )
+    slice_keys = ["_group", "_day", "_piece"]
+    before = W.partitionBy("_group").orderBy("_day", "_piece").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         sliced.groupBy(*slice_keys)
         .agg(F.count("*").alias("_rows"))
         .select(*slice_keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     in_slice = W.partitionBy(*slice_keys).orderBy(F.col(tie).asc_nulls_first())
-    placed = (
-        sliced.alias("s")
-        .join(starts.alias("t"), _match_null_safe(slice_keys, "s", "t"))
-        .select("s.*", "t._start")
-        .withColumn("_pos", F.col("_start") + F.row_number().over(in_slice) - 1)
-    )
+    placed = sliced.join(starts, slice_keys).withColumn("_pos", F.col("_start") + F.row_number().over(in_slice) - 1)
     block = F.floor(F.col("_pos") / block_rows)
     is_tail = F.col("_pos") % block_rows >= block_rows - longest
     blocks = (
@@ -210,6 +208,5 @@ def _rolling_hot(
         .withColumn("_block", F.explode(F.when(is_tail, F.array(block, block + 1)).otherwise(F.array(block))))
         .drop("_start", "_piece", "_day")
     )
-    framed = _row_frames(blocks, [*keys, "_block"], [F.col("_pos")], value, mean_rows, count_rows)
-    names = [f"vwap_{n}d" for n in mean_rows] + [f"sale_count_{n}d" for n in count_rows]
-    return framed.where(F.col("_block") == F.col("_home")).select(*df.columns, *names)
+    framed = _row_frames(blocks, ["_group", "_block"], [F.col("_pos")], value, mean_rows, count_rows)
+    return framed.where(F.col("_block") == F.col("_home"))

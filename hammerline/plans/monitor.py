@@ -82,12 +82,13 @@ def run_summary(runs: DataFrame, fact: DataFrame, as_of: Column) -> DataFrame:
         ).alias("sources"),
         F.max(severity(F.col("status"))).alias("_rank"),
     )
-    return by_source.crossJoin(coverage(fact)).select(
+    totals = coverage(fact).select(F.struct("*")).scalar()
+    return by_source.withColumn("_totals", totals).select(
         as_of.cast("timestamp").alias("updated_at"),
         "sources",
         status_name(F.col("_rank")).alias("overall_status"),
-        "total_records_in_fct_card_sales",
-        "fighters_with_coverage",
+        "_totals.total_records_in_fct_card_sales",
+        "_totals.fighters_with_coverage",
     )
 
 
