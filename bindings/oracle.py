@@ -41,7 +41,7 @@ CTES = {
     "ingested": """
         SELECT * EXCLUDE (rn), scraped_at AS ingested_at FROM (
             SELECT *, row_number() OVER (PARTITION BY record_hash ORDER BY scraped_at DESC, l_partkey DESC, l_suppkey DESC,
-                   sale_price_usd DESC, listing_title DESC, grade DESC NULLS LAST, sale_type DESC) AS rn FROM sales) WHERE rn = 1""",
+                   sale_price_usd DESC, grade DESC NULLS LAST) AS rn FROM sales) WHERE rn = 1""",
     "bounds": """
         SELECT source, grade, q1, q3, q3 - q1 AS iqr, q1 - 3.0 * (q3 - q1) AS lower_bound,
                q3 + 3.0 * (q3 - q1) AS upper_bound

@@ -98,7 +98,7 @@ def _seen_and_batch(spark, sf):
     sql(
         f"""SELECT record_hash, listing_id, sale_price_usd, sale_date FROM (
             SELECT *, row_number() OVER (PARTITION BY record_hash ORDER BY scraped_at DESC, l_partkey DESC, l_suppkey DESC,
-                   sale_price_usd DESC, listing_title DESC, grade DESC NULLS LAST, sale_type DESC) AS rn
+                   sale_price_usd DESC, grade DESC NULLS LAST) AS rn
             FROM sales WHERE sale_date >= DATE '1997-06-01') b
         WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM sales s WHERE s.record_hash = b.record_hash AND s.{SEEN})"""
     ), number="sale_price_usd", text="sale_date")

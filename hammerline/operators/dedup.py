@@ -28,16 +28,21 @@ def keep_latest(
     df: DataFrame, key: str = "record_hash", latest: str = "scraped_at", ties: Sequence[str] | None = None
 ) -> DataFrame:
     """Newest row per key. Among equally new rows the one with the largest ``ties``
-    wins (by default all other columns, in order), so reruns agree.
+    wins, then the largest remaining columns in order, so reruns agree.
 
-    An aggregate rather than a rank: each task first reduces its own copies of a key to
-    one row, so a hot key costs the shuffle one row per task. Rows with a NULL key are not
+    An aggregate rather than a rank: the row itself, led by its order columns, is the
+    value whose maximum is taken. Each task first reduces its own copies of a key to one
+    row, so a hot key costs the shuffle one row per task. Rows with a NULL key are not
     comparable and are left out; see :func:`split_null_key`.
     """
-    if ties is None:
-        ties = [c for c in _sortable(df) if c not in (key, latest)]
-    others = [c for c in df.columns if c != key]
-    newest = F.max_by(F.struct(*others), F.struct(latest, *ties))
+    order = [latest, *(ties or [])]
+    sortable = _sortable(df)
+    rest = [c for c in df.columns if c not in (key, *order)]
+    if all(c in sortable for c in rest):
+        newest = F.max(F.struct(*order, *rest))
+    else:  # nested columns take no part in the order
+        plain = [c for c in rest if c in sortable]
+        newest = F.max_by(F.struct(*order, *rest), F.struct(*order, *plain))
     kept = df.where(F.col(key).isNotNull()).groupBy(key).agg(newest.alias("_row"))
     return kept.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
