@@ -229,3 +229,11 @@ def test_source_tables_sum_to_input(spark, tmp_path):
     counts = {s: scans.scan_table(spark, str(tmp_path / "w"), s).count() for s in ("ebay", "pwcc", "myslabs", "goldin")}
     assert counts == {"ebay": 5, "pwcc": 5, "myslabs": 0, "goldin": 5}
     assert "processing_date" not in spark.read.parquet(str(tmp_path / "w")).columns
+
+
+def test_keep_latest_with_nested_columns(spark):
+    rows = [("a", at(1), {"k": 1}, [1]), ("a", at(2), {"k": 2}, [2]), ("b", at(1), None, None)]
+    df = spark.createDataFrame(rows, "record_hash string, scraped_at timestamp, props map<string,int>, tags array<int>")
+    got = {r["record_hash"]: (r["props"], r["tags"]) for r in dedup.keep_latest(df).collect()}
+    assert got == {"a": ({"k": 2}, [2]), "b": (None, None)}
+    assert dedup.keep_latest(df).columns == df.columns
