@@ -80,6 +80,8 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
     take = np.floor(exact).astype(np.int64)
     rest = budget - int((take * lengths).sum())
     for i in np.argsort(-(exact - take), kind="stable"):
+        if rest <= EXACT_WORDS:
+            break
         if lengths[i] and take[i] < counts[i] and lengths[i] <= rest:
             take[i] += 1
             rest -= int(lengths[i])
@@ -126,13 +128,34 @@ def knapsack(lengths: np.ndarray, spare: np.ndarray, budget: int) -> dict[int, i
     return chosen
 
 
-def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
-    size, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
+def plan_units(lengths: np.ndarray, counts: np.ndarray, target: float) -> np.ndarray:
+    """Copies to deal out over each length's documents, at most MOST times their number.
+
+    Whole copies of all documents first, then a fitted part of one more. A source too small
+    for that to come out exactly is fitted as a whole, giving up the even coverage.
+    """
+    size = int((lengths * counts).sum())
     copies = min(MOST, int(target / size + 1e-9)) if size else 0
+    units = copies * counts
+    if copies < MOST:
+        units = units + fit_lengths(lengths, counts, round(target - copies * size))
+    gap = abs(int((units * lengths).sum()) - target)
+    if gap > 1 and target <= EXACT_WORDS:
+        whole = np.zeros_like(units)
+        for i, n in knapsack(lengths, MOST * counts, round(target)).items():
+            whole[i] = n
+        if abs(int((whole * lengths).sum()) - target) < gap:
+            return whole
+    return units
+
+
+def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("size")
     lengths, counts = pdf["size"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
-    extra = fit_lengths(lengths, counts, round(target - copies * size) if copies < MOST else 0)
-    return pd.DataFrame({"key": pdf["key"], "size": lengths, "n": counts, "copies": copies, "extra": extra})
+    units = plan_units(lengths, counts, float(pdf["target"].iloc[0]))
+    return pd.DataFrame(
+        {"key": pdf["key"], "size": lengths, "n": counts, "copies": units // counts, "extra": units % counts}
+    )
 
 
 def mix(
@@ -160,14 +183,14 @@ def mix(
     targets = targets.withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))).drop("source")
     lengths = narrow.groupBy("key", "size").agg(F.count("*").alias("n")).join(targets, "key")
     plan = write_table(
-        lengths.groupBy("key").applyInPandas(_plan, "key string, size long, n long, copies int, extra long"), "plan"
+        lengths.groupBy("key").applyInPandas(_plan, "key string, size long, n long, copies long, extra long"), "plan"
     )
     rows = narrow.join(plan, ["key", "size"])
     slices = F.ceil(F.col("n") / SLICE)
     rows = rows.withColumn("slice", F.pmod(F.col("order"), slices))
     per_slice = (
         rows.where(F.col("n") > SLICE)
-        .where(F.col("extra").between(1, F.col("n") - 1))
+        .where(F.col("extra") > 0)
         .groupBy("key", "size", "slice", "extra")
         .agg(F.count("*").alias("m"))
     )
@@ -175,10 +198,10 @@ def mix(
     quota = per_slice.select(
         "key", "size", "slice", (F.col("extra") - F.coalesce(F.sum("m").over(earlier), F.lit(0))).alias("quota")
     )
-    ranked = rows.where(F.col("extra").between(1, F.col("n") - 1)).join(quota, ["key", "size", "slice"], "left")
+    ranked = rows.where(F.col("extra") > 0).join(quota, ["key", "size", "slice"], "left")
     rank = F.row_number().over(Window.partitionBy("key", "size", "slice").orderBy("order", "id"))
     ranked = ranked.withColumn("more", (rank <= F.coalesce("quota", "extra")).cast("int")).drop("quota")
-    plain = rows.where(~F.col("extra").between(1, F.col("n") - 1)).withColumn("more", (F.col("extra") > 0).cast("int"))
+    plain = rows.where("extra = 0").withColumn("more", F.lit(0))
     out = plain.unionByName(ranked).withColumn("copies", F.col("copies") + F.col("more"))
     return (
         out.join(targets, "key")

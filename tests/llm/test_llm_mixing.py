@@ -42,7 +42,7 @@ def test_targets_and_budgets(spark, sf):
     expected = plain_targets(sizes)
     for s in sizes:
         assert target[s] == pytest.approx(expected[s], rel=1e-9)
-        assert abs(taken[s] - target[s]) <= 3
+        assert abs(taken[s] - target[s]) <= max(3, target[s] / 500)  # ten documents a source
     again = {r.doc_id: r.taken for r in QUERIES["op8_mix_sources"](spark, sf).collect()}
     assert again == {r.doc_id: r.taken for r in rows}
 
