@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hammerline.llm import bpe, exact_dedup, mixing, simhash_vp, toxicity
+from hammerline.llm import bpe, exact_dedup, mixing, simhash_vp, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -46,6 +50,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op6_toxicity_grammar": op6_toxicity_grammar,
+    "op7_warc_archive": op7_warc_archive,
     "op8_mix_sources": op8_mix_sources,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_exact_dedup": op10_exact_dedup,
@@ -53,6 +58,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op7_warc_archive": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digits,
+                   row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC) AS nth,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+            FROM pages)
+        SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(digits, ((i // 8) * 10 + 1)::BIGINT, 10))::BIGINT >> (35 - 5 * (i % 8))::BIGINT) & 31) + 1,
+                   1)), '') AS payload_digest,
+               CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN nth > 1 THEN last END AS refers_to
+        FROM p
+    """,
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, row_number() OVER () AS row, sha256(translate(coalesce(text, ''),
