@@ -57,17 +57,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
+# SHA-1 digits as base32: 40 bits at a time, five for each letter.
+BASE32_SQL = " || ".join(
+    f"substr('{warc.BASE32}', (('0x' || substr(digits, {10 * (i // 8) + 1}, 10))::BIGINT >> {35 - 5 * (i % 8)} & 31) + 1, 1)"
+    for i in range(32)
+)
+
 ORACLES: dict[str, str] = {
-    "op7_warc_archive": """
+    "op7_warc_archive": f"""
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digits,
                    row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC) AS nth,
                    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
             FROM pages)
         SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
-               array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-                   ((('0x' || substr(digits, ((i // 8) * 10 + 1)::BIGINT, 10))::BIGINT >> (35 - 5 * (i % 8))::BIGINT) & 31) + 1,
-                   1)), '') AS payload_digest,
+               {BASE32_SQL} AS payload_digest,
                CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN nth > 1 THEN last END AS refers_to
         FROM p
