@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hammerline.llm import bpe, exact_dedup, mixing, secrets, simhash_vp, toxicity, warc
+from hammerline.llm import bpe, exact_dedup, fingerprints, mixing, secrets, simhash_vp, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(_table(spark, sf_dir, "documents"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.summary(_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -54,6 +58,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op4_linked_secrets": op4_linked_secrets,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op6_toxicity_grammar": op6_toxicity_grammar,
     "op7_warc_archive": op7_warc_archive,
     "op8_mix_sources": op8_mix_sources,
