@@ -45,14 +45,14 @@ def filter_bits(rows: int) -> int:
     return min(MAX_BITS, max(PAGE, 1 << math.ceil(math.log2(max(1, rows * BITS_PER_ROW)))))
 
 
-def repeated_pages(digests: DataFrame, digest: str, bits: int) -> DataFrame:
-    """Pass one: (page, bitmap) of the positions that two or more rows hit.
+def repeated_pages(digests: DataFrame, digest: str, bits: int, least: int = 2) -> DataFrame:
+    """Pass one: (page, bitmap) of the positions that two (``least``) or more rows hit.
 
     Counting is pre-aggregated in each task, so a digest that fills a third of the table
     sends one row per task.
     """
     hits = digests.select(F.explode(F.array(*_positions(F.col(digest), bits))).alias("at"))
-    twice = hits.groupBy("at").agg(F.count("*").alias("n")).where("n > 1")
+    twice = hits.groupBy("at").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return twice.groupBy(F.floor(F.col("at") / PAGE).alias("page")).agg(
         F.bitmap_construct_agg(F.col("at") % PAGE).alias("bitmap")
     )

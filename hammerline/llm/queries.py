@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hammerline.llm import bpe, exact_dedup, fingerprints, html_text, mixing, secrets, simhash_vp, toxicity, warc
+from hammerline.llm import bpe, exact_dedup, fingerprints, html_text, mixing, secrets, simhash_vp, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vp.near_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.summary(_table(spark, sf_dir, "documents"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(_table(spark, sf_dir, "pages"))
 
@@ -61,6 +65,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_main_text": op3_main_text,
     "op4_linked_secrets": op4_linked_secrets,
     "op5_document_fingerprints": op5_document_fingerprints,
