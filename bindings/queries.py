@@ -427,22 +427,46 @@ def event_outliers(spark, sf):
 @query(
     sql(
         """SELECT s.listing_id, s.l_partkey, coalesce(a.canonical, h.by_title) AS fighter_name_canonical
-           FROM sales s LEFT JOIN aliases a ON lower(trim(s.fighter_name)) = a.alias
-           LEFT JOIN title_hits h ON s.listing_title = h.title"""
+           FROM sales s LEFT JOIN odd a ON lower(trim(s.fighter_name)) = a.alias
+           LEFT JOIN odd_hits h ON s.listing_title = h.title""",
+        (
+            "odd",
+            f"""SELECT lower(trim(alias)) AS alias, min(priority) AS priority, arg_min(canonical, priority) AS canonical
+                FROM ({t.ODD_ALIASES}) WHERE trim(alias) <> '' AND canonical IS NOT NULL GROUP BY lower(trim(alias))""",
+        ),
+        (
+            "odd_hits",
+            """SELECT t.title, arg_min(a.canonical, a.priority) AS by_title
+               FROM (SELECT DISTINCT listing_title AS title FROM sales) t JOIN odd a ON contains(lower(t.title), a.alias)
+               GROUP BY t.title""",
+        ),
     )
 )
 def resolve_entity(spark, sf):
-    named = resolve.resolve_entities(t.sales(spark, sf), t.aliases(spark, sf))
+    named = resolve.resolve_entities(t.sales(spark, sf), t.odd_aliases(spark, sf))
     return named.select("listing_id", "l_partkey", "fighter_name_canonical")
 
 
 @query(like("resolve_entity"))
 def resolve_entity_joined(spark, sf):
     """The same result by joins, the way of a dictionary too large for literals."""
-    named = resolve.resolve_entities(t.sales(spark, sf), t.aliases(spark, sf), inline=0)
+    named = resolve.resolve_entities(t.sales(spark, sf), t.odd_aliases(spark, sf), inline=0)
     return named.select("listing_id", "l_partkey", "fighter_name_canonical")
 
 
+@query(
+    sql(
+        """SELECT count(*) FILTER (WHERE coalesce(trim(alias), '') = '' OR canonical IS NULL) AS without_name,
+                  count(*) FILTER (WHERE trim(alias) <> '' AND canonical IS NOT NULL)
+                  - count(DISTINCT lower(trim(alias))) FILTER (WHERE trim(alias) <> '' AND canonical IS NOT NULL) AS repeated
+           FROM odd""",
+        ("odd", t.ODD_ALIASES),
+    )
+)
+def unusable_aliases(spark, sf):
+    return resolve.unusable_aliases(t.odd_aliases(spark, sf))
+
+
 @query(
     sql(
         """SELECT s.listing_id, s.l_partkey, a.canonical FROM sales s

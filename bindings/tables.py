@@ -58,6 +58,14 @@ SELECT min(p_partkey) AS priority, lower(p_name) AS alias, split_part(lower(p_na
 FROM part GROUP BY lower(p_name), split_part(lower(p_name), ' ', -1)
 """
 
+# Aliases as users write them: short, padded, in capitals, repeated, blank and missing.
+ODD_ALIASES = f"""
+SELECT CAST(priority AS BIGINT) AS priority, alias, canonical FROM ({ALIASES})
+UNION ALL SELECT CAST(priority AS BIGINT) AS priority, alias, canonical FROM (VALUES
+    (-1, 'q', 'One'), (-2, ' ZZ ', 'Two'), (-3, '', 'Empty'), (-4, NULL, 'Missing'), (-5, '   ', 'Blank'),
+    (-6, ' Anodized', 'Padded'), (-7, 'anodized', 'Repeated'), (-8, 'ivory', NULL)) v(priority, alias, canonical)
+"""
+
 SEED = """
 SELECT DISTINCT split_part(lower(p_name), ' ', -1) AS fighter_name_canonical,
        lower(p_name) AS fighter_name_alias,
@@ -105,6 +113,10 @@ def aliases(spark: SparkSession, sf: str) -> DataFrame:
     return _bound(spark, sf, ALIASES, ("part",))
 
 
+def odd_aliases(spark: SparkSession, sf: str) -> DataFrame:
+    return _bound(spark, sf, ODD_ALIASES, ("part",))
+
+
 def seed(spark: SparkSession, sf: str) -> DataFrame:
     return _bound(spark, sf, SEED, ("part",))
 

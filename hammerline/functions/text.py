@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from hammerline import fixed
 from hammerline.schemas import PRICE
 
-WHITESPACE = " \t\n\r\f\x0b"
+# Everything Unicode calls white space, and the four ASCII separators.
+WHITESPACE = (
+    " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -20,7 +24,7 @@ def blank_to_null(c: Column) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Trim every kind of ASCII whitespace, not only spaces."""
+    """Trim every kind of whitespace, not only spaces."""
     return F.btrim(_col(c), F.lit(WHITESPACE))
 
 

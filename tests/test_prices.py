@@ -81,9 +81,28 @@ def test_resolution_matches_brute_force(spark, inline):
     assert found == {i: brute(n, t, PRIORITY) for i, (n, t) in enumerate(CASES)}
 
 
+ODD = [(0, " foo ", "Foo"), (1, "", "Empty"), (2, None, "Missing"), (3, "AB", "Two"), (4, "z", "One"), (5, "bar", "Bar"),
+       (6, "foo", "Later"), (7, "\u00a0baz\u2003", "Baz"), (8, "nobody", None), (9, " ", "Blank")]
+
+
+def test_odd_aliases_give_one_answer(spark):
+    """Padded, empty, missing, repeated and very short aliases, inline and joined."""
+    aliases = spark.createDataFrame(ODD, "priority long, alias string, canonical string")
+    cases = [("foo", "x"), ("FOO\u00a0", None), (None, "ab card here"), (None, "a bar"), (None, "fizz"), (None, "plain text"),
+             ("baz", None), (None, "my baz"), ("nobody", "has a bar"), ("", ""), (None, "food and bar")]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, fighter_name string, listing_title string")
+    expected = ["Foo", "Foo", "Two", "Bar", "One", None, "Baz", "One", "Bar", None, "Foo"]
+    for inline in (0, 256):
+        got = {r["i"]: r["fighter_name_canonical"] for r in resolve.resolve_entities(df, aliases, inline=inline).collect()}
+        assert [got[i] for i in range(len(cases))] == expected, inline
+    rows = resolve.normal_rows(ODD)
+    assert rows == sorted((r["priority"], r["alias"], r["canonical"]) for r in resolve.normal_aliases(aliases).collect())
+    assert resolve.unusable_aliases(aliases).collect()[0].asDict() == {"without_name": 4, "repeated": 1}
+
+
 def test_substring_join_on_random_text(spark):
     rng = random.Random(5)
-    aliases = [(i, "".join(rng.choice("abc") for _ in range(rng.randint(2, 4))), f"n{i}") for i in range(40)]
+    aliases = [(i, "".join(rng.choice("abc") for _ in range(rng.randint(1, 4))), f"n{i}") for i in range(40)]
     titles = ["".join(rng.choice("abcx ") for _ in range(rng.randint(0, 25))) for _ in range(300)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(titles)], "i int, title string")
     table = spark.createDataFrame(aliases, "priority long, alias string, canonical string")
