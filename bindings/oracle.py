@@ -125,13 +125,12 @@ CTES = {
         SELECT source, records_written AS last_run_records_written,
                greatest(records_scraped - records_valid, 0) AS last_run_records_invalid,
                greatest(records_valid - records_new, 0) AS last_run_records_duplicate,
-               greatest(records_valid - records_written, 0) AS last_run_records_unwritten, lag_hours,
-               CASE WHEN coalesce(len(errors), 0) > 0 THEN 'error' WHEN lag_hours > 24 THEN 'stale'
-                    WHEN lag_hours > 8 OR (records_valid > 0
+               greatest(records_valid - records_written, 0) AS last_run_records_unwritten, round(lag, 2) AS lag_hours,
+               CASE WHEN coalesce(len(errors), 0) > 0 THEN 'error' WHEN lag > 24 THEN 'stale'
+                    WHEN lag > 8 OR (records_valid > 0
                          AND greatest(records_valid - records_written, 0) / records_valid > 0.1) THEN 'degraded'
                     ELSE 'healthy' END AS status
-        FROM (SELECT *, round((epoch_us(TIMESTAMP '{RUNS_AS_OF}') - epoch_us(completed_at)) / 3.6e9, 2) AS lag_hours
-              FROM latest_runs)""",
+        FROM (SELECT *, (epoch_us(TIMESTAMP '{RUNS_AS_OF}') - epoch_us(completed_at)) / 3.6e9 AS lag FROM latest_runs)""",
 }
 
 # Which CTEs each one reads, in definition order.

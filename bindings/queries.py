@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -382,16 +383,15 @@ def non_positive_prices(spark, sf):
            CASE WHEN m.age_hours IS NULL OR m.age_hours > f.error_hours THEN 'error'
                 WHEN m.age_hours > f.warn_hours THEN 'warn' ELSE 'pass' END AS status
            FROM (VALUES ('ebay', 6, 24), ('pwcc', 12, 48), ('myslabs', 12, 48)) f(source, warn_hours, error_hours)
-           LEFT JOIN (SELECT source, (epoch_us(TIMESTAMP '1998-06-30 20:00:00') - epoch_us(max(scraped_at))) / 3.6e9
-                             AS age_hours
-                      FROM sales WHERE sale_date <= DATE '1998-06-30' - INTERVAL (l_suppkey % 4) DAY GROUP BY source) m
+           LEFT JOIN (SELECT source, (epoch_us(TIMESTAMP '1998-12-02 13:00:00') - epoch_us(max(scraped_at))) / 3.6e9
+                             AS age_hours FROM sales GROUP BY source) m
              ON f.source = m.source"""
     )
 )
 def freshness(spark, sf):
-    loaded = t.sales(spark, sf).where("sale_date <= date_sub(DATE '1998-06-30', CAST(l_suppkey % 4 AS INT))")
-    now = F.lit("1998-06-30 20:00:00").cast("timestamp")
-    result = checks.freshness(loaded.withColumn("ingested_at", F.col("scraped_at").cast("timestamp")), now)
+    now = F.lit("1998-12-02 13:00:00").cast("timestamp")
+    loaded = t.sales(spark, sf).withColumn("ingested_at", F.col("scraped_at").cast("timestamp"))
+    result = checks.freshness(loaded, now)
     return result.select("source", "warn_hours", "error_hours", "age_hours", "status")
 
 
@@ -886,8 +886,9 @@ def coverage(spark, sf):
 FIRST, SECOND = "1998-03-31", "1998-06-30"
 AT = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fighter_id, grade_id
            ORDER BY benchmark_date DESC, sale_id DESC) AS rn FROM pct
-        WHERE benchmark_date BETWEEN DATE '{d}' - INTERVAL 60 DAY AND DATE '{d}'
-          AND fighter_id IS NOT NULL AND grade_id IS NOT NULL) WHERE rn = 1"""
+        WHERE benchmark_date <= DATE '{d}' AND fighter_id IS NOT NULL AND grade_id IS NOT NULL) WHERE rn = 1"""
+# Keys that the second run no longer finds, and keys that the first doesn't find yet.
+GONE, NEW = "ascii(fighter_id) % 7 = 3", "ascii(fighter_id) % 11 = 5"
 SNAP = "fighter_id, grade_id, vwap_7d, vwap_30d, sale_count_30d"
 N_SNAP = "n.fighter_id, n.grade_id, n.vwap_7d, n.vwap_30d, n.sale_count_30d"
 O_SNAP = "o.fighter_id, o.grade_id, o.vwap_7d, o.vwap_30d, o.sale_count_30d"
@@ -906,18 +907,17 @@ DIFFERS = (
             SELECT {N_SNAP}, DATE '{SECOND}', NULL FROM n
             LEFT JOIN o ON o.fighter_id = n.fighter_id AND o.grade_id = n.grade_id
             WHERE o.fighter_id IS NULL OR {DIFFERS}""",
-        ("o", AT.format(d=FIRST)),
-        ("n", AT.format(d=SECOND)),
+        ("o", f"SELECT * FROM ({AT.format(d=FIRST)}) WHERE NOT ({NEW})"),
+        ("n", f"SELECT * FROM ({AT.format(d=SECOND)}) WHERE NOT ({GONE})"),
     ), text="valid_from valid_to")
 def scd2_snapshot(spark, sf):
-    """Two snapshot runs over the last 60 days of benchmarks, so keys also disappear."""
+    """Two snapshot runs over all benchmarks up to their day; the second lacks some keys."""
     rows = write_table(t.benchmarks(spark, sf, t.entities(spark, sf)), "benchmarks")
 
     def state(day: str) -> DataFrame:
-        end = F.lit(day).cast("date")
-        window = rows.where(F.col("benchmark_date").between(F.date_sub(end, 60), end))
+        so_far = rows.where(F.col("benchmark_date") <= F.lit(day).cast("date"))
         return dedup.first_per_key(
-            window.dropna(subset=["fighter_id", "grade_id"]),
+            so_far.dropna(subset=["fighter_id", "grade_id"]),
             ["fighter_id", "grade_id"],
             [F.col("benchmark_date").desc(), F.col("sale_id").desc()],
         )
@@ -925,7 +925,7 @@ def scd2_snapshot(spark, sf):
     def at(day: str):
         return F.lit(day).cast("timestamp")
 
-    history = scd.apply_snapshot(scd.first_snapshot(state(FIRST), at(FIRST)), state(SECOND), at(SECOND))
+    history = scd.apply_snapshot(scd.first_snapshot(state(FIRST).where(f"NOT ({NEW})"), at(FIRST)), state(SECOND).where(f"NOT ({GONE})"), at(SECOND))
     return history.select(
         "fighter_id",
         "grade_id",
@@ -1268,11 +1268,10 @@ def source_metrics(spark, sf):
     (SELECT lag_hours FROM status WHERE source = 'click') AS click_lag,
     (SELECT CASE max(CASE status WHEN 'error' THEN 3 WHEN 'stale' THEN 2 WHEN 'degraded' THEN 1 ELSE 0 END)
             WHEN 3 THEN 'error' WHEN 2 THEN 'stale' WHEN 1 THEN 'degraded' ELSE 'healthy' END FROM status) AS overall_status,
-    (SELECT count(*) FROM sales) AS total_records_in_fct_card_sales,
-    (SELECT count(DISTINCT fighter_name) FROM sales) AS fighters_with_coverage"""))
+    (SELECT count(*) FROM fact) AS total_records_in_fct_card_sales,
+    (SELECT count(DISTINCT fighter_id) FROM fact) AS fighters_with_coverage"""))
 def run_summary(spark, sf):
-    rows = t.sales(spark, sf).withColumn("fighter_id", F.col("fighter_name"))
-    summary = monitor.run_summary(t.runs(spark, sf), rows, t.runs_as_of())
+    summary = monitor.run_summary(t.runs(spark, sf), t.fact(spark, sf, t.entities(spark, sf)), t.runs_as_of())
     return summary.select(
         F.size("sources").cast("long").alias("n_sources"),
         F.col("sources")["click"]["lag_hours"].alias("click_lag"),
@@ -1345,14 +1344,14 @@ def roundtrip_raw(spark, sf):
     return parsed.select(*RAW_OUT)
 
 
-@query(sql(f"SELECT {', '.join(RAW_OUT)} FROM sales WHERE source IN ('ebay', 'goldin')"), number="sale_price_usd", text="sale_date")
+@query(sql(f"SELECT {', '.join(RAW_OUT)} FROM sales"), number="sale_price_usd", text="sale_date")
 def roundtrip_stage(spark, sf):
-    """Two writes of a stage: the second replaces only its own source's folder."""
+    """All sources written, two of them wrongly; a second write replaces just these."""
     path = scratch_path(spark, "stage")
     rows = t.sales(spark, sf).withColumn("processing_date", t.as_of())
-    sinks.write_stage(rows.where("source IN ('ebay', 'goldin')").withColumn("listing_id", F.lit("old")), path)
-    sinks.write_stage(rows.where("source = 'ebay'"), path)
-    sinks.write_stage(rows.where("source = 'goldin'"), path)
+    late = F.col("source").isin("ebay", "goldin")
+    sinks.write_stage(rows.withColumn("listing_id", F.when(late, "old").otherwise(F.col("listing_id"))), path)
+    sinks.write_stage(rows.where(late), path)
     return scans.scan_stage(spark, path).select(*RAW_OUT)
 
 
@@ -1395,10 +1394,10 @@ def roundtrip_status(spark, sf):
 
 @query(
     sql(
-        """SELECT fighter_name_canonical, grade, count(*) AS sales,
-                  CAST(max(n) AS BIGINT) AS busiest_30d
-           FROM (SELECT *, count(*) OVER (PARTITION BY fighter_name_canonical, grade, grader ORDER BY sale_date
-                                          RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS n
+        """SELECT fighter_name_canonical, grade, count(*) AS sales, CAST(max(n) AS BIGINT) AS busiest_30d,
+                  min(vwap_30d) AS lowest_vwap_30d, max(vwap_30d) AS highest_vwap_30d,
+                  max((CAST(sale_price_usd AS DOUBLE) - vwap_30d) / vwap_30d * 100) AS highest_change_30d
+           FROM (SELECT *, count(*) OVER w AS n, CAST(sum(sale_price_usd) OVER w AS DOUBLE) / count(sale_price_usd) OVER w AS vwap_30d
                  FROM (SELECT s.*, d.canonical AS fighter_name_canonical,
                               coalesce(CAST(s.sale_price_usd AS DOUBLE) < b.q1 - 3.0 * (b.q3 - b.q1)
                                        OR CAST(s.sale_price_usd AS DOUBLE) > b.q3 + 3.0 * (b.q3 - b.q1), FALSE) AS is_outlier
@@ -1407,7 +1406,9 @@ def roundtrip_status(spark, sf):
                                          quantile_disc(CAST(sale_price_usd AS DOUBLE), 0.75) AS q3
                                   FROM raw_latest GROUP BY source, grade) b
                          ON s.source = b.source AND s.grade = b.grade)
-                 WHERE grade IS NOT NULL AND grader IS NOT NULL AND NOT is_outlier)
+                 WHERE grade IS NOT NULL AND grader IS NOT NULL AND NOT is_outlier
+                 WINDOW w AS (PARTITION BY fighter_name_canonical, grade, grader ORDER BY sale_date
+                              RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW))
            GROUP BY fighter_name_canonical, grade""",
         ("dictionary", f"SELECT * FROM (VALUES {FIXED_ALIASES}) v(priority, alias, canonical)"),
         (
@@ -1418,28 +1419,125 @@ def roundtrip_status(spark, sf):
     )
 )
 def stages_end_to_end(spark, sf):
-    """Raw NDJSON through all four stages on disk, with the built-in dictionary."""
+    """Raw NDJSON through all four stages on disk, two days in a row, with the built-in dictionary."""
     layout = scans.Layout(scratch_path(spark, "layout"))
     names = F.create_map(*[F.lit(x) for i, alias, _ in resolve.alias_rows() for x in (i, alias)])
     named = t.sales(spark, sf).withColumn(
         "fighter_name", F.try_element_at(names, (F.col("l_partkey") % 120).cast("int"))
     )
     sinks.append_raw(_raw_records(named), layout.raw, t.as_of())
-    ingest.run_stages(spark, layout)
+    ingest.run_stages(spark, layout, as_of=dt.datetime(1998, 12, 2))
+    ingest.run_stages(spark, layout, as_of=dt.datetime(1998, 12, 3))
     return spark.read.parquet(layout.benchmarks).groupBy("fighter_name_canonical", "grade").agg(
-        F.count("*").alias("sales"), F.max("sale_count_30d").alias("busiest_30d")
+        F.count("*").alias("sales"),
+        F.max("sale_count_30d").alias("busiest_30d"),
+        F.min("vwap_30d").alias("lowest_vwap_30d"),
+        F.max("vwap_30d").alias("highest_vwap_30d"),
+        F.max("price_pct_change_30d").alias("highest_change_30d"),
     )
 
 
-@query(sql("SELECT record_hash, count(*) AS copies FROM (SELECT DISTINCT record_hash FROM sales) GROUP BY record_hash"))
-def stream_dedup(spark, sf):
-    """The lineitem file and its part join as a stream, deduplicated against the sink."""
+def _sales_stream(spark, sf) -> DataFrame:
+    """The lineitem file and its part join as a stream."""
     schema = t.table(spark, sf, "lineitem").schema
     spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf).createOrReplaceTempView(
         "lineitem_stream"
     )
     t.table(spark, sf, "part").createOrReplaceTempView("part")
-    rows = spark.sql(t.SALES.replace("FROM lineitem", "FROM lineitem_stream")).withColumn("record_hash", fs.record_hash())
+    rows = spark.sql(t.SALES.replace("FROM lineitem", "FROM lineitem_stream"))
+    return rows.withColumn("record_hash", fs.record_hash())
+
+
+@query(sql("SELECT record_hash, count(*) AS copies FROM (SELECT DISTINCT record_hash FROM sales) GROUP BY record_hash"))
+def stream_dedup(spark, sf):
+    """Deduplicated by keyed state."""
     path, state = scratch_path(spark, "stream"), scratch_path(spark, "stream_state")
-    streaming.append_new(rows, path, state, ties=t.TIES).awaitTermination()
-    return spark.read.parquet(path).groupBy("record_hash").agg(F.count("*").alias("copies"))
+    kept = streaming.stream_dedup(_sales_stream(spark, sf)).select("record_hash")
+    writer = kept.writeStream.format("parquet").option("checkpointLocation", state).option("path", path)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(kept.schema).parquet(path).groupBy("record_hash").agg(F.count("*").alias("copies"))
+
+
+@query(like("keep_latest"), number="sale_price_usd", text="sale_date")
+def append_new(spark, sf):
+    """Deduplicated against what earlier batches have written, in one batch."""
+    path, state = scratch_path(spark, "stream"), scratch_path(spark, "stream_state")
+    streaming.append_new(_sales_stream(spark, sf), path, state, ties=t.TIES).awaitTermination()
+    return spark.read.parquet(path).select(*SALE_OUT, "l_partkey")
+
+
+# --- operators whose only evidence were tests --------------------------------------------------
+
+
+@query(
+    sql(
+        f"""SELECT listing_id, source, TIMESTAMP '{AS_OF} 06:00:00' AS ingested_at, DATE '{AS_OF}' AS processing_date,
+                   TRUE AS from_own_folder FROM sales"""
+    ), text="ingested_at processing_date")
+def audit_trail(spark, sf):
+    """P1 over raw files: when a row was ingested, and from which file."""
+    path = scratch_path(spark, "raw_audit")
+    sinks.append_raw(_raw_records(t.sales(spark, sf)), path, t.as_of())
+    parsed, _ = scans.split_corrupt(scans.scan_raw(spark, path))
+    stamped = parsed.withColumns(fs.audit_columns(F.lit(f"{AS_OF} 06:00:00")))
+    folder = F.concat(F.lit("/source="), F.col("source"), F.lit("/"))
+    return stamped.select("listing_id", "source", F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"), "processing_date",
+        F.contains("source_file", folder).alias("from_own_folder"))
+
+
+@query(sql(f"SELECT listing_id, l_partkey, grade_numeric FROM ({DIRTY}) WHERE grade_numeric < 1 OR grade_numeric > 10"))
+def grade_range(spark, sf):
+    return checks.grades_out_of_range(_dirty(spark, sf)).select("listing_id", "l_partkey", "grade_numeric")
+
+
+@query(sql("SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS cert_key, CASE WHEN l_partkey % 4 > 0 THEN l_partkey % 10 + 0.5 END AS grade_numeric FROM sales"))
+def cert_cache(spark, sf):
+    """JSON documents that map certificates to their records, some missing, 1000 numbers each."""
+    keys = t.sales(spark, sf).select("l_partkey").distinct().withColumn("book", F.floor(F.col("l_partkey") / 1000))
+    name = F.col("l_partkey").cast("string")
+    record = F.when(F.col("l_partkey") % 4 > 0, F.struct(name.alias("cert_number"), (F.col("l_partkey") % 10 + 0.5).alias("grade_numeric")))
+    entry = F.concat(F.to_json(F.struct(name.alias("k"))).substr(F.lit(6), F.length(name) + 2), F.lit(": "),
+                     F.coalesce(F.to_json(record), F.lit("null")))
+    listed = F.concat_ws(", ", F.collect_list(entry))
+    documents = keys.groupBy("book").agg(F.concat(F.lit('{"_meta": null, '), listed, F.lit("}")).alias("value"))
+    path = scratch_path(spark, "certs")
+    documents.write.partitionBy("book").text(path)
+    cached = scans.scan_cert_cache(spark, path)
+    return cached.select("cert_key", F.col("cert.grade_numeric").alias("grade_numeric"))
+
+
+@query(sql(f"SELECT DISTINCT record_hash FROM sales WHERE {SEEN}"))
+def seen_json(spark, sf):
+    """JSON arrays of hashes, a document for 500 orders."""
+    book = F.floor(F.split_part("listing_id", F.lit("-"), F.lit(1)).cast("long") / 500).alias("book")
+    seen = t.sales(spark, sf).where(SEEN).groupBy(book).agg(F.to_json(F.collect_set("record_hash")).alias("value"))
+    path = scratch_path(spark, "seen_json")
+    seen.write.partitionBy("book").text(path)
+    return scans.scan_seen_json(spark, path)
+
+
+@query(sql("SELECT source, run_id, started_at, records_written, coalesce(len(errors), 0) AS n_errors FROM latest_runs"), text="started_at")
+def run_documents(spark, sf):
+    """S6 as documents of several lines, one per source, beside one that can't be read."""
+    newest = monitor.latest_runs(t.runs(spark, sf))
+    path = scratch_path(spark, "run_documents")
+    whole = F.struct("source", "run_id", F.date_format("started_at", sinks.MICROS).alias("started_at"), "records_written", "errors")
+    newest.select("source", F.to_json(whole, {"pretty": "true"}).alias("value")).write.partitionBy("source").text(path)
+    spark.createDataFrame([("broken", "{oops")], "source string, value string").write.mode("append").partitionBy("source").text(path)
+    back = scans.scan_run_log(spark, path)
+    return back.select("source", "run_id", F.col("started_at").cast("timestamp_ntz").alias("started_at"), "records_written",
+        F.coalesce(F.size("errors"), F.lit(0)).cast("long").alias("n_errors"))
+
+
+@query(
+    sql(
+        f"""SELECT 'new' AS kind, count(DISTINCT record_hash) AS records FROM ({DIRTY}) c WHERE {ERRORS_SQL} = ''
+                   AND NOT EXISTS (SELECT 1 FROM sales s WHERE s.record_hash = c.record_hash AND s.{SEEN})
+            UNION ALL SELECT 'quarantined', count(*) FROM ({DIRTY}) WHERE {ERRORS_SQL} <> ''"""
+    )
+)
+def capture(spark, sf):
+    """Entry point D: a batch validated, split, and reduced to what was not seen before."""
+    fresh, quarantine = ingest.capture(_dirty(spark, sf), t.sales(spark, sf).where(SEEN), YEAR)
+    count = lambda kind, df: df.agg(F.count("*").alias("records")).select(F.lit(kind).alias("kind"), "records")
+    return count("new", fresh).unionByName(count("quarantined", quarantine))

@@ -87,14 +87,22 @@ def path_parts(ts: Column | str) -> dict[str, Column]:
     }
 
 
-def lag_hours(completed_at: Column, as_of: Column) -> Column:
-    """Hours since completion, two decimals, 0 when the time is missing."""
+def raw_lag_hours(completed_at: Column, as_of: Column) -> Column:
+    """Hours since completion as they are, 0 when the time is missing."""
     micros = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(completed_at.cast("timestamp"))
-    return F.round(F.coalesce(micros / F.lit(3.6e9), F.lit(0.0)), 2)
+    return F.coalesce(micros / F.lit(3.6e9), F.lit(0.0))
+
+
+def lag_hours(completed_at: Column, as_of: Column) -> Column:
+    """Hours since completion for display, two decimals."""
+    return F.round(raw_lag_hours(completed_at, as_of), 2)
 
 
 def run_status(has_errors: Column, lag: Column, invalid_ratio: Column, max_invalid_ratio: float | None) -> Column:
-    """Error, stale, degraded or healthy; the invalid-ratio rule is optional."""
+    """Error, stale, degraded or healthy; the invalid-ratio rule is optional.
+
+    ``lag`` is the unrounded one: a run 10 seconds past a threshold is past it.
+    """
     degraded = lag > fixed.DEGRADED_HOURS
     if max_invalid_ratio is not None:
         degraded = degraded | F.coalesce(invalid_ratio > max_invalid_ratio, F.lit(False))

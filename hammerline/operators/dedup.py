@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hammerline.session import is_small, materialise
+
 
 def _sortable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
@@ -30,10 +32,12 @@ def keep_latest(
     """Newest row per key. Among equally new rows the one with the largest ``ties``
     wins, then the largest remaining columns in order, so reruns agree.
 
-    An aggregate rather than a rank: the row itself, led by its order columns, is the
-    value whose maximum is taken. Each task first reduces its own copies of a key to one
-    row, so a hot key costs the shuffle one row per task. Rows with a NULL key are not
-    comparable and are left out; see :func:`split_null_key`.
+    Most keys occur once. Keys are counted first, which reads only the key column; rows of
+    a key that occurs once then pass through as they are, neither sorted nor aggregated. Of
+    the others, the row itself, led by its order columns, is the value whose maximum is
+    taken: each task reduces its own copies of a key to one row, so a hot key costs the
+    shuffle one row per task. ``df`` is read three times and should be cheap to read. Rows
+    with a NULL key are not comparable and are left out; see :func:`split_null_key`.
     """
     order = [latest, *(ties or [])]
     sortable = _sortable(df)
@@ -43,8 +47,13 @@ def keep_latest(
     else:  # nested columns take no part in the order
         plain = [c for c in rest if c in sortable]
         newest = F.max_by(F.struct(*order, *rest), F.struct(*order, *plain))
-    kept = df.where(F.col(key).isNotNull()).groupBy(key).agg(newest.alias("_row"))
-    return kept.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    keyed = df.where(F.col(key).isNotNull())
+    repeated = materialise(duplicate_keys(keyed, key).select(key))
+    # Beyond the broadcast limit the keys, not the rows, are hashed on either side.
+    side = F.broadcast(repeated) if is_small(repeated) else repeated.hint("shuffle_hash")
+    alone = keyed.join(side, key, "left_anti").select(df.columns)
+    kept = keyed.join(side, key, "left_semi").groupBy(key).agg(newest.alias("_row"))
+    return alone.unionByName(kept.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns]))
 
 
 def split_null_key(df: DataFrame, key: str = "record_hash") -> tuple[DataFrame, DataFrame]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hammerline import fixed
 from hammerline.functions.sales import SECONDS_PER_DAY, epoch_seconds, pct_deviation
@@ -17,6 +19,8 @@ DIM_KEYS = ("fighter_id", "grade_id")
 
 # A window group above this many rows is cut into blocks instead of sorted by one task.
 HOT_ROWS = 5_000_000
+# Of the order's tie, as slices of a hot group's day.
+LONGEST_PREFIX = 16
 
 
 def eligible(df: DataFrame, keys: Sequence[str] = ENTITY_KEYS, value: str = "sale_price_usd") -> DataFrame:
@@ -29,6 +33,13 @@ def _mean(total: Column, n: Column) -> Column:
     return F.when(n > 0, total.cast("double") / n.cast("double"))
 
 
+def _exact(df: DataFrame, *columns: str | None) -> None:
+    """Frames are differences of running totals, which only exact numbers survive."""
+    for name in columns:
+        if name is not None and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            raise TypeError(f"{name} is {df.schema[name].dataType.simpleString()}; cast it to a decimal first")
+
+
 def rolling_by_date(
     df: DataFrame,
     keys: Sequence[str] = ENTITY_KEYS,
@@ -45,9 +56,11 @@ def rolling_by_date(
     result is joined back on key and day. No window group exceeds the number of days,
     however popular its key is. Rows with a NULL key keep NULL benchmarks.
 
-    ``weight`` turns the plain mean into a weighted one.
+    ``weight`` turns the plain mean into a weighted one. Value and weight must be decimals or
+    integers.
     """
     keys = list(keys)
+    _exact(df, value, weight)
     amount = F.col(value) if weight is None else F.col(value) * F.col(weight)
     units = F.count(value) if weight is None else F.sum(F.when(F.col(value).isNotNull(), F.col(weight)))
     daily = df.groupBy(*keys, date).agg(
@@ -146,8 +159,10 @@ def rolling_by_rows(
 
     Groups above ``hot_rows`` are not given to one task (see :func:`_rolling_hot`). The
     input is read once more to count its keys, so pass a written table, not a long plan.
+    The value must be a decimal or an integer.
     """
     keys = list(keys)
+    _exact(df, value)
     order = [F.col(date).asc_nulls_first(), F.col(tie).asc_nulls_first()]
     # A struct of the keys is never NULL itself, so NULL keys group and join as values.
     grouped = df.withColumn("_group", F.struct(*keys))
@@ -177,6 +192,7 @@ def _rolling_hot(
     """Row frames of groups (column ``_group``) too large for one task.
 
     1. Slice each group by day and leading characters of ``tie``; both follow the order.
+       So many characters are taken that no slice is larger than a block, or LONGEST_PREFIX.
        Slice counts, summed in order, give the position each slice starts at.
     2. Position of a row = start of its slice + rank inside the slice. The join and the
        rank use the same keys, so the rows are shuffled once for both.
@@ -186,13 +202,17 @@ def _rolling_hot(
     """
     longest = max([*mean_rows, *count_rows])
     block_rows = max(block_rows, longest)
-    sliced = df.withColumns(
-        {
-            "_piece": F.substring(F.coalesce(F.col(tie), F.lit("")), 1, 2),
-            "_day": F.coalesce(F.unix_date(date), F.lit(-(2**31))),
-        }
-    )
     slice_keys = ["_group", "_day", "_piece"]
+    day = F.coalesce(F.unix_date(date), F.lit(-(2**31)))
+    prefix = 1
+    while True:
+        piece = F.substring(F.coalesce(F.col(tie), F.lit("")), 1, prefix)
+        sliced = df.withColumns({"_piece": piece, "_day": day})
+        largest = sliced.groupBy(*slice_keys).agg(F.count("*").alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+        if largest <= block_rows or prefix >= LONGEST_PREFIX:
+            break
+        # A character of a hash cuts a slice into sixteen.
+        prefix = min(LONGEST_PREFIX, prefix + max(1, math.ceil(math.log(largest / block_rows, 16))))
     before = W.partitionBy("_group").orderBy("_day", "_piece").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         sliced.groupBy(*slice_keys)

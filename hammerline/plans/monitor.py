@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline import fixed
-from hammerline.functions.sales import lag_hours, run_status, severity, status_name
+from hammerline.functions.sales import lag_hours, raw_lag_hours, run_status, severity, status_name
 from hammerline.operators.dedup import first_per_key, new_records
 from hammerline.operators.validate import error_counts, split_valid
 
@@ -29,7 +29,7 @@ def source_status(runs: DataFrame, as_of: Column, max_invalid_ratio: float | Non
     """
     valid = F.coalesce("records_valid", F.lit(0))
     unwritten = F.greatest(valid - F.coalesce("records_written", F.lit(0)), F.lit(0))
-    lag = lag_hours(F.col("completed_at"), as_of)
+    lag = raw_lag_hours(F.col("completed_at"), as_of)
     has_errors = F.coalesce(F.size("errors"), F.lit(0)) > 0
     ratio = F.try_divide(unwritten, valid)
     return latest_runs(runs).select(
@@ -40,7 +40,7 @@ def source_status(runs: DataFrame, as_of: Column, max_invalid_ratio: float | Non
         F.greatest(F.col("records_scraped") - valid, F.lit(0)).alias("last_run_records_invalid"),
         F.greatest(valid - F.col("records_new"), F.lit(0)).alias("last_run_records_duplicate"),
         run_status(has_errors, lag, ratio, max_invalid_ratio).alias("status"),
-        lag.alias("lag_hours"),
+        lag_hours(F.col("completed_at"), as_of).alias("lag_hours"),
         as_of.cast("timestamp").alias("updated_at"),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,17 @@ class Layout:
         return self.path("marts", name)
 
 
+def or_empty(spark: SparkSession, schema: str, read: Callable[[], DataFrame]) -> DataFrame:
+    """What ``read`` returns, or no rows if its path doesn't exist. Any other failure, such
+    as a schema that doesn't fit or a folder that may not be read, stays an error."""
+    try:
+        return read()
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def scan_raw(spark: SparkSession, raw_dir: str, source: str | None = None, hive: bool = True) -> DataFrame:
     """Raw NDJSON with the 17 declared fields, the file name and corrupt lines.
 
@@ -136,15 +148,12 @@ def scan_titles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_cert_cache(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON map certificate -> record as rows; an unreadable file is empty.
+    """A JSON map certificate -> record as rows; a missing or malformed file is empty.
 
     A certificate cached as missing keeps its key with a NULL record.
     """
     cached = F.from_json("value", T.MapType(T.StringType(), schemas.CERT))
-    try:
-        text = spark.read.text(path, wholetext=True)
-    except AnalysisException:
-        text = spark.createDataFrame([], "value string")
+    text = or_empty(spark, "value string", lambda: spark.read.text(path, wholetext=True))
     return (
         text.select(F.explode(cached).alias("cert_key", "cert"))
         .where(F.col("cert_key") != "_meta")
@@ -154,10 +163,7 @@ def scan_cert_cache(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_seen_json(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of hashes; a missing or blank file is empty, bad JSON an error."""
-    try:
-        text = spark.read.text(path, wholetext=True)
-    except AnalysisException:
-        return spark.createDataFrame([], "record_hash string")
+    text = or_empty(spark, "value string", lambda: spark.read.text(path, wholetext=True))
     hashes = F.from_json("value", T.ArrayType(T.StringType()), {"mode": "FAILFAST"})
     return (
         text.where(F.trim(F.regexp_replace("value", r"\s", "")) != "")
@@ -168,7 +174,5 @@ def scan_seen_json(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_seen(spark: SparkSession, path: str) -> DataFrame:
     """The seen-hash table; empty before the first run."""
-    try:
-        return spark.read.schema("record_hash string").parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], "record_hash string")
+    schema = "record_hash string"
+    return or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))

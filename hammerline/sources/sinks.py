@@ -24,14 +24,18 @@ def _partitioned(df: DataFrame, by: Sequence[str]):
     return df.hint("rebalance", *by).write.partitionBy(*by)
 
 
-def write_stage(df: DataFrame, path: str, by: Sequence[str] = ("source", "processing_date")) -> None:
-    """K1/K2: Parquet by folder; only the folders present in ``df`` are replaced."""
-    _partitioned(df, by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def write_stage(
+    df: DataFrame, path: str, by: Sequence[str] = ("source", "processing_date"), whole: bool = False
+) -> None:
+    """K1/K2: Parquet by folder; only the folders present in ``df`` are replaced, or the
+    ``whole`` stage. ``df`` must not read the stage it replaces."""
+    mode = "static" if whole else "dynamic"
+    _partitioned(df, by).mode("overwrite").option("partitionOverwriteMode", mode).parquet(path)
 
 
 def write_benchmarks(df: DataFrame, path: str) -> None:
-    """K2."""
-    write_stage(df, path, ["processing_date"])
+    """K2: all benchmarks, replacing those of earlier runs; every run computes all of them."""
+    write_stage(df, path, ["processing_date"], whole=True)
 
 
 def write_source_tables(

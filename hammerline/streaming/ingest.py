@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hammerline import schemas
 from hammerline.operators.dedup import new_records
+from hammerline.session import write_table
+from hammerline.sources.scans import or_empty
 
 
 def stream_raw(spark: SparkSession, raw_dir: str, max_files: int = 1000) -> DataFrame:
@@ -21,13 +22,13 @@ def stream_raw(spark: SparkSession, raw_dir: str, max_files: int = 1000) -> Data
     )
 
 
-def stream_dedup(stream: DataFrame, key: str = "record_hash", ts: str = "scraped_at", horizon: str = "7 days") -> DataFrame:
-    """J8 with bounded state: the first row per key within ``horizon``.
+def stream_dedup(stream: DataFrame, key: str = "record_hash") -> DataFrame:
+    """J8 as keyed state, exact: the first row to arrive of every key, however late copies come.
 
-    For feeds that arrive in time order. Rows later than the horizon are discarded by
-    the watermark and older copies are forgotten; :func:`append_new` has neither limit.
+    The state holds every key ever seen, spread over the state partitions, and a batch
+    touches only its own keys. Sessions with long histories should keep it in RocksDB.
     """
-    return stream.where(F.col(key).isNotNull()).withWatermark(ts, horizon).dropDuplicatesWithinWatermark([key])
+    return stream.where(F.col(key).isNotNull()).dropDuplicates([key])
 
 
 def append_new(
@@ -37,26 +38,31 @@ def append_new(
     key: str = "record_hash",
     latest: str = "scraped_at",
     ties: list[str] | None = None,
+    prefix: int = 2,
 ) -> StreamingQuery:
-    """J8, exact: every available row whose key no earlier batch has written.
+    """J8, exact: every available row whose key no earlier batch has written; of copies
+    within a batch the newest.
 
-    The written table itself is the seen set; only its key column is read. A batch
-    writes its own folder, so a batch repeated after a failure replaces its first try.
+    The written table itself is the seen set. It is partitioned by the first ``prefix``
+    characters of the key, and a batch reads only the key column of the folders its own
+    keys fall into. A batch writes its own folders, so a batch repeated after a failure
+    replaces its first try.
     """
     spark = stream.sparkSession
-    seen_schema = f"{key} string, batch_id long"
+    seen_schema = f"{key} string, key_prefix string, batch_id long"
+    start = F.substring(F.col(key), 1, prefix)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        try:
-            seen = spark.read.schema(seen_schema).parquet(path).where(F.col("batch_id") < batch_id)
-        except AnalysisException:
-            seen = spark.createDataFrame([], seen_schema)
+        rows = write_table(batch.where(F.col(key).isNotNull()), "batch")
+        prefixes = [r[0] for r in rows.select(start).distinct().collect()]  # at most 16 ** prefix of a hash
+        seen = or_empty(spark, seen_schema, lambda: spark.read.schema(seen_schema).parquet(path))
+        seen = seen.where(F.col("key_prefix").isin(prefixes)).where(F.col("batch_id") < batch_id)
         (
-            new_records(batch, seen, key, latest, ties)
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            new_records(rows, seen, key, latest, ties)
+            .withColumns({"key_prefix": start, "batch_id": F.lit(batch_id).cast("long")})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("key_prefix", "batch_id")
             .parquet(path)
         )
 

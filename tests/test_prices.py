@@ -43,6 +43,25 @@ def test_outliers_by_shuffle_join_agree(spark, monkeypatch):
     assert values(outliers.flag_outliers(df)) == small
 
 
+@pytest.mark.parametrize("accuracy", [5, 30, 10_000])
+def test_quartiles_are_exact_beyond_the_sketch(spark, accuracy):
+    """Whatever the sketch can tell apart, ties and NULL groups included."""
+    rng = random.Random(7)
+    rows = [("s", None if i % 5 == 0 else f"g{i % 3}", float(int(rng.paretovariate(1.2) * 20) / 4)) for i in range(3000)]
+    rows += [("s", "flat", 1.0)] * 50 + [("s", "none", None), ("s", "one", 7.0)]
+    df = spark.createDataFrame(rows, "source string, grade string, sale_price_usd double").repartition(6)
+    got = {r["grade"]: (r["q1"], r["q3"]) for r in outliers.iqr_bounds(df, accuracy=accuracy).collect()}
+    groups = {}
+    for _, grade, price in rows:
+        groups.setdefault(grade, []).extend([] if price is None else [price])
+    for grade, prices in groups.items():
+        prices.sort()
+        at = [prices[max(1, -(-len(prices) * k // 4)) - 1] if prices else None for k in (1, 3)]
+        assert got[grade] == tuple(at), grade
+    sketch = outliers.iqr_bounds(df, accuracy=accuracy, exact=False)
+    assert sketch.columns == outliers.iqr_bounds(df).columns
+
+
 # --- resolution ---------------------------------------------------------------------------
 
 PRIORITY = [(0, "conor mcgregor", "A"), (1, "mcgregor", "B"), (2, "volk", "C"), (3, "mighty mouse", "D"), (4, "ufc", "E")]

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import column, values
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from hammerline import schemas
@@ -201,6 +202,21 @@ def test_run_log_documents(spark, tmp_path):
     assert [r["error"] for r in monitor.recent_errors(runs).collect()] == ["x", "y"]
 
 
+@pytest.mark.parametrize(
+    "ago, expected", [(28_790, "healthy"), (28_810, "degraded"), (86_390, "degraded"), (86_410, "stale")]
+)
+def test_thresholds_see_the_unrounded_lag(spark, ago, expected):
+    """Ten seconds on either side of 8 and 24 hours, which both round to the threshold."""
+    end = dt.datetime(2024, 1, 3, 12)
+    runs = spark.createDataFrame(
+        [("ebay", "1", end - dt.timedelta(seconds=ago), 1, 1, 1, 1, [])],
+        "source string, run_id string, completed_at timestamp, records_scraped int, records_valid int, records_new int, "
+        "records_written int, errors array<string>",
+    )
+    row = monitor.source_status(runs, F.lit(end).cast("timestamp")).first()
+    assert (row["status"], row["lag_hours"]) == (expected, 8.0 if ago < 50_000 else 24.0)
+
+
 def test_capture_keeps_quarantine(spark):
     batch = sales(spark, {}, {}, {"listing_id": "b"}, {"sale_type": "gift"})
     seen = spark.createDataFrame([], "record_hash string")
@@ -212,17 +228,56 @@ def test_capture_keeps_quarantine(spark):
 def test_second_day_does_not_repeat_records(spark, tmp_path):
     layout = scans.Layout(str(tmp_path))
     day = F.lit("2024-06-02").cast("timestamp")
-    rows = validate.validate_sales(sales(spark, *[{"listing_id": str(i)} for i in range(20)]), 2024).drop("errors")
+    rows = validate.validate_sales(sales(spark, *[{"listing_id": str(i), "grade": "PSA 10", "grader": "PSA"} for i in range(20)]), 2024)
+    rows = rows.drop("errors")
     sinks.append_raw(rows, layout.raw, day)
     ingest.run_stages(spark, layout, as_of=dt.datetime(2024, 6, 2))
     sinks.append_raw(rows, layout.raw, F.lit("2024-06-03").cast("timestamp"))
     ingest.run_stages(spark, layout, as_of=dt.datetime(2024, 6, 3))
     assert spark.read.parquet(layout.enriched).count() == 20
+    frames = spark.read.parquet(layout.benchmarks)
+    assert frames.count() == frames.select("record_hash").distinct().count() == 20
+    assert frames.select("processing_date").distinct().count() == 1
     one = spark.read.parquet(layout.enriched).first()
     assert (one["fighter_name_canonical"], one["sport"], one["sale_type"]) == ("Conor McGregor", "UNKNOWN", "AUCTION")
     assert one["processing_date"] == dt.date(2024, 6, 3)
 
 
+def test_vanished_source_leaves_no_folder(spark, tmp_path):
+    layout = scans.Layout(str(tmp_path))
+    rows = sales(spark, *[{"listing_id": str(i), "source": s, "grade": "PSA 10", "grader": "PSA"} for i in range(4) for s in ("ebay", "pwcc")])
+    rows = validate.validate_sales(rows, 2024).drop("errors")
+    when = F.lit("2024-06-02").cast("timestamp")
+    sinks.append_raw(rows, layout.raw, when)
+    ingest.run_stages(spark, layout)
+    import shutil
+
+    shutil.rmtree(tmp_path / "raw/source=pwcc")
+    ingest.run_stages(spark, layout)
+    for stage in (layout.ingested, layout.normalised, layout.enriched):
+        assert column(spark.read.parquet(stage).select("source").distinct()) == ["ebay"]
+    assert column(spark.read.parquet(layout.benchmarks).select("source").distinct()) == ["ebay"]
+
+
+def test_only_a_missing_path_is_empty(spark, tmp_path):
+    """A path that exists but can't be read as asked is an error, not an empty set."""
+    assert scans.scan_seen(spark, str(tmp_path / "none")).count() == 0
+    assert scans.scan_seen_json(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(AnalysisException):
+        scans.or_empty(spark, "a string", lambda: spark.read.parquet(str(tmp_path)).select("nothing"))
+
+
+def test_unique_rows_are_not_sorted(spark):
+    rows = spark.range(50_000).selectExpr("sha2(cast(id % 49000 as string), 256) as record_hash", "timestamp_seconds(id) as scraped_at")
+    kept = dedup.keep_latest(rows)
+    assert kept.count() == 49_000
+    newest = {r[0] for r in kept.select(F.unix_timestamp("scraped_at")).collect()}
+    assert newest == set(range(1000, 50_000))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    alone = plan.split("Union")[1].split("SortAggregate")[0].split("ObjectHash")[0]
+    assert "LeftAnti" in alone and "Sort " not in alone and "Exchange hashpartitioning" not in alone
+
+
 def test_source_tables_sum_to_input(spark, tmp_path):
     rows = sales(spark, *[{"source": s, "listing_id": str(i)} for i in range(5) for s in ("ebay", "pwcc", "goldin")])
     sinks.write_source_tables(rows.withColumn("processing_date", F.current_date()), str(tmp_path / "w"))
