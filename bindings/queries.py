@@ -1222,6 +1222,20 @@ def listing_pages_pwcc(spark, sf):
     return parsing.page_sales(pages, "html", t.as_of(), parsing.PWCC_PAGE).select(*PARSED_OUT)
 
 
+@query(
+    """SELECT page_id, url, regexp_extract(url, '([^/]*)/*$', 1) AS last_segment,
+              nullif(trim(replace(replace(replace(replace(regexp_extract(html, '<h1[^>]*>([^<]*)', 1), '&lt;', '<'), '&gt;', '>'),
+                     '&quot;', '"'), '&amp;', '&')), '') AS heading
+       FROM pages"""
+)
+def stored_page_headings(spark, sf):
+    """The given pages: the last part of the address and the decoded heading."""
+    heading = F.regexp_extract(F.col("html"), "<h1[^>]*>([^<]*)", 1)
+    return t.table(spark, sf, "pages").select(
+        "page_id", "url", tx.last_path_segment("url").alias("last_segment"), tx.blank_to_null(tx.html_text(heading)).alias("heading")
+    )
+
+
 # --- monitoring -----------------------------------------------------------------------------
 
 STATUS_OUT = [

@@ -73,25 +73,41 @@ def price_from_text(raw: Column | str) -> Column:
     return blank_to_null(F.regexp_replace(_col(raw), r"[^0-9.]", "")).try_cast(PRICE)
 
 
-# The closed list of date spellings P14 reads: the part to cut out of the text, and the
-# pattern that part is parsed with after separators are reduced to single spaces.
+# The closed list of date spellings P14 reads, tried in this order: where the text has the
+# year (y), the month (m), its name (n) and the day (d).
 _MONTH = r"(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+_YEAR = r"(\d{4}|\d{2})\b(?![:.]\d)"
 DATE_SPELLINGS = [
-    (r"\b(\d{4})-(\d{1,2})-(\d{1,2})", "$1 $2 $3", "yyyy M d"),
-    (rf"(?i)\b({_MONTH})[a-z]*\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})\b", "$1 $2 $3", "MMM d yyyy"),
-    (rf"(?i)\b(\d{{1,2}})(?:st|nd|rd|th)?\s+({_MONTH})[a-z]*\.?,?\s+(\d{{4}})\b", "$1 $2 $3", "d MMM yyyy"),
-    (r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b", "$1 $2 $3", "M d yyyy"),
+    (r"\b(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", "ymd"),
+    (rf"(?i)\b({_MONTH})[a-z]*\.?[\s-]+(\d{{1,2}})(?:st|nd|rd|th)?(?:,\s*|[\s-]+){_YEAR}", "ndy"),
+    (rf"(?i)\b(\d{{1,2}})(?:st|nd|rd|th)?[\s-]+({_MONTH})[a-z]*\.?(?:,\s*|[\s-]+){_YEAR}", "dny"),
+    (rf"\b(\d{{1,2}})/(\d{{1,2}})/{_YEAR}", "mdy"),
+    (rf"\b(\d{{1,2}})\.(\d{{1,2}})\.{_YEAR}", "mdy"),
+    (rf"\b(\d{{1,2}})-(\d{{1,2}})-{_YEAR}", "mdy"),
+    (rf"(?i)\b({_MONTH})[a-z]*\.?,?\s+(\d{{4}})\b", "ny"),
 ]
+# Two-digit years from here on belong to the last century.
+CENTURY_FROM = "70"
 
 
 def date_from_text(raw: Column | str, default: Column | None = None) -> Column:
-    """The first spelling found anywhere in the text, else ``default``."""
+    """The first spelling found anywhere in the text, else ``default``.
+
+    Numbers are read month first, or day first where only that is a date. A month without a
+    day is its first day.
+    """
     raw = _col(raw)
     parsed = []
-    for pattern, _, layout in DATE_SPELLINGS:
-        parts = [F.regexp_extract(raw, pattern, i) for i in (1, 2, 3)]
-        text = F.when(raw.rlike(pattern), F.concat_ws(" ", *parts))
-        parsed.append(F.try_to_timestamp(text, F.lit(layout)).cast("date"))
+    for pattern, places in DATE_SPELLINGS:
+        part = {place: F.regexp_extract(raw, pattern, i) for i, place in enumerate(places, 1)}
+        century = F.when(part["y"] < CENTURY_FROM, "20").otherwise("19")
+        year = F.when(F.length(part["y"]) == 2, F.concat(century, part["y"])).otherwise(part["y"])
+        month, day = part.get("n", part.get("m")), part.get("d", F.lit("1"))
+        layout = F.lit("MMM d yyyy" if "n" in part else "M d yyyy")
+        orders = [(month, day), (day, month)] if places == "mdy" else [(month, day)]
+        for first, second in orders:
+            text = F.when(raw.rlike(pattern), F.concat_ws(" ", first, second, year))
+            parsed.append(F.try_to_timestamp(text, layout).cast("date"))
     if default is not None:
         parsed.append(default)
     return F.coalesce(*parsed)
@@ -139,13 +155,41 @@ def last_path_segment(url: Column | str) -> Column:
     return F.substring_index(F.rtrim(_col(url), F.lit("/")), "/", -1)
 
 
-# --- fixed values: character entities decoded in stored pages (``&amp;`` last) -------
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# --- fixed values: named character references decoded in stored pages (``&amp;`` last) -------
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0"), ("&ndash;", "–"), ("&mdash;", "—"),
+    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&hellip;", "…"), ("&bull;", "•"),
+    ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&deg;", "°"), ("&frac12;", "½"),
+    ("&times;", "×"), ("&euro;", "€"), ("&pound;", "£"), ("&cent;", "¢"), ("&yen;", "¥"), ("&agrave;", "à"),
+    ("&aacute;", "á"), ("&acirc;", "â"), ("&atilde;", "ã"), ("&auml;", "ä"), ("&ccedil;", "ç"), ("&egrave;", "è"),
+    ("&eacute;", "é"), ("&ecirc;", "ê"), ("&euml;", "ë"), ("&iacute;", "í"), ("&icirc;", "î"), ("&iuml;", "ï"),
+    ("&ntilde;", "ñ"), ("&oacute;", "ó"), ("&ocirc;", "ô"), ("&otilde;", "õ"), ("&ouml;", "ö"), ("&uacute;", "ú"),
+    ("&uuml;", "ü"), ("&szlig;", "ß"), ("&Eacute;", "É"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&Auml;", "Ä"),
+    ("&amp;", "&"),
+]
+NUMERIC_REFERENCE = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
+
+def _character(reference: Column) -> Column:
+    """The character of a numeric reference; the replacement character if there is none."""
+    digits = F.regexp_extract(reference, r"([0-9a-fA-F]+);", 1)
+    point = F.when(F.lower(reference).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    real = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+    return F.when(real, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def numeric_references(text: Column) -> Column:
+    """The text with its numeric character references decoded."""
+    between = F.split(text, NUMERIC_REFERENCE, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(NUMERIC_REFERENCE), F.lit(0)), _character)
+    pairs = F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(text.rlike(NUMERIC_REFERENCE), F.array_join(pairs, "")).otherwise(text)
 
 
 def html_text(fragment: Column) -> Column:
-    """Visible text of an HTML fragment: tags removed, entities decoded, trimmed."""
+    """Visible text of an HTML fragment: tags removed, character references decoded, trimmed."""
     out = F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
+    out = numeric_references(out)
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.btrim(out, F.lit(WHITESPACE + " "))
+    return strip(out)

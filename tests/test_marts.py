@@ -224,6 +224,28 @@ def test_api_edge_items(spark):
     assert (row["listing_id"], row["grade"], row["sale_date"], row["sale_type"]) == ("1", "PSA 9", dt.date(2024, 6, 30), "buy_it_now")
 
 
+def test_pages_as_sites_write_them(spark):
+    """Nested spans, single quotes, character references, relative links, text before the link."""
+    item = """<li class='s-item'><div class='s-item__title'><span role="heading"><span class="LIGHT_HIGHLIGHT">New Listing</span>{}</span>
+      </div><span class='s-item__price'><span>$</span>5.00</span><a class='s-item__link' href='{}'></a></li>"""
+    html = "<ul>" + item.format("UFC Jos&#233; &eacute; O&#x27;Neil PSA&nbsp;10", "https://e/itm/1") + item.format("Relative PSA 9", "/itm/12")
+    df = spark.createDataFrame([(html,)], "html string")
+    [row] = parsing.page_sales(df, "html", as_of(), parsing.EBAY_PAGE).collect()
+    assert (row["listing_id"], row["listing_title"]) == ("1", "New ListingUFC José é O'Neil PSA\xa010")
+    assert (row["grade"], row["sale_price_usd"]) == ("PSA 10", Decimal("5.00"))
+
+    card = """<div class="card"><p class='chakra-text'>$%d.00</p><p class="chakra-text">Card %d PSA 9</p>
+      <a href='https://www.fanaticscollect.com/buy-now/id%d'><b>see</b></a><p class="chakra-text">Sold on Jun 1, 2024 in Buy Now</p></div>"""
+    grid = "<div class='grid'>" + "".join(card % (i, i, i) for i in (1, 2, 3)) + "</div>"
+    rows = parsing.page_sales(spark.createDataFrame([(grid,)], "html string"), "html", as_of(), parsing.PWCC_PAGE).collect()
+    assert sorted((r["listing_id"], r["listing_title"], int(r["sale_price_usd"])) for r in rows) == [
+        (f"id{i}", f"Card {i} PSA 9", i) for i in (1, 2, 3)
+    ]
+    long = "<ul>" + item.format("x <i>y</i> " * 5000 + "PSA 8", "https://e/itm/3")
+    [row] = parsing.page_sales(spark.createDataFrame([(long,)], "html string"), "html", as_of(), parsing.EBAY_PAGE).collect()
+    assert row["grade"] == "PSA 8"
+
+
 def test_page_items_without_essentials_are_dropped(spark):
     html = """<ul><li class="s-item"><div class="s-item__title"><span>Shop on eBay</span></div>
       <span class="s-item__price">$1</span><a class="s-item__link" href="https://e/itm/0"></a></li>

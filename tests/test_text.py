@@ -46,6 +46,18 @@ def test_price_from_text(spark):
     assert evaluate(spark, given, tx.price_from_text) == wanted
 
 
+def test_html_text(spark):
+    given = ["a &amp;lt; b", "&#233;&#xE9;&#x1F600;", "&#0;&#xD800;&#1114112;", "<b>x</b> &eacute;&rsquo;&nbsp;", "&#12", "&amp;#233;", None]
+    wanted = ["a &lt; b", "éé😀", "\ufffd\ufffd\ufffd", "x é’", "&#12", "&#233;", None]
+    assert evaluate(spark, given, tx.html_text) == wanted
+
+
+def test_unicode_blanks(spark):
+    assert evaluate(spark, ["\u00a0Name\u3000", "\x85a b\u2009"], tx.match_key) == ["name", "a b"]
+    grades = evaluate(spark, ["PSA\u00a010", "bgs\u20099.5"], lambda c: tx.grade_from_title(c)["grade"])
+    assert grades == ["PSA 10", "BGS 9.5"]
+
+
 def test_date_from_text(spark):
     day = dt.date(2026, 5, 31)
     given = [
@@ -60,6 +72,11 @@ def test_date_from_text(spark):
     ]
     assert evaluate(spark, given, tx.date_from_text) == [day] * len(given)
     assert evaluate(spark, ["", None, "soon", "13/45/2026", "Feb 30, 2026"], tx.date_from_text) == [None] * 5
+    day = dt.date(2024, 6, 1)
+    given = ["6/1/24", "06.01.2024", "2024/06/01", "2024.6.1", "01-Jun-24", "1-Jun-2024", "Jun-01-2024", "June 1st, 2024",
+             "Sold Jun 1, 24", "06-01-24", "ended Jun 2024"]
+    assert evaluate(spark, given, tx.date_from_text) == [day] * len(given)
+    assert evaluate(spark, ["13.6.2024", "31/12/99", "Jun 1 12:30"], tx.date_from_text) == [dt.date(2024, 6, 13), dt.date(1999, 12, 31), None]
     today = F.lit(dt.date(2026, 1, 1))
     assert evaluate(spark, ["soon"], lambda c: tx.date_from_text(c, today)) == [dt.date(2026, 1, 1)]
 
