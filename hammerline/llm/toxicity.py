@@ -23,6 +23,7 @@ score alike; empty tables give an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -46,8 +47,9 @@ CONFIDENCE = 1.64
 LEXICON = 5_000
 PREFIXES = (4, 5, 6, 7)
 SEED = 11
-# Words whose class is remembered by a task.
-REMEMBERED = 400_000
+# Words whose class is remembered by a task, and texts whose forms are counted together.
+REMEMBERED = 200_000
+COUNTED_TOGETHER = 200
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 # Function words of the grammar, by class, in English, German, French and Spanish.
@@ -209,26 +211,50 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return chosen.dropDuplicates(["mark"]).drop("mark")
 
 
-def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Forms with their weights: log-odds of a toxic document, less its uncertainty."""
+def forms_of(text: str) -> set[str]:
+    """All forms of the words of a text."""
+    return {f for w in set(TOKEN.findall(text.lower())) if w[0].isalpha() for f in forms(w)}
+
+
+def count_forms(sample: DataFrame, known: frozenset[str] | None = None) -> DataFrame:
+    """(form, n): in how many texts of the sample each form, or each known one, occurs.
+
+    Counts are handed on every few texts, so that a task holds the forms of those only.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen = (Counter(), Counter())
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[int(toxic > 0)].update({f for w in set(TOKEN.findall(text.lower())) if w[0].isalpha() for f in forms(w)})
-            both = list(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame({"form": both, "clean": [seen[0][f] for f in both], "toxic": [seen[1][f] for f in both]})
-
-    counts = sample.agg(F.sum((F.col("toxic") > 0).cast("int")), F.sum((F.col("toxic") <= 0).cast("int"))).first()
-    n_toxic, n_clean = counts[0] or 0, counts[1] or 0
-    found = sample.select("text", "toxic").mapInPandas(count, "form string, clean long, toxic long")
-    found = found.groupBy("form").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
-    unsure = CONFIDENCE * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 2.0))
-    found = found.where(F.col("toxic") >= SUPPORT).withColumn("weight", odds - unsure)
-    best = found.where(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), "form").limit(LEXICON)
-    return {r["form"]: r["weight"] for r in best.select("form", "weight").collect()}
+            for start in range(0, len(batch), COUNTED_TOGETHER):
+                seen: Counter[str] = Counter()
+                for text in batch["text"].iloc[start : start + COUNTED_TOGETHER]:
+                    found = forms_of(text)
+                    seen.update(found if known is None else found & known)
+                if seen:
+                    yield pd.DataFrame({"form": list(seen.keys()), "n": list(seen.values())})
+
+    counted = sample.select("text").mapInPandas(count, "form string, n long")
+    return counted.groupBy("form").agg(F.sum("n").alias("n"))
+
+
+def learn_lexicon(sample: DataFrame) -> dict[str, float]:
+    """Forms with their weights: log-odds of a toxic document, less its uncertainty.
+
+    Forms are sought in the toxic texts; in the others only forms with enough support are
+    counted. What the driver gets of either is bounded by the words of the sample.
+    """
+    toxic, clean = sample.where("toxic > 0"), sample.where("toxic <= 0")
+    n_toxic, n_clean = toxic.count(), clean.count()
+    support = {r["form"]: r["n"] for r in count_forms(toxic).where(F.col("n") >= SUPPORT).collect()}
+    against = {r["form"]: r["n"] for r in count_forms(clean, frozenset(support)).collect()}
+    weights = {}
+    for form, n in support.items():
+        other = against.get(form, 0)
+        odds = math.log((n + 0.5) / (n_toxic + 1)) - math.log((other + 0.5) / (n_clean + 1))
+        weight = odds - CONFIDENCE * math.sqrt(1 / (n + 0.5) + 1 / (other + 2))
+        if weight >= LEAST_WEIGHT:
+            weights[form] = weight
+    best = sorted(weights.items(), key=lambda item: (-item[1], item[0]))
+    return dict(best[:LEXICON])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
