@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +45,10 @@ from hammerline.session import write_table
 LEAST = 400
 LEAD = 128
 # Bytes scanned at a time, and slice bytes that a bucket should hold.
-LOT = 1 << 21
+LOT = 1 << 19
 BUCKET_BYTES = 8 << 20
 POSITION_BITS = 24
+SPANS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 SEED = 5
 
 
@@ -74,8 +76,8 @@ class Scanner:
         factors[0] = 1
         return np.cumprod(factors, dtype=np.uint64)
 
-    def segments(self, texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
-        """Lots of (text number, offset, bytes): long texts in parts that share no window."""
+    def segments(self, texts: list[memoryview]) -> Iterator[list[tuple[int, int, memoryview]]]:
+        """Lots of (text number, offset, part): long texts in parts that share no window."""
         lot, size = [], 0
         for i, text in enumerate(texts):
             for start in range(0, len(text) - self.least + 1, self.lot):
@@ -111,7 +113,7 @@ class Scanner:
         least = np.minimum(behind[:windows], ahead[width - 1 : width - 1 + windows])
         return (least & low).astype(np.int64)
 
-    def scan(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    def scan(self, texts: list[memoryview]) -> Iterator[tuple[np.ndarray, ...]]:
         """(text, lo, hi, off, gram, slice) for each anchor: its windows start at lo..hi, the
         anchor is ``off`` bytes behind lo, and the last are hashes of lead bytes and slice."""
         for lot in self.segments(texts):
@@ -126,9 +128,8 @@ class Scanner:
                 hi = np.concatenate([lo[1:] - 1, [len(own) - 1]])
                 place = own[lo]
                 off = place - at0 - lo
-                view = memoryview(part)
                 hashes = [
-                    xxhash.xxh3_128_digest(view[a : b + self.least], seed=o)
+                    xxhash.xxh3_128_digest(part[a : b + self.least], seed=o)
                     for a, b, o in zip(lo.tolist(), hi.tolist(), off.tolist())
                 ]
                 out.append((np.full(len(lo), number), lo + offset, hi + offset, off, grams[place].view(np.int64), hashes))
@@ -234,25 +235,29 @@ def runs(starts: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from zip(starts[np.concatenate([[0], cuts + 1])].tolist(), starts[np.concatenate([cuts, [len(starts) - 1]])].tolist())
 
 
+def views(column: pa.Array) -> list[memoryview]:
+    """The values of a binary column, without copying them."""
+    return [memoryview(value.as_buffer()) for value in column]
+
+
 def anchor_rows(texts: DataFrame, least: int = LEAST, lead: int = LEAD) -> DataFrame:
     """(digest, lo, hi, off, gram, slice) from (digest, data); a task scans equal texts once."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner, seen = Scanner(least, lead), set()
         for batch in batches:
-            fresh = []
-            for key, data in zip(batch["digest"], batch["data"]):
-                key = bytes(key)
+            names, parts = [], []
+            for key, data in zip(batch.column("digest").to_pylist(), views(batch.column("data"))):
                 if len(data) >= least and key not in seen:
-                    fresh.append((key, data))
                     seen.add(key)
-            names = np.array([k for k, _ in fresh], dtype=object)
-            for text, lo, hi, off, gram, slices in scanner.scan([bytes(d) for _, d in fresh]):
-                yield pd.DataFrame(
-                    {"digest": names[text], "lo": lo, "hi": hi, "off": off.astype(np.int32), "gram": gram, "slice": slices}
-                )
+                    names.append(key)
+                    parts.append(data)
+            keys = pa.array(names, pa.binary())
+            for text, lo, hi, off, gram, slices in scanner.scan(parts):
+                columns = [keys.take(pa.array(text)), lo, hi, off.astype(np.int32), gram, pa.array(slices, pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["digest", "lo", "hi", "off", "gram", "slice"])
 
-    return texts.mapInPandas(scan, "digest binary, lo long, hi long, off int, gram long, slice binary")
+    return texts.mapInArrow(scan, "digest binary, lo long, hi long, off int, gram long, slice binary")
 
 
 def matching(rows: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
@@ -287,13 +292,23 @@ def repeated_spans(texts: DataFrame, least: int = LEAST, lead: int = LEAD) -> Da
     sources, _ = matching(texts, wanted, "digest")
     sources = sources.dropDuplicates(["digest"]).join(wanted, "digest")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, data, listed in zip(batch["digest"], batch["data"], batch["slices"]):
-                out = [(key, s["lo"], s["off"], s["again"], bytes(data[s["lo"] : s["hi"] + least])) for s in listed]
-                yield pd.DataFrame(out, columns=["digest", "lo", "off", "again", "part"])
-
-    parts = sources.mapInPandas(cut, "digest binary, lo long, off int, again boolean, part binary")
+            lists = batch.column("slices")
+            for i, (key, data) in enumerate(zip(batch.column("digest").to_pylist(), views(batch.column("data")))):
+                listed = lists[i].as_py()
+                columns = {
+                    "digest": pa.array([key] * len(listed), pa.binary()),
+                    "lo": pa.array([s["lo"] for s in listed], pa.int64()),
+                    "off": pa.array([s["off"] for s in listed], pa.int32()),
+                    "again": pa.array([s["again"] for s in listed], pa.bool_()),
+                    "part": pa.array([data[s["lo"] : s["hi"] + least] for s in listed], pa.binary()),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    parts = sources.select("digest", "data", "slices").mapInArrow(
+        cut, "digest binary, lo long, off int, again boolean, part binary"
+    )
     parts = write_table(parts, "parts")
     found = write_table(_sort_buckets(parts, least, lead), "found")
     inner = found.where("window is null").select("digest", "lo", "hi")
@@ -358,20 +373,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     touched = touched.join(listed, "digest", "left").select("id", "data", "spans")
     kind = rows.schema["id"].dataType.simpleString()
 
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for name, text, listed in zip(batch["id"], batch["data"], batch["spans"]):
-                text = bytes(text)
-                gone = [] if listed is None else merge_spans(listed)
+            sizes, kept, spans = [], [], []
+            for text, listed in zip(views(batch.column("data")), batch.column("spans")):
+                gone = merge_spans(listed.as_py() or [])
                 ends = [0, *(b for _, b in gone)]
-                kept = b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(text)]))
-                out.append((len(text), kept, [{"lo": a, "hi": b} for a, b in gone]))
-            frame = pd.DataFrame(out, columns=["n_bytes", "kept", "spans"])
-            frame.insert(0, "id", batch["id"].to_numpy())
-            yield frame
+                sizes.append(len(text))
+                kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(text)])))
+                spans.append([{"lo": a, "hi": b} for a, b in gone])
+            arrays = [pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, SPANS)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", "n_bytes", "kept", "spans"])
 
-    cut = touched.mapInPandas(remove, f"id {kind}, n_bytes long, kept binary, spans array<struct<lo:long,hi:long>>")
+    cut = touched.mapInArrow(remove, f"id {kind}, n_bytes long, kept binary, spans array<struct<lo:long,hi:long>>")
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
     same = whole.select("id", F.octet_length("data").cast("long").alias("n_bytes"), F.col("data").alias("kept"), none.alias("spans"))
     return cut.unionByName(same).withColumnRenamed("id", id_col)

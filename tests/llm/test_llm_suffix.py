@@ -76,7 +76,7 @@ def test_long_texts_in_parts(spark, monkeypatch):
     long_text = "".join(rng.choice("abcdefgh") for _ in range(9000))
     scanner = suffix_dedup.Scanner(50, 10, lot=700)
     covered = []
-    for _, lo, hi, off, _, _ in scanner.scan([b"", long_text.encode(), b"x" * 60]):
+    for _, lo, hi, off, _, _ in scanner.scan([memoryview(t) for t in (b"", long_text.encode(), b"x" * 60)]):
         covered += [(a, b) for a, b in zip(lo.tolist(), hi.tolist())]
         assert (off >= 0).all() and (off <= hi - lo + 40).all()
     assert sum(b - a + 1 for a, b in covered) == 9000 - 49 + 11
