@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -692,6 +693,24 @@ def grade_join_raw(spark, sf):
     return rows.select("listing_id", "l_partkey", "grader", "grade_numeric", "grade_id")
 
 
+def _written_marts(spark, sf) -> scans.Layout:
+    layout = scans.Layout(scratch_path(spark, "layout"))
+    sinks.write_source_tables(t.enriched(spark, sf), layout.warehouse, grain="month")
+    marts.build_marts(spark, layout, t.as_of_future(), t.seed(spark, sf))
+    return layout
+
+
+MARTS = {"dim_fighter": "dim_fighter", "dim_grade": "dim_grade", "dim_card": "dim_card", "fct_card_sales": "fact", "fct_price_benchmarks": "pct"}
+
+
+@query(sql(" UNION ALL ".join(f"SELECT '{mart}' AS mart, count(*) AS records FROM {cte}" for mart, cte in MARTS.items())))
+def build_marts(spark, sf):
+    """Entry point B on disk: source tables in, five marts out."""
+    layout = _written_marts(spark, sf)
+    counts = [spark.read.parquet(layout.mart(m)).agg(F.lit(m).alias("mart"), F.count("*").alias("records")) for m in MARTS]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- serving --------------------------------------------------------------------------------
 
 
@@ -711,6 +730,14 @@ def _overview(spark, sf):
     return serving.market_overview(t.benchmarks(spark, sf, dim), dim, grades, t.as_of())
 
 
+@query(sql(OVERVIEW), text="benchmark_date")
+def overview_from_marts(spark, sf):
+    """The overview as it is served: from written marts, of which it reads one day's folder."""
+    layout = _written_marts(spark, sf)
+    read = lambda mart: spark.read.parquet(layout.mart(mart))
+    return serving.market_overview(read("fct_price_benchmarks"), read("dim_fighter"), read("dim_grade"), t.as_of())
+
+
 @query(sql(OVERVIEW), text="benchmark_date")
 def market_overview(spark, sf):
     return _overview(spark, sf)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from hammerline import fixed
 from hammerline.functions.sales import SECONDS_PER_DAY, epoch_seconds, pct_deviation
-from hammerline.session import is_small, materialise
+from hammerline.session import is_small, left_join_spread_nulls, materialise
 
 ENTITY_KEYS = ("fighter_name_canonical", "grade", "grader")
 DIM_KEYS = ("fighter_id", "grade_id")
@@ -78,7 +78,8 @@ def rolling_by_date(
     means = [_mean(frame("_sum", d), frame("_n", d)).alias(f"vwap_{d}d") for d in mean_days]
     counts = [frame("_rows", d).alias(f"sale_count_{d}d") for d in count_days]
     benchmarks = daily.select(*keys, date, *means, *counts)
-    return df.join(benchmarks, [*keys, date], "left").select(*df.columns, *_frame_names(mean_days, count_days))
+    joined = left_join_spread_nulls(df, benchmarks, [*keys, date], F.struct(*df.columns))
+    return joined.select(*df.columns, *_frame_names(mean_days, count_days))
 
 
 def rolling_by_date_per_row(

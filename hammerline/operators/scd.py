@@ -37,13 +37,19 @@ def apply_snapshot(
 ) -> DataFrame:
     """The snapshot after comparing its open versions with ``incoming``.
 
-    ``incoming`` has one row per key. Per key: an unchanged version stays, a changed one
+    ``incoming`` must have one row per key and all columns of the snapshot; anything else is
+    an error rather than a wrong history. Per key: an unchanged version stays, a changed one
     is closed and followed by a new version, a missing one is closed, a new one opened.
     Versions closed earlier pass through without joining. Write the result to a new
     path; the old version stays readable until it is swapped.
     """
     keys = list(keys)
     columns = incoming.columns
+    missing = [c for c in snapshot.columns if c not in columns and c not in VALIDITY]
+    if missing:
+        raise ValueError(f"incoming rows lack {', '.join(missing)}")
+    if not incoming.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").isEmpty():
+        raise ValueError(f"incoming rows repeat a key of {', '.join(keys)}")
     as_of = as_of.cast("timestamp")
     is_open = F.col("dbt_valid_to").isNull()
     opened = first_snapshot(incoming, as_of, keys)

@@ -11,7 +11,7 @@ from hammerline import fixed
 from hammerline.functions.sales import pct_deviation, rookie, surrogate_key
 from hammerline.operators.resolve import resolve_dim
 from hammerline.operators.rolling import DIM_KEYS, HOT_ROWS, rolling_by_rows
-from hammerline.session import left_join_spread_nulls
+from hammerline.session import is_small, left_join_spread_nulls
 from hammerline.sources import sinks
 from hammerline.sources.scans import Layout, grade_table, scan_seed
 
@@ -119,7 +119,8 @@ def dim_card(resolved: DataFrame, entities: DataFrame, per_fighter: bool = False
     """
     cards = resolved.dropna(subset=CARD_KEYS).select(*CARD_KEYS, "fighter_id").distinct()
     debuts = entities.select("fighter_id", "debut_year")
-    flagged = cards.join(debuts, "fighter_id", "left").select(
+    joined = left_join_spread_nulls(cards, debuts, ["fighter_id"], F.struct(*CARD_KEYS))
+    flagged = joined.select(
         surrogate_key(*CARD_KEYS).alias("card_id"),
         *CARD_KEYS,
         rookie("card_year", "debut_year").alias("is_rookie"),
@@ -145,7 +146,7 @@ def derive_card(sales: DataFrame) -> DataFrame:
 
 
 def join_grade(sales: DataFrame, grades: DataFrame, raw_match: bool = False) -> DataFrame:
-    """Grade key by grader and number; the right side has six rows.
+    """Grade key by grader and number; the grades are broadcast if they are measured small.
 
     By default the upper-cased grader is compared with the label as is, so "Raw" never
     matches; ``raw_match`` compares both upper-cased and NULL numbers as equal.
@@ -158,7 +159,7 @@ def join_grade(sales: DataFrame, grades: DataFrame, raw_match: bool = False) ->
         match = (mine == F.upper("_g")) & F.col("grade_numeric").eqNullSafe(F.col("_n"))
     else:
         match = (mine == F.col("_g")) & (F.col("grade_numeric") == F.col("_n"))
-    return sales.join(F.broadcast(g), match, "left").drop("_g", "_n")
+    return sales.join(F.broadcast(g) if is_small(g) else g, match, "left").drop("_g", "_n")
 
 
 FACT_COLUMNS = [
@@ -214,10 +215,13 @@ def resolved_sales(
     return resolve_dim(staged_sales(enriched, as_of), entities)
 
 
-def build_marts(spark: SparkSession, layout: Layout, as_of: Column | None = None) -> None:
-    """Entry point B: marts written as tables from the per-source raw tables."""
+def build_marts(
+    spark: SparkSession, layout: Layout, as_of: Column | None = None, seed: DataFrame | None = None
+) -> None:
+    """Entry point B: marts written as tables from the per-source raw tables; ``seed`` takes
+    the place of the built-in aliases."""
     enriched = spark.read.parquet(layout.warehouse)
-    sinks.save_mart(dim_fighter(scan_seed(spark)), layout.mart("dim_fighter"))
+    sinks.save_mart(dim_fighter(scan_seed(spark) if seed is None else seed), layout.mart("dim_fighter"))
     entities = spark.read.parquet(layout.mart("dim_fighter"))
     sinks.save_mart(dim_grade(spark), layout.mart("dim_grade"))
     grades = spark.read.parquet(layout.mart("dim_grade"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.operators.dedup import first_per_key
+from hammerline.session import is_small
 
 HISTORY_DAYS = 90
 
@@ -178,9 +179,9 @@ def recent_sales(fact: DataFrame, grades: DataFrame, n: int = 20) -> DataFrame:
 
     Grades are matched before ranking, as ungraded sales do not take a place.
     """
-    graded = fact.where(F.col("fighter_id").isNotNull()).join(
-        F.broadcast(grades.select("grade_id", "grade_label")), "grade_id"
-    )
+    labels = grades.select("grade_id", "grade_label")
+    labels = F.broadcast(labels) if is_small(labels) else labels
+    graded = fact.where(F.col("fighter_id").isNotNull()).join(labels, "grade_id")
     return first_per_key(graded, ["fighter_id"], [F.col("sale_date").desc(), "sale_id"], n).select(
         "fighter_id",
         "sale_id",

@@ -84,8 +84,11 @@ def spread_small(df: DataFrame, *by: str) -> DataFrame:
 
 
 def is_small(kept: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure an already materialised table against the broadcast limits."""
-    size = kept.agg(
+    """Measure an already materialised table against the broadcast limits.
+
+    No more rows than the limit are looked at, however large the table is.
+    """
+    size = kept.limit(max_rows + 1).agg(
         F.count("*").alias("rows"),
         F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
     ).first()

@@ -113,6 +113,8 @@ def test_build_marts_from_tables(spark, tmp_path):
     last = F.lit(dt.date(2024, 6, 11))
     [row] = serving.market_overview(bench, entities, grades, last).collect()
     assert (row["fighter_name"], row["grade_label"], row["sale_count_30d"]) == ("Jon Jones", "PSA 10", 8)
+    scan = plan(serving.market_overview(bench, entities, grades, last))
+    assert "PartitionFilters: [isnotnull(benchmark_date" in scan.replace("\n", "") and "benchmark_date#" in scan
     [mover] = serving.top_movers(bench, entities, grades, last, "up").collect()
     assert mover["price_pct_change_7d"] > 0
     assert serving.top_movers(bench, entities, grades, last, "down").count() == 0
@@ -126,6 +128,17 @@ def test_build_marts_from_tables(spark, tmp_path):
     assert serving.search_fighters(bench, entities, "%", last, like=True).count() == 20
 
 
+def test_snapshot_refuses_ambiguous_input(spark):
+    from hammerline.operators import scd
+
+    rows = spark.createDataFrame([("f", 1, 1.0, 2.0, 3)], "fighter_id string, grade_id int, vwap_7d double, vwap_30d double, sale_count_30d int")
+    first = scd.first_snapshot(rows, as_of().cast("timestamp"))
+    with pytest.raises(ValueError, match="repeat"):
+        scd.apply_snapshot(first, rows.unionByName(rows), as_of())
+    with pytest.raises(ValueError, match="lack vwap_7d"):
+        scd.apply_snapshot(first, rows.drop("vwap_7d"), as_of())
+
+
 def test_parameter_limits(spark):
     with pytest.raises(ValueError):
         serving.top_movers(None, None, None, as_of(), "sideways")
