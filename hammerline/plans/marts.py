@@ -11,7 +11,7 @@ from hammerline import fixed
 from hammerline.functions.sales import pct_deviation, rookie, surrogate_key
 from hammerline.operators.resolve import resolve_dim
 from hammerline.operators.rolling import DIM_KEYS, HOT_ROWS, rolling_by_rows
-from hammerline.session import is_small, left_join_spread_nulls
+from hammerline.session import is_small, left_join_spread_nulls, scratch_scope
 from hammerline.sources import sinks
 from hammerline.sources.scans import Layout, grade_table, scan_seed
 
@@ -220,6 +220,11 @@ def build_marts(
 ) -> None:
     """Entry point B: marts written as tables from the per-source raw tables; ``seed`` takes
     the place of the built-in aliases."""
+    with scratch_scope(spark):
+        _build_marts(spark, layout, as_of, seed)
+
+
+def _build_marts(spark: SparkSession, layout: Layout, as_of: Column | None, seed: DataFrame | None) -> None:
     enriched = spark.read.parquet(layout.warehouse)
     sinks.save_mart(dim_fighter(scan_seed(spark) if seed is None else seed), layout.mart("dim_fighter"))
     entities = spark.read.parquet(layout.mart("dim_fighter"))

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hammerline import schemas
 from hammerline.operators.dedup import new_records
-from hammerline.session import write_table
+from hammerline.session import scratch_scope, write_table
 from hammerline.sources.scans import or_empty
 
 
@@ -53,18 +53,19 @@ def append_new(
     start = F.substring(F.col(key), 1, prefix)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = write_table(batch.where(F.col(key).isNotNull()), "batch")
-        prefixes = [r[0] for r in rows.select(start).distinct().collect()]  # at most 16 ** prefix of a hash
-        seen = or_empty(spark, seen_schema, lambda: spark.read.schema(seen_schema).parquet(path))
-        seen = seen.where(F.col("key_prefix").isin(prefixes)).where(F.col("batch_id") < batch_id)
-        (
-            new_records(rows, seen, key, latest, ties)
-            .withColumns({"key_prefix": start, "batch_id": F.lit(batch_id).cast("long")})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("key_prefix", "batch_id")
-            .parquet(path)
-        )
+        with scratch_scope(spark):
+            rows = write_table(batch.where(F.col(key).isNotNull()), "batch")
+            prefixes = [r[0] for r in rows.select(start).distinct().collect()]  # at most 16 ** prefix of a hash
+            seen = or_empty(spark, seen_schema, lambda: spark.read.schema(seen_schema).parquet(path))
+            seen = seen.where(F.col("key_prefix").isin(prefixes)).where(F.col("batch_id") < batch_id)
+            (
+                new_records(rows, seen, key, latest, ties)
+                .withColumns({"key_prefix": start, "batch_id": F.lit(batch_id).cast("long")})
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("key_prefix", "batch_id")
+                .parquet(path)
+            )
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -267,6 +267,21 @@ def test_only_a_missing_path_is_empty(spark, tmp_path):
         scans.or_empty(spark, "a string", lambda: spark.read.parquet(str(tmp_path)).select("nothing"))
 
 
+def test_scratch_tables_go_with_their_scope(spark):
+    from hammerline.session import scratch_path, scratch_scope, write_table
+
+    with scratch_scope(spark):
+        kept = scratch_path(spark, "inside")
+        assert write_table(spark.range(5), "inside").count() == 5
+        spark.range(3).write.parquet(kept)
+    assert not os.path.exists(kept.removeprefix("file:"))
+    outside = scratch_path(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    with scratch_scope(spark):
+        pass
+    assert spark.read.parquet(outside).count() == 3
+
+
 def test_unique_rows_are_not_sorted(spark):
     rows = spark.range(50_000).selectExpr("sha2(cast(id % 49000 as string), 256) as record_hash", "timestamp_seconds(id) as scraped_at")
     kept = dedup.keep_latest(rows)
