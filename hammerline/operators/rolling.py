@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hammerline import fixed
-from hammerline.functions.sales import SECONDS_PER_DAY, epoch_seconds, pct_deviation
+from hammerline.functions.sales import pct_deviation
 from hammerline.session import is_small, left_join_spread_nulls, materialise
 
 ENTITY_KEYS = ("fighter_name_canonical", "grade", "grader")
@@ -82,24 +82,6 @@ def rolling_by_date(
     return joined.select(*df.columns, *_frame_names(mean_days, count_days))
 
 
-def rolling_by_date_per_row(
-    df: DataFrame,
-    keys: Sequence[str] = ENTITY_KEYS,
-    date: str = "sale_date",
-    value: str = "sale_price_usd",
-    mean_days: Sequence[int] = fixed.MEAN_WINDOWS,
-    count_days: Sequence[int] = fixed.COUNT_WINDOWS,
-) -> DataFrame:
-    """W2 + W3 with one window over raw sales; the yardstick :func:`rolling_by_date` is tested against."""
-    by_time = W.partitionBy(*keys).orderBy(epoch_seconds(date))
-    frames = {d: by_time.rangeBetween(-d * SECONDS_PER_DAY, 0) for d in {*mean_days, *count_days}}
-    return df.select(
-        "*",
-        *[_mean(F.sum(value).over(frames[d]), F.count(value).over(frames[d])).alias(f"vwap_{d}d") for d in mean_days],
-        *[F.count("*").over(frames[d]).alias(f"sale_count_{d}d") for d in count_days],
-    )
-
-
 def with_deviation(df: DataFrame, value: str = "sale_price_usd", days: Sequence[int] = fixed.COUNT_WINDOWS) -> DataFrame:
     """P6 columns ``price_pct_change_{N}d`` against the N-day mean."""
     return df.withColumns(

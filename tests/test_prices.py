@@ -6,8 +6,11 @@ from decimal import Decimal
 
 import pytest
 from conftest import values
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hammerline import fixed
+from hammerline.functions.sales import SECONDS_PER_DAY, epoch_seconds
 from hammerline.operators import outliers, resolve, rolling
 
 DAY = dt.date(2024, 1, 1)
@@ -143,6 +146,31 @@ def test_fixed_dictionary(spark):
 SALES = "sale_id string, fighter_id string, grade_id int, sale_date date, sale_price_usd decimal(12,2)"
 
 
+def one_window_per_row(df, keys):
+    """Time frames as one window over raw sales."""
+    by_time = W.partitionBy(*keys).orderBy(epoch_seconds("sale_date"))
+    frame = lambda d: by_time.rangeBetween(-d * SECONDS_PER_DAY, 0)
+    price = F.col("sale_price_usd")
+    mean = lambda d: F.sum(price).over(frame(d)).cast("double") / F.nullif(F.count(price).over(frame(d)), F.lit(0)).cast("double")
+    return df.select(
+        "*",
+        *[mean(d).alias(f"vwap_{d}d") for d in fixed.MEAN_WINDOWS],
+        *[F.count("*").over(frame(d)).alias(f"sale_count_{d}d") for d in fixed.COUNT_WINDOWS],
+    )
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_frames_refuse_floats(spark, kind):
+    """Differences of running totals are wrong on floats: 1e17 earlier swallows later prices."""
+    df = some_sales(spark, 10)[0].withColumn("sale_price_usd", F.col("sale_price_usd").cast(kind))
+    with pytest.raises(TypeError, match=kind):
+        rolling.rolling_by_date(df, ["fighter_id"])
+    with pytest.raises(TypeError, match=kind):
+        rolling.rolling_by_rows(df)
+    exact = df.withColumn("sale_price_usd", F.lit(10).cast("decimal(12,2)"))
+    assert rolling.rolling_by_date(exact.dropna(), ["fighter_id"]).where("vwap_7d != 10.0 or vwap_7d is null").isEmpty()
+
+
 def some_sales(spark, n=600, seed=3):
     """A third of all sales in one group; NULL keys; many sales per day."""
     import hashlib
@@ -179,7 +207,7 @@ def test_time_frames_match_brute_force_and_per_row_form(spark):
     df = df.dropna(subset=["fighter_id", "grade_id"])
     keys = ["fighter_id", "grade_id"]
     rolled = rolling.rolling_by_date(df, keys)
-    assert values(rolled) == values(rolling.rolling_by_date_per_row(df, keys))
+    assert values(rolled) == values(one_window_per_row(df, keys))
     for r in rolled.collect():
         peers = [x for x in rows if x[1] == r["fighter_id"] and x[2] == r["grade_id"] and x[3] <= r["sale_date"]]
         week = [x[4] for x in peers if (r["sale_date"] - x[3]).days <= 7]
