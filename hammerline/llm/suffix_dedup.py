@@ -14,12 +14,13 @@ with the text around it that its windows cover (its slice).
    anchors, by multikey quicksort over eight-byte characters. Two windows that end ``r`` bytes
    after the anchor are equal just if their suffixes fall into one run of common length ``r`` and
    their fore-texts into one run of the rest; this is read from the two orders.
-4. Equal windows on different sides of a bucket border begin (from the anchor on) like the last
-   suffix before the border and the first behind it. Only such windows are compared across
-   buckets, by a strong hash.
+4. Borders lie between different leading bytes, except where more than HOT slices share theirs:
+   these may be cut anywhere. Equal windows on different sides of such a border begin (from the
+   anchor on) like the last suffix before it and the first behind it. Only such windows are
+   compared across buckets, by a strong hash.
 
 Copies of whole texts share their rows: texts go by digest throughout. A hot passage collapses to
-one slice, and near copies of it are spread over buckets by what follows or precedes.
+one slice, and more than HOT near copies of it are spread over buckets by what follows.
 
 Defined cases: NULL text is the empty text; texts shorter than ``least`` lose nothing; rows with
 equal texts of at least that length lose all of it; matches may overlap themselves and never cross
@@ -47,6 +48,8 @@ LEAD = 128
 # Bytes scanned at a time, and slice bytes that a bucket should hold.
 LOT = 1 << 19
 BUCKET_BYTES = 8 << 20
+# So many different slices with the same leading bytes may share a bucket; more are spread.
+HOT = 20_000
 POSITION_BITS = 24
 SPANS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 SEED = 5
@@ -193,9 +196,11 @@ def common_length(a: bytes, b: bytes) -> int:
     return int((x != y).argmax())
 
 
-def compare_bucket(slices: list[bytes], offs: np.ndarray, least: int, lead: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+def compare_bucket(
+    slices: list[bytes], offs: np.ndarray, hot: np.ndarray, least: int, lead: int
+) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """(repeated, border): whether each window of each slice occurs twice in the bucket, and the
-    windows, one of equals each, that may occur in another bucket as (slice, window).
+    windows of hot slices, one of equals each, that may occur in another bucket as (slice, window).
 
     ``repeated`` has a row per slice and a column per distance from the window's start to the
     anchor.
@@ -207,7 +212,7 @@ def compare_bucket(slices: list[bytes], offs: np.ndarray, least: int, lead: int)
     repeated = np.zeros((n, furthest + 1), dtype=bool)
     keys = [s[o:] + s[:o] for s, o in zip(slices, offs)]
     first, last = min(keys), max(keys)
-    reach = np.array([max(common_length(k, first), common_length(k, last)) for k in keys])
+    reach = np.array([max(common_length(k, first), common_length(k, last)) if h else -1 for k, h in zip(keys, hot)])
     border: list[tuple[int, int]] = []
     for before in range(furthest + 1):
         # Windows that start ``before`` bytes ahead of the anchor.
@@ -284,10 +289,10 @@ def repeated_spans(texts: DataFrame, least: int = LEAST, lead: int = LEAD) -> Da
     twice = slices.where("again").select("gram", "slice")
     whole = shared.join(twice, ["gram", "slice"], "left_semi").select("digest", "lo", (F.col("hi") + least).alias("hi"))
 
-    several = write_table(slices.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "several")
-    wanted = slices.join(several, "gram", "left_semi")
+    several = write_table(slices.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "several")
+    wanted = slices.join(several, "gram").withColumn("hot", F.col("n") > HOT)
     wanted = write_table(
-        wanted.groupBy("digest").agg(F.collect_list(F.struct("lo", "hi", "off", "again")).alias("slices")), "wanted"
+        wanted.groupBy("digest").agg(F.collect_list(F.struct("lo", "hi", "off", "again", "hot")).alias("slices")), "wanted"
     )
     sources, _ = matching(texts, wanted, "digest")
     sources = sources.dropDuplicates(["digest"]).join(wanted, "digest")
@@ -302,12 +307,13 @@ def repeated_spans(texts: DataFrame, least: int = LEAST, lead: int = LEAD) -> Da
                     "lo": pa.array([s["lo"] for s in listed], pa.int64()),
                     "off": pa.array([s["off"] for s in listed], pa.int32()),
                     "again": pa.array([s["again"] for s in listed], pa.bool_()),
+                    "hot": pa.array([s["hot"] for s in listed], pa.bool_()),
                     "part": pa.array([data[s["lo"] : s["hi"] + least] for s in listed], pa.binary()),
                 }
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     parts = sources.select("digest", "data", "slices").mapInArrow(
-        cut, "digest binary, lo long, off int, again boolean, part binary"
+        cut, "digest binary, lo long, off int, again boolean, hot boolean, part binary"
     )
     parts = write_table(parts, "parts")
     found = write_table(_sort_buckets(parts, least, lead), "found")
@@ -323,7 +329,8 @@ def _sort_buckets(parts: DataFrame, least: int, lead: int) -> DataFrame:
     the borders of buckets with their hash."""
     size = parts.agg(F.sum(F.octet_length("part"))).first()[0] or 0
     rest = F.octet_length("part") - F.col("off")
-    key = F.concat(F.substring("part", F.col("off") + 1, rest), F.substring("part", F.lit(1), F.col("off")))
+    whole = F.concat(F.substring("part", F.col("off") + 1, rest), F.substring("part", F.lit(1), F.col("off")))
+    key = F.when(F.col("hot"), whole).otherwise(F.substring("part", F.col("off") + 1, F.lit(lead)))
     ranged = parts.repartitionByRange(max(1, -(-size // BUCKET_BYTES)), key)
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -333,7 +340,7 @@ def _sort_buckets(parts: DataFrame, least: int, lead: int) -> DataFrame:
         rows = pd.concat(bucket, ignore_index=True)
         slices, offs = [bytes(p) for p in rows["part"]], rows["off"].to_numpy(np.int64)
         names, los, again = rows["digest"].to_numpy(), rows["lo"].to_numpy(np.int64), rows["again"].to_numpy(bool)
-        repeated, border = compare_bucket(slices, offs, least, lead)
+        repeated, border = compare_bucket(slices, offs, rows["hot"].to_numpy(bool), least, lead)
         out = []
         for i in np.flatnonzero(repeated.any(axis=1) & ~again):
             starts = np.sort(los[i] + offs[i] - np.flatnonzero(repeated[i]))

@@ -61,9 +61,13 @@ def crossing_texts(seed, n=160):
     return texts
 
 
-@pytest.mark.parametrize("seed, least, lead, bucket", [(1, 30, 8, 1 << 20), (2, 30, 8, 1500), (3, 24, 24, 800), (4, 40, 1, 3000), (5, 30, 12, 600)])
-def test_small_alphabets(spark, monkeypatch, seed, least, lead, bucket):
+@pytest.mark.parametrize(
+    "seed, least, lead, bucket, hot",
+    [(1, 30, 8, 1 << 20, 9), (2, 30, 8, 1500, 0), (3, 24, 24, 800, 0), (4, 40, 1, 3000, 6), (5, 30, 12, 600, 0), (6, 30, 12, 600, 99)],
+)
+def test_small_alphabets(spark, monkeypatch, seed, least, lead, bucket, hot):
     monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bucket)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     texts = crossing_texts(seed)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
     got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.summary(docs, least=least, lead=lead).collect()}
