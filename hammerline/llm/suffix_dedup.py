@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.llm.exact_dedup import filter_bits, probe, repeated_pages
-from hammerline.llm.texts import filled
+from hammerline.llm.texts import filled, small_batches
 from hammerline.session import write_table
 
 LEAST = 400
@@ -277,7 +277,9 @@ def matching(rows: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame,
 def repeated_spans(texts: DataFrame, least: int = LEAST, lead: int = LEAD) -> DataFrame:
     """(digest, lo, hi): spans, ends exclusive, that cover all repeated windows of distinct
     texts, from (digest, data). Spans of a text may touch and overlap."""
-    anchors = write_table(anchor_rows(texts, least, lead), "anchors")
+    spark = texts.sparkSession
+    with small_batches(spark):
+        anchors = write_table(anchor_rows(texts, least, lead), "anchors")
     bits = filter_bits(anchors.count())
     pages = write_table(repeated_pages(anchors, "gram", bits), "pages")
     shared = probe(anchors, pages, "gram", bits).where("maybe").drop("maybe")
@@ -315,8 +317,9 @@ def repeated_spans(texts: DataFrame, least: int = LEAST, lead: int = LEAD) -> Da
     parts = sources.select("digest", "data", "slices").mapInArrow(
         cut, "digest binary, lo long, off int, again boolean, hot boolean, part binary"
     )
-    parts = write_table(parts, "parts")
-    found = write_table(_sort_buckets(parts, least, lead), "found")
+    with small_batches(spark):
+        parts = write_table(parts, "parts")
+        found = write_table(_sort_buckets(parts, least, lead), "found")
     inner = found.where("window is null").select("digest", "lo", "hi")
     border = found.where("window is not null")
     across = border.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -10,6 +13,23 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Whole texts go to Python in batches of so many rows while tables are written inside.
+
+    A batch stands in memory several times over, outside Spark's heap; the usual ten thousand
+    rows are meant for narrow columns.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
 
 def filled(text: str | Column = "text") -> Column:
     """The text, with NULL as the empty text."""
