@@ -98,6 +98,8 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     groups = again.groupBy("text_sha256").agg(
         F.max(F.struct("id", "row")).alias("keep"), F.count("*").alias("group_size")
     )
+    # Written, so that both sides of the join are shuffled anew and a hot group can be split.
+    groups = write_table(groups, "groups")
     decided = again.join(groups, "text_sha256").select(
         "id", F.col("keep.id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256"
     )
