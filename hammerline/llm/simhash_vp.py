@@ -25,17 +25,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.llm.components import components
-from hammerline.llm.texts import filled
+from hammerline.llm.texts import filled, small_batches
 from hammerline.session import materialise
 
 SEED = 42
 SHINGLE = 3
 DISTANCE = 2
-# The shard tree is built from at most so many distinct fingerprints; a shard then owns about
-# OWNED of them. More shards than SHARDS are not made, their own trees grow deeper instead.
-SAMPLE = 20_000
+# A shard owns about OWNED distinct fingerprints, until there are SHARDS of them; beyond, shards
+# grow and their own trees deepen. The shard tree is built from SAMPLED fingerprints for each
+# shard, so the driver and the tasks hold at most SHARDS nodes and SHARDS * SAMPLED numbers.
 OWNED = 8_192
-SHARDS = 4_096
+SHARDS = 1 << 17
+SAMPLED = 16
 LEAF = 48
 # Shingle hashes turned to bits at a time.
 BLOCK = 1 << 16
@@ -189,28 +190,35 @@ def link_shard(points: np.ndarray, owned: np.ndarray, distance: int, leaf: int =
 
 
 def link_fingerprints(
-    distinct: DataFrame, distance: int = DISTANCE, owned: int = OWNED, sample_size: int = SAMPLE, seed: int = SEED
+    distinct: DataFrame, distance: int = DISTANCE, owned: int = OWNED, seed: int = SEED
 ) -> DataFrame:
     """(a, b): links between distinct fingerprints (column ``fp``) that keep all components.
 
     ``distinct`` should be materialised; it is read for its size, for the sample and for the
-    routing.
+    routing. A fingerprint visits about 1.3 shards for each level of the tree, so the rows
+    sent grow as the fingerprints to the power 1.4.
     """
-    spark = distinct.sparkSession
     total = distinct.count()
-    share = min(1.0, 1.2 * sample_size / max(1, total))
-    # By a hash of the value, so a lost and repeated task draws the same sample.
-    drawn = distinct.where(F.pmod(F.xxhash64("fp", F.lit(seed)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    sample = np.sort(np.array([r[0] for r in drawn.limit(2 * sample_size).collect()], dtype=np.int64)).view(np.uint64)
     shards = min(SHARDS, max(1, -(-total // owned)))
-    tree = shard_tree(sample, max(1, -(-len(sample) // shards)), seed)
+    share = min(1.0, SAMPLED * shards / max(1, total))
+    # By a hash of the value, so a lost and repeated task draws the same sample.
+    drawn = distinct.where(F.pmod(F.xxhash64("fp", F.lit(seed)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    sample = np.sort(np.array([r[0] for r in drawn.select("fp").collect()], dtype=np.int64)).view(np.uint64)
+    tree = shard_tree(sample, max(1, -(-len(sample) // shards)), seed) if shards > 1 else 0
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             points = batch["fp"].to_numpy(np.int64).view(np.uint64)
-            for shard, at, own in route(tree, points, distance):
-                if len(at):
-                    yield pd.DataFrame({"shard": shard, "fp": points[at].view(np.int64), "owned": own})
+            routed = [(shard, at, own) for shard, at, own in route(tree, points, distance) if len(at)]
+            sizes = [len(at) for _, at, _ in routed]
+            at = np.concatenate([at for _, at, _ in routed])
+            yield pd.DataFrame(
+                {
+                    "shard": np.repeat([shard for shard, _, _ in routed], sizes),
+                    "fp": points[at].view(np.int64),
+                    "owned": np.repeat([own for _, _, own in routed], sizes),
+                }
+            )
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         points = pdf["fp"].to_numpy(np.int64).view(np.uint64)
@@ -232,9 +240,9 @@ def near_components(
     distance: int = DISTANCE,
 ) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id (smallest id)."""
-    prints = materialise(
-        docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp"))
-    )
+    prints = docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp"))
+    with small_batches(docs.sparkSession):
+        prints = materialise(prints)
     distinct = materialise(prints.groupBy("fp").agg(F.min("id").alias("first")))
     roots = components(link_fingerprints(distinct, distance))
     classes = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
