@@ -5,8 +5,8 @@ pages a hash occurs. Subtrees that recur on many pages of their host are templat
 elements whose tag, role or class names them as no part of the article. What is left of the
 article (of the body, if no element is marked as article or main) is cut into blocks.
 
-Plain paragraphs and headings inside a marked article are never taken for template: a text may
-quote another page of its host.
+Plain paragraphs and headings inside an article or main element are never taken for template: a
+text may quote another page of its host.
 
 The recurring hashes are handed to the tasks if their measured size allows, and pages are then
 parsed where they are read. Beyond that size each page's own recurring hashes are joined to it.
@@ -41,6 +41,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody tfoot "
     "thead tr ul".split()
 )
+ARTICLES = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p blockquote pre".split())
 # Elements and names that are no part of an article.
@@ -76,7 +77,7 @@ class Page:
     def __init__(self, source: str):
         self.tags: list[str] = ["#page"]
         self.parents: list[int] = [-1]
-        self.marks: list[str] = [""]  # "", "drop", "content"
+        self.marks: list[str] = [""]  # "", "drop", "header", "content"
         self.hashes: list[int] = [0]
         self.events: list[tuple[int, str | None]] = []  # a text, or None where a block begins or ends
         self._parts: list[list[str]] = [[]]
@@ -184,6 +185,8 @@ class Page:
                     return "drop"
                 if words & CONTENT_NAMES:
                     mark = "content"
+                elif "header" in words:
+                    mark = "header"
         return mark
 
     def _below(self, roots: set[int]) -> list[bool]:
@@ -196,7 +199,7 @@ class Page:
     def _kept(self, recurring: frozenset[int] | set[int]) -> list[bool]:
         """Elements of the article that are not dropped."""
         gone = {i for i, m in enumerate(self.marks) if m == "drop"}
-        articles = {i for i, t in enumerate(self.tags) if t == "article"}
+        articles = {i for i, t in enumerate(self.tags) if t in ARTICLES}
         inside = self._below(articles)
         for i, h in enumerate(self.hashes):
             if h and h in recurring and i not in articles and not (inside[i] and self._prose(i)):
@@ -207,14 +210,14 @@ class Page:
             return [not h for h in hidden]
         within = self._below({root})
         # The head of a page is no part of an article; the head of an article gives its headings.
-        heads = self._below({i for i, t in enumerate(self.tags) if t == "header"})
+        heads = self._below({i for i, t in enumerate(self.tags) if t == "header" or self.marks[i] == "header"})
         heading = self._below({i for i, t in enumerate(self.tags) if t in HEADINGS})
-        return [w and not h and (not head or (title and self.tags[root] == "article"))
+        return [w and not h and (not head or (title and self.tags[root] in ARTICLES))
                 for w, h, head, title in zip(within, hidden, heads, heading)]
 
     def _prose(self, node: int) -> bool:
         """Whether an element is prose or stands inside prose of an article."""
-        while node >= 0 and self.tags[node] != "article":
+        while node >= 0 and self.tags[node] not in ARTICLES:
             if self.tags[node] in PROSE:
                 return True
             node = self.parents[node]

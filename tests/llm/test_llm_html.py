@@ -40,6 +40,8 @@ CASES = {
     "<article><table><tr><td>a<td>b<tr><td>c</table>1 < 2 <p": "a b\nc\n1 < 2",
     "<article><p title='a > b'>x</p><p title=\"unclosed>y</p><p>z</p>": "x\ny\nz",
     "<div role=navigation>n</div><div class=content><div>a</div>b<div>c</div></div>tail": "a\nb\nc",
+    "<div class='page-header'><h1>Site</h1></div><div id=main><p>t</p><div class=header><p>x</p></div></div>": "t",
+    "<article><div class='post-header'><h1>T</h1>by</div><p>t</p></article>": "T\nby\nt",
     "<article><p>a\x0b  　b</p></article>": "a b",
 }
 
@@ -61,6 +63,7 @@ def template_pages(spark):
     for i in range(12):
         widget = "<div><p>Read more at our site</p><ul><li>one</li><li>two</li></ul></div>"
         rows.append((i, "https://User@WWW.Host.example:80/a?b", f"<body><div>{widget}</div><p>text {i}</p><p>tail {i}</p></body>"))
+        rows.append((300 + i, "https://c.example/", f"<main><p>The same line</p><p>own {i}</p></main><div>Terms</div>"))
         rows.append((100 + i, "https://b.example/x", f"<article><p>The same line</p><div><p>x</p></div><section>By us</section><p>own {i}</p></article>"))
     rows += [(200, None, None), (201, "odd", "<p>The same line</p>"), (201, "odd", "<p>The same line</p>")]
     return spark.createDataFrame([(*r, 1, "t") for r in rows], "page_id long, url string, html string, hash int, text string")
@@ -74,6 +77,7 @@ def test_template_goes_per_host(spark, most_rows):
     assert len(got) == pages.count() and all(r.n_chars == len(r.text) for r in got)
     assert texts[3] == "text 3\ntail 3"
     assert texts[105] == "The same line\nown 5"  # boxes go, plain paragraphs stay
+    assert texts[307] == "The same line\nown 7"
     assert texts[200] == "" and texts[201] == "The same line"
     assert html_text.main_text(pages.limit(0), most_rows=most_rows).count() == 0
 
