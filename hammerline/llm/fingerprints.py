@@ -163,7 +163,8 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, b
     first = F.coalesce(*(F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(masks)))
     same = (left["table"] == right["table"]) & (left["key"] == right["key"])
     close = (F.bit_count(apart) <= radius) & (first == left["table"])
-    return left.join(right, same & close).select("q", "fp")
+    # Each row became one per table, which the planner's sizes don't see: no broadcast here.
+    return left.join(right.hint("merge"), same & close).select("q", "fp")
 
 
 def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 20, radius: int = RADIUS) -> DataFrame:
