@@ -51,10 +51,13 @@ DROPPED = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice "
-    "notices alert newsletter subscribe subscription signup popup modal overlay sidebar sidebars menu nav navbar navigation "
-    "breadcrumb breadcrumbs footer comment comments disqus replies share sharing social related recommended recommendations "
-    "pagination pager toolbar widget masthead skip login search".split()
+    "ad ads adv adbox adsense adslot alert banner consent dialog gdpr login menu modal nav notice notices overlay pager "
+    "pagination reply replies respond search share sharing signup skip social teaser teasers toolbar widget".split()
+)
+# Beginnings of such names; "commentary" is none.
+NAME_STARTS = re.compile(
+    r"(?:advert|breadcrumb|comment(?!ar)|cookie|disqus|footer|masthead|navbar|navigation|newsletter|popup|promo|recommend|"
+    r"related|sidebar|sponsor|subscri)"
 )
 CONTENT_NAMES = frozenset("article content post entry story main body".split())
 # A start of these ends an open paragraph, and those of one family end each other.
@@ -181,7 +184,10 @@ class Page:
                 mark = "content" if value == "main" else mark
             elif name in ("class", "id"):
                 words = set(re.split(r"[^a-z0-9]+", value))
-                if words & NAMES and tag not in ("html", "body", "article", "main") or words & {"comment", "comments"}:
+                if tag in ("html", "body", "article", "main"):
+                    if "comment" in words:
+                        return "drop"
+                elif words & NAMES or any(map(NAME_STARTS.match, words)):
                     return "drop"
                 if words & CONTENT_NAMES:
                     mark = "content"

@@ -41,6 +41,8 @@ CASES = {
     "<article><p title='a > b'>x</p><p title=\"unclosed>y</p><p>z</p>": "x\ny\nz",
     "<div role=navigation>n</div><div class=content><div>a</div>b<div>c</div></div>tail": "a\nb\nc",
     "<div class='page-header'><h1>Site</h1></div><div id=main><p>t</p><div class=header><p>x</p></div></div>": "t",
+    "<article class='has-comments'><p class=commentary>t</p><ol class=commentlist><li>c</ol><div id='cookiebar'>k</div></article>": "t",
+    "<article class=comment>first!</article><article><p>t</p><article id=comment-3>me too</article></article>": "t",
     "<article><div class='post-header'><h1>T</h1>by</div><p>t</p></article>": "T\nby\nt",
     "<article><p>a\x0b  　b</p></article>": "a b",
 }
