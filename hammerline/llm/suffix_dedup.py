@@ -51,6 +51,7 @@ BUCKET_BYTES = 8 << 20
 # So many different slices with the same leading bytes may share a bucket; more are spread.
 HOT = 20_000
 POSITION_BITS = 24
+HANDED_ON = 500
 SPANS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 SEED = 5
 
@@ -375,30 +376,40 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     rows = docs.select(F.col(id_col).alias("id"), digest(data).alias("digest"), data.alias("data"))
     long_texts = rows.where(F.octet_length("data") >= least)
     spans = repeated_spans(long_texts.select("digest", "data"), least, lead)
-    copies = long_texts.groupBy("digest").agg(F.count("*").alias("n"), F.max(F.octet_length("data")).alias("hi"))
-    copies = copies.where("n > 1").select("digest", F.lit(0).cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
-    listed = spans.unionByName(copies).groupBy("digest").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    copies = long_texts.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    copies = write_table(copies, "copies")
+    listed = spans.groupBy("digest").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     listed = write_table(listed, "spans")
-    touched, whole = matching(rows, listed, "digest")
-    touched = touched.join(listed, "digest", "left").select("id", "data", "spans")
+    touched, whole = matching(rows, listed.select("digest").unionByName(copies), "digest")
+    # Copies lose everything; their texts are not handed to Python.
+    size = F.octet_length("data").cast("long").alias("n_bytes")
+    gone = touched.select("id", "digest", size).join(copies, "digest", "left_semi")
+    touched = touched.join(copies, "digest", "left_anti").join(listed, "digest", "left").select("id", "data", "spans")
     kind = rows.schema["id"].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, kept, spans = [], [], []
-            for text, listed in zip(views(batch.column("data")), batch.column("spans")):
-                gone = merge_spans(listed.as_py() or [])
-                ends = [0, *(b for _, b in gone)]
-                sizes.append(len(text))
-                kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(text)])))
-                spans.append([{"lo": a, "hi": b} for a, b in gone])
-            arrays = [pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, SPANS)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", "n_bytes", "kept", "spans"])
+        for whole in batches:
+            # What remains is handed on every few texts, so that it isn't held beside them all.
+            for start in range(0, whole.num_rows, HANDED_ON):
+                batch = whole.slice(start, HANDED_ON)
+                sizes, kept, spans = [], [], []
+                for text, listed in zip(views(batch.column("data")), batch.column("spans")):
+                    gone = merge_spans(listed.as_py() or [])
+                    ends = [0, *(b for _, b in gone)]
+                    sizes.append(len(text))
+                    kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(text)])))
+                    spans.append([{"lo": a, "hi": b} for a, b in gone])
+                arrays = [pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, SPANS)]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", "n_bytes", "kept", "spans"])
 
     cut = touched.mapInArrow(remove, f"id {kind}, n_bytes long, kept binary, spans array<struct<lo:long,hi:long>>")
+    with small_batches(docs.sparkSession):
+        cut = write_table(cut, "kept")
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
-    same = whole.select("id", F.octet_length("data").cast("long").alias("n_bytes"), F.col("data").alias("kept"), none.alias("spans"))
-    return cut.unionByName(same).withColumnRenamed("id", id_col)
+    same = whole.select("id", size, F.col("data").alias("kept"), none.alias("spans"))
+    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("n_bytes").alias("hi")))
+    emptied = gone.select("id", "n_bytes", F.lit(b"").alias("kept"), all_of_it.alias("spans"))
+    return cut.unionByName(same).unionByName(emptied).withColumnRenamed("id", id_col)
 
 
 def summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, lead: int = LEAD) -> DataFrame:

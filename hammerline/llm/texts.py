@@ -13,22 +13,25 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# What a batch handed to Python may hold, while whole texts are: rows and bytes.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
-    """Whole texts go to Python in batches of so many rows while tables are written inside.
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Whole texts go to Python in small batches while tables are written inside.
 
     A batch stands in memory several times over, outside Spark's heap; the usual ten thousand
     rows are meant for narrow columns.
     """
-    before = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    before = {key: spark.conf.get(key, None) for key in BATCHES}
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(BATCH_ROWS, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def filled(text: str | Column = "text") -> Column:
