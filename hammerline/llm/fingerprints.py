@@ -17,6 +17,7 @@ successor if it is alone; an empty table gives an empty result; other columns ar
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from itertools import combinations
 
@@ -32,7 +33,7 @@ RADIUS = 3
 BLOCKS = 6
 # Text bytes that a range of documents should hold, and the most ranges.
 RANGE_BYTES = 8 << 20
-MAX_RANGES = 20_000
+MAX_RANGES = 100_000
 # Votes of bits i and i + 32 are summed in the halves of one long.
 LANES = (1 << 32) + 1
 
@@ -89,17 +90,33 @@ def likeness(a: Column, b: Column) -> Column:
 
 def _ranges(rows: DataFrame) -> Column:
     """A range number for each id, so that ranges follow the order of ids and hold about
-    RANGE_BYTES of text each. The borders, at most MAX_RANGES numbers, become a literal."""
+    RANGE_BYTES of text each, or a MAX_RANGES-th of it. The borders become a literal."""
     total = rows.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     n = min(MAX_RANGES, -(-total // RANGE_BYTES))
     if n < 2:
         return F.lit(0)
     cuts = [i / n for i in range(1, n)]
     borders = rows.agg(F.percentile_approx("id", cuts, max(10_000, 10 * n))).first()[0]
-    borders = sorted(set(borders or []))
+    return place_among(F.col("id"), sorted(set(borders or [])))
+
+
+def _numbers(values: list[int]) -> Column:
+    """An array that the planner folds into one literal, however long it is."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def place_among(value: Column, borders: list[int]) -> Column:
+    """How many of the sorted borders a number reaches, 0 for NULL.
+
+    Looks at every so many-th border first and then at those up to the next, about twice the
+    root of their number in all.
+    """
     if not borders:
         return F.lit(0)
-    return F.coalesce(F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b <= F.col("id"))), F.lit(0))
+    step = math.isqrt(len(borders)) + 1
+    reached = lambda array: F.coalesce(F.size(F.filter(array, lambda b: b <= value)), F.lit(0))
+    block = F.greatest(reached(_numbers(borders[::step])), F.lit(1)) - 1
+    return block * step + reached(F.slice(_numbers(borders), block * step + 1, F.lit(step)))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -64,6 +64,15 @@ def test_query_matches_plain_python(spark, sf, monkeypatch, size):
     assert edited.mean() > other.mean() + 0.15
 
 
+@pytest.mark.parametrize("borders", [[], [5], [-3, 0, 9], list(range(-40, 400, 7))])
+def test_places_among_borders(spark, borders):
+    values = [None, *range(-60, 420)]
+    rows = spark.createDataFrame([(v,) for v in values], "v long")
+    placed = rows.select("v", fps.place_among(rows.v, borders).alias("at"))
+    assert {r.v: r["at"] for r in placed.collect()} == {v: 0 if v is None else sum(b <= v for b in borders) for v in values}
+    assert "split(" not in placed._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("radius, blocks", [(3, 6), (2, 4), (1, 2)])
 def test_radius_search_is_exact(spark, radius, blocks):
     rng = np.random.default_rng(5)
