@@ -11,6 +11,11 @@ text may quote another page of its host.
 The recurring hashes are handed to the tasks if their measured size allows, and pages are then
 parsed where they are read. Beyond that size each page's own recurring hashes are joined to it.
 
+An element with a name of no article stays if it is rather the wrapper of the article: no article,
+main or content element with text would be left without it, or it holds most of the page's prose
+(nearly all of it, if the name is that of a discussion). Words after has-, no-, with- are states of
+the page, and ids of headings and of an article's sections are anchors; neither is such a name.
+
 Defined cases: NULL html is the empty page with an empty text; NULL or odd urls share the host
 ''; broken markup is closed as browsers do, cut-off tags are dropped; repeated rows are pages of
 their own, and count as pages; an empty table gives an empty result; other columns are ignored.
@@ -59,6 +64,13 @@ NAME_STARTS = re.compile(
     r"(?:advert|breadcrumb|comment(?!ar)|cookie|disqus|footer|masthead|navbar|navigation|newsletter|popup|promo|recommend|"
     r"related|sidebar|sponsor|subscri)"
 )
+# Names of discussions, which may be longer than the article.
+TALK = re.compile(r"comment(?!ar)|disqus|repl(?:y|ies)$|respond$")
+# After these a class tells what the page has.
+STATES = frozenset("has have no not with without".split())
+SECTION_CLASS = re.compile(r"(?:section|level[1-6])")
+# An element with a name of no article stays, if it holds more than this share of the page's prose.
+MOST_PROSE, MOST_PROSE_TALK = 0.5, 0.9
 CONTENT_NAMES = frozenset("article content post entry story main body".split())
 # A start of these ends an open paragraph, and those of one family end each other.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -81,6 +93,7 @@ class Page:
         self.tags: list[str] = ["#page"]
         self.parents: list[int] = [-1]
         self.marks: list[str] = [""]  # "", "drop", "header", "content"
+        self.names: dict[int, tuple[bool, bool]] = {}  # elements named as no article: a discussion, an anchor
         self.hashes: list[int] = [0]
         self.events: list[tuple[int, str | None]] = []  # a text, or None where a block begins or ends
         self._parts: list[list[str]] = [[]]
@@ -125,7 +138,7 @@ class Page:
         node = len(self.tags)
         self.tags.append(tag)
         self.parents.append(self._open[-1])
-        self.marks.append(self._mark(tag, rest))
+        self.marks.append(self._mark(node, tag, rest))
         self.hashes.append(0)
         if tag in BLOCKS:
             self.events.append((node, None))
@@ -167,13 +180,12 @@ class Page:
         if self.tags[node] in BLOCKS:
             self.events.append((node, None))
 
-    @staticmethod
-    def _mark(tag: str, rest: str) -> str:
+    def _mark(self, node: int, tag: str, rest: str) -> str:
         if tag in DROPPED:
             return "drop"
         if len(rest) < 4:
             return ""
-        mark = ""
+        mark, named, by_id, section, talk = "", False, False, tag == "section", False
         for name, value in ATTRIBUTE.findall(rest):
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and HIDDEN.search(value)):
@@ -183,16 +195,25 @@ class Page:
                     return "drop"
                 mark = "content" if value == "main" else mark
             elif name in ("class", "id"):
-                words = set(re.split(r"[^a-z0-9]+", value))
+                words = set()
+                for token in value.split():
+                    parts = re.split(r"[^a-z0-9]+", token)
+                    section |= name == "class" and SECTION_CLASS.fullmatch(token) is not None
+                    words.update(parts[: next((i for i, w in enumerate(parts) if w in STATES), len(parts))])
                 if tag in ("html", "body", "article", "main"):
                     if "comment" in words:
                         return "drop"
-                elif words & NAMES or any(map(NAME_STARTS.match, words)):
-                    return "drop"
+                elif not (name == "id" and tag in HEADINGS):
+                    found = [w for w in words if w in NAMES or NAME_STARTS.match(w)]
+                    if found:
+                        talk |= any(map(TALK.match, found))
+                        named, by_id = named or name == "class", by_id or name == "id"
                 if words & CONTENT_NAMES:
                     mark = "content"
-                elif "header" in words:
+                elif "header" in words and mark != "content":
                     mark = "header"
+        if named or by_id:
+            self.names[node] = (talk, not named and section)
         return mark
 
     def _below(self, roots: set[int]) -> list[bool]:
@@ -202,9 +223,75 @@ class Page:
             out[i] = i in roots or (parent >= 0 and out[parent])
         return out
 
+    def _named(self) -> set[int]:
+        """Elements whose names make them no part of the article; wrappers of the article are none.
+
+        Outer elements are decided first: what is found in those that stay counts for those in them.
+        """
+        if not self.names:
+            return set()
+        hard = self._below({i for i, m in enumerate(self.marks) if m == "drop"})
+        strong = {i for i, t in enumerate(self.tags) if t in ARTICLES}
+        weak = {i for i, m in enumerate(self.marks) if m == "content" and self.tags[i] not in ("html", "body")}
+        plain_weak = {i for i in weak if i not in self.names}
+        in_strong, in_any, in_link = self._below(strong), self._below(strong | weak), self._below(
+            {i for i, t in enumerate(self.tags) if t == "a"})
+        in_plain = self._below(strong | plain_weak)
+        names, marked = {}, bool(strong | plain_weak)
+        for i, (talk, section) in self.names.items():
+            # A section's id is an anchor in an article, or where the page marks none.
+            if not hard[i] and not (section and (in_plain[i] or not marked)):
+                names[i] = talk
+        region, depth = [0] * len(self.tags), [0] * len(self.tags)
+        for i, parent in enumerate(self.parents):
+            if i:
+                region[i] = i if i in names else region[parent]
+                depth[i] = depth[parent] + (i in names)
+        prose, visible = [0] * len(self.tags), [False] * len(self.tags)
+        shows = {0: [False, False]}  # text of a region's own in article or main, in any marked element
+        for node, text in self.events:
+            if text is None or hard[node] or not (size := len(text.strip())):
+                continue
+            visible[node] = True
+            prose[node] += 0 if in_link[node] else size
+            own = shows.setdefault(region[node], [False, False])
+            own[0] |= in_strong[node]
+            own[1] |= in_any[node]
+        holds = [0] * len(self.tags)  # 1 a marked element, 2 an article or main, with text
+        for i in range(len(self.tags) - 1, 0, -1):
+            if visible[i]:
+                holds[i] = max(holds[i], 2 if i in strong else 1 if i in weak else 0)
+                visible[self.parents[i]] = True
+            prose[self.parents[i]] += prose[i]
+            holds[self.parents[i]] = max(holds[self.parents[i]], holds[i])
+        gone, left = set(), list(shows[0])
+        layers: dict[int, list[int]] = {}
+        for i in names:
+            layers.setdefault(depth[i], []).append(i)
+        stays = {0}
+        for _, layer in sorted(layers.items()):
+            kept = []
+            for i in layer:
+                if region[self.parents[i]] not in stays:
+                    continue
+                talk = names[i]
+                most = prose[i] > prose[0] * (MOST_PROSE_TALK if talk else MOST_PROSE)
+                if not left[1]:
+                    spared = most or (holds[i] > 0 and not talk)
+                else:
+                    spared = most and (in_any[self.parents[i]] or (holds[i] == 2 and not left[0]))
+                if spared:
+                    kept.append(i)
+                else:
+                    gone.add(i)
+            for i in kept:
+                stays.add(i)
+                left = [x or y for x, y in zip(left, shows.get(i, (False, False)))]
+        return gone
+
     def _kept(self, recurring: frozenset[int] | set[int]) -> list[bool]:
         """Elements of the article that are not dropped."""
-        gone = {i for i, m in enumerate(self.marks) if m == "drop"}
+        gone = {i for i, m in enumerate(self.marks) if m == "drop"} | self._named()
         articles = {i for i, t in enumerate(self.tags) if t in ARTICLES}
         inside = self._below(articles)
         for i, h in enumerate(self.hashes):

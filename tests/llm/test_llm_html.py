@@ -53,6 +53,32 @@ def test_markup(source):
     assert Page(source).text() == CASES[source]
 
 
+LONG = "<p>" + "many words " * 30 + "</p>"
+TEXT = " ".join(["many words"] * 30)
+NAMED = {
+    f"<article><h1>T</h1>{LONG}<section id='related-work'><h2>Related</h2><p>r</p></section>"
+    f"<section id=recommendations><p>m</p></section><h2 id='search-algorithms'>S</h2></article>": f"T\n{TEXT}\nRelated\nr\nm\nS",
+    "<body><section id='related-work' class='level1'><h1>Related</h1><p>r</p></section><div class=section id=comments><p>c</p></div>": "Related\nr\nc",
+    f"<div class='layout has-sidebar'><article>{LONG}</article><div class=sidebar><p>s</p></div></div>": TEXT,
+    f"<div class='top-content'>Hi</div><div class='layout sidebar-right'><main>{LONG}<div class='related'><article>tease</article></div></main></div>": TEXT,
+    f"<div class='nav'><a href=x>a</a></div><div id='search-page'>{LONG}</div><p>f</p>": f"{TEXT}\nf",
+    f"<div class='main-content sidebar-left'>{LONG}</div><div class=promo>buy</div>": TEXT,
+    f"<main><h1>T</h1><div class='sidebar-wrap'><div class='widget-wrap'>{LONG}</div></div></main>": f"T\n{TEXT}",
+    f"<article><p>my short own text here</p><div id=comments>{'<p>me too</p>' * 9}</div></article>": "my short own text here",
+    f"<div class=post>{LONG}</div><div class='related-posts'><article>teaser</article></div>": TEXT,
+    f"<article><div class='no-comments with-ads'>{LONG}</div><div class='post-share'>x</div></article>": TEXT,
+}
+
+
+@pytest.mark.parametrize("source", list(NAMED))
+def test_names_of_wrappers_states_and_anchors(source):
+    assert Page(source).text() == NAMED[source]
+
+
+def test_many_named_wrappers():
+    assert Page("<div class=nav>" * 20_000 + "<article>x</article>").text() == "x"
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 30_000 + "x" + "</div>" * 30_000
     assert Page(deep).text() == "x"
