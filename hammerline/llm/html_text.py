@@ -1,12 +1,14 @@
 """Main text of web pages, with templates found by subtree hashes per host.
 
 Every element's subtree is hashed from its tag and content; Spark counts, per host, on how many
-pages a hash occurs. Subtrees that recur on many pages of their host are template and go, as do
+pages of different text a hash occurs. Subtrees that recur on many pages of their host are template and go, as do
 elements whose tag, role or class names them as no part of the article. What is left of the
 article (of the body, if no element is marked as article or main) is cut into blocks.
 
-Plain paragraphs and headings inside an article or main element are never taken for template: a
-text may quote another page of its host.
+Plain paragraphs, headings, list items, table rows and cells of an article are never taken for
+template: a text may quote another page of its host, or have a line in common with it. A div of
+plain text in an article is template only on most pages of its host. Neither the element that marks
+the article nor one around it is template, and copies of a page count once, by their text.
 
 The recurring hashes are handed to the tasks if their measured size allows, and pages are then
 parsed where they are read. Beyond that size each page's own recurring hashes are joined to it.
@@ -18,7 +20,7 @@ the page, and ids of headings and of an article's sections are anchors; neither
 
 Defined cases: NULL html is the empty page with an empty text; NULL or odd urls share the host
 ''; broken markup is closed as browsers do, cut-off tags are dropped; repeated rows are pages of
-their own, and count as pages; an empty table gives an empty result; other columns are ignored.
+their own, but count as one page for templates; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ from hammerline.session import is_small, write_table
 # A subtree is template from so many pages of a host on, and from this share of them.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.3
+# A div of plain text in an article is template from this share of the pages on.
+MOST_PAGES = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe noscript".split())
@@ -49,6 +53,8 @@ BLOCKS = frozenset(
 ARTICLES = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p blockquote pre".split())
+# Lines of an article, beside its prose.
+ITEMS = frozenset("li dt dd tr td th".split())
 # Elements and names that are no part of an article.
 DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe button input select textarea svg head title dialog menu "
@@ -96,6 +102,8 @@ class Page:
         self.names: dict[int, tuple[bool, bool]] = {}  # elements named as no article: a discussion, an anchor
         self.hashes: list[int] = [0]
         self.events: list[tuple[int, str | None]] = []  # a text, or None where a block begins or ends
+        self._gone: set[int] = set()
+        self._found: tuple[list[bool], list[int]] | None = None
         self._parts: list[list[str]] = [[]]
         self._open = [0]
         self._parse(source)
@@ -291,12 +299,8 @@ class Page:
 
     def _kept(self, recurring: frozenset[int] | set[int]) -> list[bool]:
         """Elements of the article that are not dropped."""
-        gone = {i for i, m in enumerate(self.marks) if m == "drop"} | self._named()
-        articles = {i for i, t in enumerate(self.tags) if t in ARTICLES}
-        inside = self._below(articles)
-        for i, h in enumerate(self.hashes):
-            if h and h in recurring and i not in articles and not (inside[i] and self._prose(i)):
-                gone.add(i)
+        _, codes = self._candidates()
+        gone = self._gone | {i for i, code in enumerate(codes) if code and code in recurring}
         hidden = self._below(gone)
         root = self._root(hidden)
         if root is None:
@@ -308,13 +312,39 @@ class Page:
         return [w and not h and (not head or (title and self.tags[root] in ARTICLES))
                 for w, h, head, title in zip(within, hidden, heads, heading)]
 
-    def _prose(self, node: int) -> bool:
-        """Whether an element is prose or stands inside prose of an article."""
-        while node >= 0 and self.tags[node] not in ARTICLES:
-            if self.tags[node] in PROSE:
-                return True
-            node = self.parents[node]
-        return False
+    def _candidates(self) -> tuple[list[bool], list[int]]:
+        """What is hidden without templates, and each element's hash if it may be template, or else 0.
+
+        A div of plain text in an article has the complement of its hash, counted by itself.
+        """
+        if self._found is None:
+            self._gone = {i for i, m in enumerate(self.marks) if m == "drop"} | self._named()
+            hidden = self._below(self._gone)
+            root = self._root(hidden)
+            articles = {i for i, t in enumerate(self.tags) if t in ARTICLES}
+            fixed = set(articles)
+            if root is not None and self.tags[root] != "body":
+                articles.add(root)
+                while root >= 0:
+                    fixed.add(root)
+                    root = self.parents[root]
+            inside = self._below(articles)
+            holds = {self.parents[i] for i, t in enumerate(self.tags) if t in BLOCKS}
+            prose = [False] * len(self.tags)  # is prose of an article, or stands in it
+            codes = [0] * len(self.tags)
+            for i, tag in enumerate(self.tags):
+                if not i or not inside[i]:
+                    prose[i] = False
+                elif i not in articles:
+                    prose[i] = tag in PROSE or prose[self.parents[i]]
+                if not self.hashes[i] or hidden[i] or i in fixed or tag in ("html", "head", "body") or tag not in BLOCKS | ITEMS:
+                    continue
+                if not inside[i]:
+                    codes[i] = self.hashes[i]
+                elif not prose[i] and tag not in ITEMS:
+                    codes[i] = ~self.hashes[i] if tag == "div" and i not in holds else self.hashes[i]
+            self._found = hidden, codes
+        return self._found
 
     def _root(self, hidden: list[bool]) -> int | None:
         """The marked element with the most visible text, the strongest kind of mark first."""
@@ -336,8 +366,8 @@ class Page:
         return None
 
     def subtrees(self) -> set[int]:
-        """Hashes of the block elements that may be template."""
-        return {h for h, t in zip(self.hashes, self.tags) if h and t in BLOCKS and t not in ("html", "head", "body")}
+        """Hashes of the elements that may be template."""
+        return {code for code in self._candidates()[1] if code}
 
     def text(self, recurring: frozenset[int] | set[int] = frozenset()) -> str:
         """The article's blocks, white space made single spaces, one line each."""
@@ -362,23 +392,31 @@ def host(url: Column) -> Column:
 def recurring_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(host, hash) of subtrees that occur on many pages of a host, from (host, html) rows.
 
-    A task sends one count for each host and hash it has met, so a host with a third of all
-    pages is no hot spot.
+    Pages of one host with the same text, templates included, count once. A task sends each of its
+    (host, hash, text) once, and then one count for each host and hash it has met, so neither
+    copies nor a host with a third of all pages are a hot spot.
     """
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hosts, found = [], []
+            hosts, found, texts = [], [], []
             for name, source in zip(batch["host"], batch["html"]):
-                own = Page(source).subtrees()
+                page = Page(source)
+                own = [0, *page.subtrees()]  # 0 counts the pages
                 found.extend(own)
                 hosts.extend([name] * len(own))
-            yield pd.DataFrame({"host": pd.Series(hosts, dtype=object), "hash": np.array(found, dtype=np.int64)})
-
-    per_host = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = pages.mapInPandas(hashes, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("n"))
-    many = counts.where(F.col("n") >= least_pages).join(per_host, "host")
-    return many.where(F.col("n") >= F.col("pages") * least_share).select("host", "hash")
+                texts.extend([xxhash.xxh64_intdigest(page.text()) >> 1] * len(own))
+            yield pd.DataFrame(
+                {"host": pd.Series(hosts, dtype=object), "hash": np.array(found, dtype=np.int64), "page": np.array(texts, dtype=np.int64)}
+            )
+
+    met = pages.mapInPandas(hashes, "host string, hash long, page long").distinct()
+    counts = met.groupBy("host", "hash").agg(F.count("*").alias("n"))
+    counts = write_table(counts.where((F.col("n") >= least_pages) | (F.col("hash") == 0)), "counts")
+    per_host = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
+    many = counts.where((F.col("hash") != 0) & (F.col("n") >= least_pages)).join(per_host, "host")
+    least = F.when(F.col("hash") < 0, F.col("pages") * MOST_PAGES).otherwise(F.col("pages") * least_share)
+    return many.where(F.col("n") >= least).select("host", "hash")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", most_rows: int = 200_000) -> DataFrame:

@@ -110,6 +110,24 @@ def test_template_goes_per_host(spark, most_rows):
     assert html_text.main_text(pages.limit(0), most_rows=most_rows).count() == 0
 
 
+def test_copies_and_shared_lines_are_no_template(spark):
+    entry = "<nav>n</nav><article><div class=entry><p>a</p><ul><li>1 tsp</li></ul><table><tr><td>c</table></div></article>"
+    content = "<div><div class=content><p>a</p><div>d</div></div></div><script>{}</script>"
+    rows = [(i, "http://copies.example/", entry) for i in range(6)]
+    rows += [(10 + i, "http://content.example/", content.format(i)) for i in range(6)]
+    for i in range(8):
+        body = f"<ul><li>1 tsp salt</li><li>{i}</li></ul><table><tr><td>x<tr><td>{i}</table><dl><dd>y<dd>{i}</dl><div>z{i // 6}</div>"
+        rows.append((20 + i, "http://recipes.example/", f"<article><p>{i}</p>{body}<div>Follow us</div><div><p>box</p></div></article>"))
+        rows.append((30 + i, "http://copies.example/", f"<article><p>{i}</p></article>"))
+        rows.append((40 + i, "http://content.example/", f"<article><p>{i}</p></article>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for most_rows in (200_000, 0):
+        texts = {r.page_id: r.text for r in html_text.main_text(pages, most_rows=most_rows).collect()}
+        assert texts[0] == "a\n1 tsp\nc" and texts[10] == "a\nd"
+        assert texts[21] == "1\n1 tsp salt\n1\nx\n1\ny\n1"
+        assert texts[27] == "7\n1 tsp salt\n7\nx\n7\ny\n7\nz1"
+
+
 def test_hosts(spark):
     urls = ["https://User@WWW.Host.example:80/a", "http://x.org", None, "no url", "ftp://h/"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string")
