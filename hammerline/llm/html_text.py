@@ -1,14 +1,17 @@
 """Main text of web pages, with templates found by subtree hashes per host.
 
 Every element's subtree is hashed from its tag and content; Spark counts, per host, on how many
-pages of different text a hash occurs. Subtrees that recur on many pages of their host are template and go, as do
-elements whose tag, role or class names them as no part of the article. What is left of the
+pages of different text a hash occurs. Subtrees that recur on many pages of their host are template
+and go (from an absolute number of pages on, so that one of many templates of a large host goes
+too), inline and custom elements as well unless they are words of a paragraph or stand beside text.
+So do elements whose tag, role or class names them as no part of the article. What is left of the
 article (of the body, if no element is marked as article or main) is cut into blocks.
 
 Plain paragraphs, headings, list items, table rows and cells of an article are never taken for
 template: a text may quote another page of its host, or have a line in common with it. A div of
-plain text in an article is template only on most pages of its host. Neither the element that marks
-the article nor one around it is template, and copies of a page count once, by their text.
+plain text in an article, or inline elements in its divs, are template only on most pages of the
+host. Neither the element that marks the article nor one around it is template, and copies of a page
+count once, by their text.
 
 The recurring hashes are handed to the tasks if their measured size allows, and pages are then
 parsed where they are read. Beyond that size each page's own recurring hashes are joined to it.
@@ -20,7 +23,8 @@ the page, and ids of headings and of an article's sections are anchors; neither
 
 Defined cases: NULL html is the empty page with an empty text; NULL or odd urls share the host
 ''; broken markup is closed as browsers do, cut-off tags are dropped; repeated rows are pages of
-their own, but count as one page for templates; an empty table gives an empty result; other columns are ignored.
+their own, but count as one page for templates; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,10 +41,12 @@ from pyspark.sql import functions as F
 
 from hammerline.session import is_small, write_table
 
-# A subtree is template from so many pages of a host on, and from this share of them.
+# A subtree is template from so many pages of a host on; on hosts of up to MANY_PAGES / LEAST_SHARE
+# pages from this share of them, if that is more.
 LEAST_PAGES = 5
-LEAST_SHARE = 0.3
-# A div of plain text in an article is template from this share of the pages on.
+LEAST_SHARE = 0.1
+MANY_PAGES = 20
+# A line of plain text in an article's div is template from this share of the pages on.
 MOST_PAGES = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +61,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p blockquote pre".split())
 # Lines of an article, beside its prose.
 ITEMS = frozenset("li dt dd tr td th".split())
+# All others are inline, custom ones as well.
+LINES = BLOCKS | ITEMS
 # Elements and names that are no part of an article.
 DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe button input select textarea svg head title dialog menu "
@@ -315,7 +323,8 @@ class Page:
     def _candidates(self) -> tuple[list[bool], list[int]]:
         """What is hidden without templates, and each element's hash if it may be template, or else 0.
 
-        A div of plain text in an article has the complement of its hash, counted by itself.
+        A div of plain text in an article, or an inline element in a div, has the complement of its
+        hash, counted by itself.
         """
         if self._found is None:
             self._gone = {i for i, m in enumerate(self.marks) if m == "drop"} | self._named()
@@ -330,19 +339,27 @@ class Page:
                     root = self.parents[root]
             inside = self._below(articles)
             holds = {self.parents[i] for i, t in enumerate(self.tags) if t in BLOCKS}
+            texts = {node for node, text in self.events if text is not None and not text.isspace()}
             prose = [False] * len(self.tags)  # is prose of an article, or stands in it
+            running = [False] * len(self.tags)  # an inline element of a paragraph or beside text
             codes = [0] * len(self.tags)
             for i, tag in enumerate(self.tags):
                 if not i or not inside[i]:
                     prose[i] = False
                 elif i not in articles:
                     prose[i] = tag in PROSE or prose[self.parents[i]]
-                if not self.hashes[i] or hidden[i] or i in fixed or tag in ("html", "head", "body") or tag not in BLOCKS | ITEMS:
+                up = self.parents[i]
+                inline = i > 0 and tag not in LINES
+                if inline:
+                    loose = "-" in tag and (up == 0 or self.tags[up] in ("html", "body") or up in articles)
+                    running[i] = running[up] or self.tags[up] in PROSE or self.tags[up] in ITEMS or (up in texts and not loose)
+                if not self.hashes[i] or hidden[i] or running[i] or i in fixed or tag in ("html", "head", "body"):
                     continue
                 if not inside[i]:
                     codes[i] = self.hashes[i]
                 elif not prose[i] and tag not in ITEMS:
-                    codes[i] = ~self.hashes[i] if tag == "div" and i not in holds else self.hashes[i]
+                    line = (tag == "div" and i not in holds) or (inline and "-" not in tag and self.tags[up] == "div" and up not in articles)
+                    codes[i] = ~self.hashes[i] if line else self.hashes[i]
             self._found = hidden, codes
         return self._found
 
@@ -389,7 +406,7 @@ def host(url: Column) -> Column:
     return F.lower(found)
 
 
-def recurring_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def recurring_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
     """(host, hash) of subtrees that occur on many pages of a host, from (host, html) rows.
 
     Pages of one host with the same text, templates included, count once. A task sends each of its
@@ -415,7 +432,7 @@ def recurring_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_s
     counts = write_table(counts.where((F.col("n") >= least_pages) | (F.col("hash") == 0)), "counts")
     per_host = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
     many = counts.where((F.col("hash") != 0) & (F.col("n") >= least_pages)).join(per_host, "host")
-    least = F.when(F.col("hash") < 0, F.col("pages") * MOST_PAGES).otherwise(F.col("pages") * least_share)
+    least = F.when(F.col("hash") < 0, F.col("pages") * MOST_PAGES).otherwise(F.least(F.col("pages") * least_share, F.lit(many_pages)))
     return many.where(F.col("n") >= least).select("host", "hash")
 
 

@@ -128,6 +128,21 @@ def test_copies_and_shared_lines_are_no_template(spark):
         assert texts[27] == "7\n1 tsp salt\n7\nx\n7\ny\n7\nz1"
 
 
+def test_one_of_many_templates_and_inline_boxes(spark):
+    rows = []
+    for i in range(100):
+        box = f"<div><p>box of section {i % 4}</p></div>"
+        rows.append((i, "http://hot.example/", f"<article><p>own {i}</p>{box}</article>"))
+    for i in range(10):
+        inline = "<site-footer>Follow us</site-footer><span>Share</span><a href=x>Tags</a>"
+        rows.append((200 + i, "http://inline.example/", f"<body><p>own <b>bold</b> {i}</p><div>more <i>text</i> {i}</div>{inline}</body>"))
+        rows.append((300 + i, "http://custom.example/", f"<article><p>own {i}</p>tail {i} <site-footer>Follow us</site-footer></article>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for most_rows in (200_000, 0):
+        texts = {r.page_id: r.text for r in html_text.main_text(pages, most_rows=most_rows).collect()}
+        assert texts[7] == "own 7" and texts[203] == "own bold 3\nmore text 3" and texts[304] == "own 4\ntail 4"
+
+
 def test_hosts(spark):
     urls = ["https://User@WWW.Host.example:80/a", "http://x.org", None, "no url", "ftp://h/"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string")
