@@ -32,7 +32,7 @@ HEX = r"[0-9a-f]{32,}"
 LEAST_VALUE = 8
 # The weak kinds: a named identifier, an opaque token of mixed letters and digits, an endpoint.
 IDENTIFIER = r"""(?i:client|account|tenant|user|access[_-]?key)[_-]?(?i:id|name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}"""
-TOKEN = r"""(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[A-Z])(?=[A-Za-z0-9+/_=-]*[a-z])(?=[A-Za-z0-9+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])"""
+TOKEN = r"""(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[A-Z])(?=[A-Za-z0-9+/_=-]*[a-z])(?=[A-Za-z0-9+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])"""
 ENDPOINT = r"""(?i:https?|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://[^\x20\x09-\x0D"'<>]+"""
 KINDS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "identifier": IDENTIFIER, "secret": TOKEN, "endpoint": ENDPOINT}
 BASE = ("assign", "access", "hex")
