@@ -75,15 +75,16 @@ def _near(kinds: tuple[str, ...]) -> Column:
 def link_parts(spans: DataFrame) -> DataFrame:
     """Base spans, and the weak ones that the interval join confirms.
 
-    Spans are (row, start, end, kind), kinds numbered as listed. A weak span that overlaps a
-    base span is dropped first, so that it can't confirm another.
+    Spans are (row, start, end, kind), kinds numbered as listed. An identifier or opaque token
+    that overlaps a base span is dropped first, so that it can't confirm another. Endpoints confirm
+    nothing, so they stay, and base spans inside them are their parts.
     """
     order = Window.partitionBy("row").orderBy("start", "kind")
     base = _among(BASE)
     before = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     behind = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
     clear = F.coalesce(before <= F.col("start"), F.lit(True)) & F.coalesce(behind >= F.col("end"), F.lit(True))
-    spans = spans.withColumn("clear", base | clear).where("clear").drop("clear")
+    spans = spans.withColumn("clear", base | _among(("endpoint",)) | clear).where("clear").drop("clear")
     spans = spans.withColumns({"near_identifier": _near(IDENTIFIES), "near_secret": _near(HIDES)})
     confirmed = (
         (_among(("identifier",)) & F.col("near_secret"))
