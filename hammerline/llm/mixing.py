@@ -29,6 +29,8 @@ SHARE = 1.5
 MOST = 2
 # Budgets up to so many words are closed exactly by the dynamic programme.
 EXACT_WORDS = 16_384
+# Sums that the fit of a whole source keeps apart; exact for targets of up to so many words.
+PLACES = 1 << 18
 SLICE = 10_000
 SEED = 17
 
@@ -128,11 +130,49 @@ def knapsack(lengths: np.ndarray, spare: np.ndarray, budget: int) -> dict[int, i
     return chosen
 
 
+def nearest_sum(lengths: np.ndarray, spare: np.ndarray, aim: int, over: int, places: int = PLACES) -> dict[int, int]:
+    """A sum near the aim, at most ``over`` above it, as {index: number}.
+
+    Sums up to ``places`` are all found. Beyond that, of the sums that share a place, one is kept with
+    its exact value, so the work grows with the number of lengths and not with the aim.
+    """
+    top = aim + over
+    scale = min(1.0, places / max(top, 1))
+    sums = np.full(int(top * scale) + 2, -1, dtype=np.int64)
+    sums[0] = 0
+    came, index, number = (np.zeros(len(sums), dtype=np.int64) for _ in range(3))
+    near = max(1, aim / EXACT_WORDS)
+
+    def best() -> int:
+        found = np.flatnonzero(sums >= 0)
+        return int(found[np.abs(sums[found] - aim).argmin()])
+
+    for i in np.flatnonzero((spare > 0) & (lengths > 0) & (lengths <= top))[::-1]:
+        left, chunk, size = min(int(spare[i]), top // int(lengths[i])), 1, int(lengths[i])
+        while left > 0:  # 1, 2, 4, ... copies reach every number up to the bound
+            step = min(chunk, left)
+            held = np.flatnonzero((sums >= 0) & (sums <= top - step * size))
+            at = ((sums[held] + step * size) * scale).astype(np.int64)
+            free = sums[at] < 0
+            at, first = np.unique(at[free], return_index=True)
+            held = held[free][first]
+            sums[at], came[at], index[at], number[at] = sums[held] + step * size, held, i, step
+            left, chunk = left - step, chunk * 2
+        if abs(int(sums[best()]) - aim) < near:
+            break
+    at, chosen = best(), {}
+    while at:
+        chosen[int(index[at])] = chosen.get(int(index[at]), 0) + int(number[at])
+        at = int(came[at])
+    return chosen
+
+
 def plan_units(lengths: np.ndarray, counts: np.ndarray, target: float) -> np.ndarray:
     """Copies to deal out over each length's documents, at most MOST times their number.
 
-    Whole copies of all documents first, then a fitted part of one more. A source too small
-    for that to come out exactly is fitted as a whole, giving up the even coverage.
+    Whole copies of all documents first, then a fitted part of one more. A source of too few
+    documents for that to come out within a word, or a small share of a larger target, is fitted as
+    a whole if that is nearer, giving up the even coverage.
     """
     size = int((lengths * counts).sum())
     copies = min(MOST, int(target / size + 1e-9)) if size else 0
@@ -140,9 +180,9 @@ def plan_units(lengths: np.ndarray, counts: np.ndarray, target: float) -> np.nda
     if copies < MOST:
         units = units + fit_lengths(lengths, counts, round(target - copies * size))
     gap = abs(int((units * lengths).sum()) - target)
-    if gap > 1 and target <= EXACT_WORDS:
+    if gap > max(1, target / EXACT_WORDS):
         whole = np.zeros_like(units)
-        for i, n in knapsack(lengths, MOST * counts, round(target)).items():
+        for i, n in nearest_sum(lengths, MOST * counts, round(target), int(gap)).items():
             whole[i] = n
         if abs(int((whole * lengths).sum()) - target) < gap:
             return whole

@@ -69,6 +69,36 @@ def test_fit_is_bounded_and_near():
         assert (take >= 0).all() and (take <= counts).all() and abs(int((take * lengths).sum()) - budget) <= 2
 
 
+def test_few_long_documents_are_fitted_as_a_whole():
+    for scale in (1, 10, 100, 1000, 100_000):
+        lengths, counts = np.array([900 * scale, 2000 * scale]), np.array([1, 1])
+        assert mixing.plan_units(lengths, counts, 4000.0 * scale).tolist() == [0, 2]
+    rng = np.random.default_rng(3)
+    for n in (5, 12, 60, 400):
+        lengths = np.unique(rng.integers(200_000, 900_000, n))
+        counts = rng.integers(1, 3, len(lengths))
+        target = 1.4 * int((lengths * counts).sum())
+        units = mixing.plan_units(lengths, counts, target)
+        assert (units <= 2 * counts).all() and (units >= 0).all()
+        assert abs(int((units * lengths).sum()) - target) <= target / (100 if n < 10 else 10_000)
+
+
+def test_nearest_sum_is_nearest():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        lengths = np.unique(rng.integers(1, 40, 4))
+        counts = rng.integers(0, 4, len(lengths))
+        aim = int(rng.integers(1, 120))
+        sums = {sum(n * s for n, s in zip(pick, lengths)) for pick in itertools.product(*(range(c + 1) for c in counts))}
+        for places in (mixing.PLACES, 16):
+            chosen = mixing.nearest_sum(lengths, counts, aim, 10, places)
+            assert all(0 < n <= counts[i] for i, n in chosen.items())
+            got = sum(n * lengths[i] for i, n in chosen.items())
+            assert got in sums and got <= aim + 10
+            if places > 16:
+                assert abs(got - aim) == min(abs(s - aim) for s in sums if s <= aim + 10)
+
+
 def test_edges(spark, monkeypatch):
     schema = "doc_id long, text string, source string, copies int, id string"
     rows = [(1, "a b c", "s", 1, "x"), (1, "a b c", "s", 1, "x"), (2, None, None, 1, "x"), (3, "", "t", 1, "x"),
