@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -155,7 +157,7 @@ def last_path_segment(url: Column | str) -> Column:
     return F.substring_index(F.rtrim(_col(url), F.lit("/")), "/", -1)
 
 
-# --- fixed values: named character references decoded in stored pages (``&amp;`` last) -------
+# --- fixed values: the usual named character references, looked up before HTML's full table ---
 ENTITIES = [
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0"), ("&ndash;", "–"), ("&mdash;", "—"),
     ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&hellip;", "…"), ("&bull;", "•"),
@@ -167,7 +169,8 @@ ENTITIES = [
     ("&uuml;", "ü"), ("&szlig;", "ß"), ("&Eacute;", "É"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&Auml;", "Ä"),
     ("&amp;", "&"),
 ]
-NUMERIC_REFERENCE = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+ALL_ENTITIES = sorted((f"&{name}", chars) for name, chars in html5.items() if name.endswith(";"))
+REFERENCE = r"&(?:#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7})|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def _character(reference: Column) -> Column:
@@ -178,18 +181,27 @@ def _character(reference: Column) -> Column:
     return F.when(real, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd")
 
 
-def numeric_references(text: Column) -> Column:
-    """The text with its numeric character references decoded."""
-    between = F.split(text, NUMERIC_REFERENCE, -1)
-    found = F.transform(F.regexp_extract_all(text, F.lit(NUMERIC_REFERENCE), F.lit(0)), _character)
+def _named(reference: Column) -> Column:
+    """The characters of a named reference: the usual names first, then HTML's full table."""
+    usual, full = (
+        F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in names)), F.lit("\x01"), F.lit("\x02"))
+        for names in (ENTITIES, ALL_ENTITIES)
+    )
+    return F.coalesce(F.try_element_at(usual, reference), F.try_element_at(full, reference), reference)
+
+
+def references(text: Column) -> Column:
+    """The text with its character references decoded, each once; unknown ones and those without
+    a semicolon stay as written."""
+    between = F.split(text, REFERENCE, -1)
+    found = F.transform(
+        F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)),
+        lambda r: F.when(r.startswith("&#"), _character(r)).otherwise(_named(r)),
+    )
     pairs = F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(text.rlike(NUMERIC_REFERENCE), F.array_join(pairs, "")).otherwise(text)
+    return F.when(text.rlike(REFERENCE), F.array_join(pairs, "")).otherwise(text)
 
 
 def html_text(fragment: Column) -> Column:
     """Visible text of an HTML fragment: tags removed, character references decoded, trimmed."""
-    out = F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
-    out = numeric_references(out)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return strip(out)
+    return strip(references(F.regexp_replace(fragment, r"(?s)<[^>]*>", "")))

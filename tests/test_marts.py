@@ -259,6 +259,15 @@ def test_pages_as_sites_write_them(spark):
     assert row["grade"] == "PSA 8"
 
 
+@pytest.mark.parametrize("depth", [4, 32])
+def test_deeply_nested_titles(spark, depth):
+    nested = lambda text: "<span>" * depth + text + "</span>" * depth
+    item = (f"<ul><li class='s-item'><div class='s-item__title'><span>{nested('S&oslash;ren PSA 9')}</span></div>"
+            f"<span class='s-item__price'>{nested('$5.00')}</span><a class='s-item__link' href='https://e/itm/1'></a></li></ul>")
+    [row] = parsing.page_sales(spark.createDataFrame([(item,)], "html string"), "html", as_of(), parsing.EBAY_PAGE).collect()
+    assert (row["listing_title"], row["sale_price_usd"]) == ("Søren PSA 9", Decimal("5.00"))
+
+
 def test_page_items_without_essentials_are_dropped(spark):
     html = """<ul><li class="s-item"><div class="s-item__title"><span>Shop on eBay</span></div>
       <span class="s-item__price">$1</span><a class="s-item__link" href="https://e/itm/0"></a></li>

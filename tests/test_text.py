@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,14 @@ def test_html_text(spark):
     assert evaluate(spark, given, tx.html_text) == wanted
 
 
+def test_every_named_reference(spark):
+    given = ["&oslash;&aring;&Aacute;&scaron;", "&#38;lt; &amp;amp; &nosuchname; &NotEqualTilde;x", "a&copy=1&amp;b"]
+    wanted = ["øåÁš", "&lt; &amp; &nosuchname; \u2242\u0338x", "a&copy=1&b"]
+    assert evaluate(spark, given, tx.html_text) == wanted
+    names = sorted(n for n in html5 if n.endswith(";"))
+    assert evaluate(spark, [f".&{n}." for n in names], tx.html_text) == [f".{html5[n]}." for n in names]
+
+
 def test_unicode_blanks(spark):
     assert evaluate(spark, ["\u00a0Name\u3000", "\x85a b\u2009"], tx.match_key) == ["name", "a b"]
     grades = evaluate(spark, ["PSA\u00a010", "bgs\u20099.5"], lambda c: tx.grade_from_title(c)["grade"])
