@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hammerline.llm import bpe, exact_dedup, fingerprints, html_text, mixing, secrets, simhash_vp, suffix_dedup, toxicity, warc
+from hammerline.llm import bpe, exact_dedup, fingerprints, html_text, mixing, periodic_runs, secrets, simhash_vp
+from hammerline.llm import suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summary(periodic_runs.planted(_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": pipeline,
 }
 
