@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hammerline.llm import bpe, exact_dedup, fingerprints, html_text, mixing, periodic_runs, secrets, simhash_vp
-from hammerline.llm import suffix_dedup, toxicity, warc
+from hammerline.llm import suffix_dedup, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summary(periodic_runs.planted(_table(spark, sf_dir, "documents")))
 
 
+def op12_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitened_embeddings": op12_whitened_embeddings,
     "pipeline": pipeline,
 }
 
