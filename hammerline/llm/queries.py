@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hammerline.llm import bpe, exact_dedup, fingerprints, html_text, mixing, periodic_runs, secrets, simhash_vp
-from hammerline.llm import suffix_dedup, toxicity, warc, whitening
+from hammerline.llm import bpe, exact_dedup, fingerprints, html_text, licenses, mixing, periodic_runs, secrets
+from hammerline.llm import simhash_vp, suffix_dedup, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op12_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_whitened_embeddings": op12_whitened_embeddings,
+    "op13_license_scan": op13_license_scan,
     "pipeline": pipeline,
 }
 
