@@ -23,6 +23,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,7 +34,9 @@ from hammerline.llm.license_texts import BASE, NAMES, NOTICES
 from hammerline.llm.texts import filled, lower_ascii
 from hammerline.session import write_table
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Runs of anything but the ASCII characters other than 0-9 and a-z. Java looks a class of single
+# characters up in a table and tries ranges one by one, so they are listed.
+WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if chr(c) not in string.digits + string.ascii_lowercase) + "]+"
 # Words of a gram, for templates shorter than LONG words and for the others.
 SHORT_GRAM, LONG_GRAM, LONG = 2, 4, 8
 SHIFT, LEAST_VOTES, LEAST_SHARE = 8, 2, 0.8
