@@ -18,9 +18,16 @@ parsed where they are read. Beyond that size each page's own recurring hashes ar
 
 An element with a name of no article stays if it is rather the wrapper of the article: no article,
 main or content element with text would be left without it, or it holds most of the page's prose
-(nearly all of it, if the name is that of a discussion). Words after has-, no-, with- are states of
+(nearly all of it, if the name is that of a discussion). In the midst of an article's prose a doubtful
+name (a word of a longer class name, or any on a paragraph, unless it means one thing only as
+"advert" does) removes an element only together with a second sign: links, controls, or recurrence on
+the host. Words after has-, no-, with- are states of
 the page, and ids of headings and of an article's sections are anchors; neither is such a name.
 
+Attributes are read by whole names with decoded values. Of several articles of one page the one with
+the most text is taken; of the head of an article its headings; the first-level headings of a main
+element that stand before its article, where that has none. Asides are no part of it.
+
 Defined cases: NULL html is the empty page with an empty text; NULL or odd urls share the host
 ''; broken markup is closed as browsers do, cut-off tags are dropped; repeated rows are pages of
 their own, but count as one page for templates; an empty table gives an empty result; other
@@ -78,11 +85,17 @@ NAME_STARTS = re.compile(
     r"(?:advert|breadcrumb|comment(?!ar)|cookie|disqus|footer|masthead|navbar|navigation|newsletter|popup|promo|recommend|"
     r"related|sidebar|sponsor|subscri)"
 )
+# Of these names, those that mean one thing only.
+SURE = frozenset("ad ads adv adbox adsense adslot consent gdpr login nav pager pagination signup".split())
+SURE_STARTS = re.compile(r"(?:advert|breadcrumb|cookie|footer|masthead|navbar|navigation|newsletter|promo|sidebar|sponsor|subscri)")
 # Names of discussions, which may be longer than the article.
 TALK = re.compile(r"comment(?!ar)|disqus|repl(?:y|ies)$|respond$")
 # After these a class tells what the page has.
 STATES = frozenset("has have no not with without".split())
 SECTION_CLASS = re.compile(r"(?:section|level[1-6])")
+CONTROLS = frozenset("form button input select textarea iframe".split())
+# Running prose of an article has at most this share of its letters in links.
+MOST_LINKED = 0.3
 # An element with a name of no article stays, if it holds more than this share of the page's prose.
 MOST_PROSE, MOST_PROSE_TALK = 0.5, 0.9
 CONTENT_NAMES = frozenset("article content post entry story main body".split())
@@ -96,7 +109,10 @@ MARKUP = re.compile(
     r"|(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z)))",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# One attribute of a tag: its whole name, and its value with quotes or up to the next blank.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?|"[^"]*"|'[^']*'|=""")
+READ = frozenset("class id role hidden aria-hidden style".split())
+LIKELY = re.compile(r"class|id|role|hidden|style", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -107,7 +123,8 @@ class Page:
         self.tags: list[str] = ["#page"]
         self.parents: list[int] = [-1]
         self.marks: list[str] = [""]  # "", "drop", "header", "content"
-        self.names: dict[int, tuple[bool, bool]] = {}  # elements named as no article: a discussion, an anchor
+        # Elements named as no article: whether a discussion, an anchor, a name that leaves no doubt.
+        self.names: dict[int, tuple[bool, bool, bool]] = {}
         self.hashes: list[int] = [0]
         self.events: list[tuple[int, str | None]] = []  # a text, or None where a block begins or ends
         self._gone: set[int] = set()
@@ -201,9 +218,17 @@ class Page:
             return "drop"
         if len(rest) < 4:
             return ""
-        mark, named, by_id, section, talk = "", False, False, tag == "section", False
-        for name, value in ATTRIBUTE.findall(rest):
-            name, value = name.lower(), value.strip("\"'").lower()
+        if not LIKELY.search(rest):
+            return ""
+        mark, named, by_id, section, talk, sure = "", False, False, tag == "section", False, False
+        read = set()
+        for found in ATTRIBUTE.finditer(rest):
+            name = (found[1] or "").lower()
+            if name not in READ or name in read:
+                continue  # the first of two equal names counts
+            read.add(name)
+            value = found[2] or ""
+            value = html.unescape(value[1:-1] if value[:1] in ("'", '"') else value).strip().lower()
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and HIDDEN.search(value)):
                 return "drop"
             if name == "role":
@@ -211,8 +236,8 @@ class Page:
                     return "drop"
                 mark = "content" if value == "main" else mark
             elif name in ("class", "id"):
-                words = set()
-                for token in value.split():
+                words, tokens = set(), value.split()
+                for token in tokens:
                     parts = re.split(r"[^a-z0-9]+", token)
                     section |= name == "class" and SECTION_CLASS.fullmatch(token) is not None
                     words.update(parts[: next((i for i, w in enumerate(parts) if w in STATES), len(parts))])
@@ -223,13 +248,14 @@ class Page:
                     found = [w for w in words if w in NAMES or NAME_STARTS.match(w)]
                     if found:
                         talk |= any(map(TALK.match, found))
+                        sure |= any(w in SURE or SURE_STARTS.match(w) or (w in tokens and tag not in PROSE) for w in found)
                         named, by_id = named or name == "class", by_id or name == "id"
                 if words & CONTENT_NAMES:
                     mark = "content"
                 elif "header" in words and mark != "content":
                     mark = "header"
         if named or by_id:
-            self.names[node] = (talk, not named and section)
+            self.names[node] = (talk, not named and section, sure)
         return mark
 
     def _below(self, roots: set[int]) -> list[bool]:
@@ -254,7 +280,7 @@ class Page:
             {i for i, t in enumerate(self.tags) if t == "a"})
         in_plain = self._below(strong | plain_weak)
         names, marked = {}, bool(strong | plain_weak)
-        for i, (talk, section) in self.names.items():
+        for i, (talk, section, _) in self.names.items():
             # A section's id is an anchor in an article, or where the page marks none.
             if not hard[i] and not (section and (in_plain[i] or not marked)):
                 names[i] = talk
@@ -264,21 +290,30 @@ class Page:
                 region[i] = i if i in names else region[parent]
                 depth[i] = depth[parent] + (i in names)
         prose, visible = [0] * len(self.tags), [False] * len(self.tags)
+        linked, latest, ending = [0] * len(self.tags), [-1] * len(self.tags), -1
         shows = {0: [False, False]}  # text of a region's own in article or main, in any marked element
-        for node, text in self.events:
+        for at, (node, text) in enumerate(self.events):
             if text is None or hard[node] or not (size := len(text.strip())):
                 continue
-            visible[node] = True
+            visible[node], latest[node] = True, at
             prose[node] += 0 if in_link[node] else size
+            linked[node] += size if in_link[node] else 0
+            if in_any[node] and not region[node] and not in_link[node]:
+                ending = at  # where the article's own prose ends
             own = shows.setdefault(region[node], [False, False])
             own[0] |= in_strong[node]
             own[1] |= in_any[node]
+        controls = [t in CONTROLS for t in self.tags]
         holds = [0] * len(self.tags)  # 1 a marked element, 2 an article or main, with text
         for i in range(len(self.tags) - 1, 0, -1):
             if visible[i]:
                 holds[i] = max(holds[i], 2 if i in strong else 1 if i in weak else 0)
                 visible[self.parents[i]] = True
-            prose[self.parents[i]] += prose[i]
+            up = self.parents[i]
+            prose[up] += prose[i]
+            linked[up] += linked[i]
+            latest[up] = max(latest[up], latest[i])
+            controls[up] |= controls[i]
             holds[self.parents[i]] = max(holds[self.parents[i]], holds[i])
         gone, left = set(), list(shows[0])
         layers: dict[int, list[int]] = {}
@@ -296,6 +331,10 @@ class Page:
                     spared = most or (holds[i] > 0 and not talk)
                 else:
                     spared = most and (in_any[self.parents[i]] or (holds[i] == 2 and not left[0]))
+                    if in_any[self.parents[i]] and not talk and not self.names[i][2]:
+                        # Prose in the midst of the article: a name alone doesn't remove it.
+                        few = linked[i] <= MOST_LINKED * (prose[i] + linked[i])
+                        spared |= prose[i] > 0 and few and not controls[i] and latest[i] < ending
                 if spared:
                     kept.append(i)
                 else:
@@ -313,13 +352,25 @@ class Page:
         root = self._root(hidden)
         if root is None:
             return [not h for h in hidden]
-        within = self._below({root})
+        within = self._below({root} | self._titles(root, hidden))
         # The head of a page is no part of an article; the head of an article gives its headings.
         heads = self._below({i for i, t in enumerate(self.tags) if t == "header" or self.marks[i] == "header"})
         heading = self._below({i for i, t in enumerate(self.tags) if t in HEADINGS})
         return [w and not h and (not head or (title and self.tags[root] in ARTICLES))
                 for w, h, head, title in zip(within, hidden, heads, heading)]
 
+    def _titles(self, root: int, hidden: list[bool]) -> set[int]:
+        """First-level headings of the main element around an article without one, ahead of it."""
+        up = self.parents[root]
+        while up > 0 and self.tags[up] != "main":
+            up = self.parents[up]
+        if self.tags[root] != "article" or up <= 0:
+            return set()
+        own, around = self._below({root}), self._below({up})
+        articles = self._below({i for i, t in enumerate(self.tags) if t == "article"})
+        first = [i for i, t in enumerate(self.tags) if t == "h1" and around[i] and not hidden[i]]
+        return set() if any(own[i] for i in first) else {i for i in first if i < root and not articles[i]}
+
     def _candidates(self) -> tuple[list[bool], list[int]]:
         """What is hidden without templates, and each element's hash if it may be template, or else 0.
 

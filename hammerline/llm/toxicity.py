@@ -24,6 +24,7 @@ score alike; empty tables give an empty result.
 from __future__ import annotations
 
 import math
+import warnings
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -333,6 +334,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents not predicted toxic, with all their columns."""
+    """The documents not predicted toxic, with all their columns.
+
+    A model that could not be fitted, as there were too few labels of either kind, tells no
+    document from another: then all of them pass, with a warning.
+    """
+    if model.coefficients is None:
+        warnings.warn("no toxicity model: too few labels of either kind; all documents pass", stacklevel=2)
+        return docs
     whole = docs.select(F.struct("*").alias("doc"), score_column(F.col(text_col), model).alias("score"))
     return whole.where("score < 0.5").select("doc.*")

@@ -147,3 +147,47 @@ def test_hosts(spark):
     urls = ["https://User@WWW.Host.example:80/a", "http://x.org", None, "no url", "ftp://h/"]
     rows = spark.createDataFrame([(u,) for u in urls], "url string")
     assert [r[0] for r in rows.select(html_text.host(rows.url)).collect()] == ["www.host.example", "x.org", "", "", "h"]
+
+
+WATCHED = sorted(html_text.NAMES) + ["comment", "related", "sidebar", "footer", "advert", "newsletter", "hidden"]
+
+
+def article(inner, rest="<p>And here the article ends.</p>"):
+    return f"<body><nav>menu</nav><article><p>First of all.</p>{inner}{rest}</article></body>"
+
+
+def test_watched_words_in_values_are_no_names():
+    for word in WATCHED:
+        for tag in (f'title="the {word} cost"', f'data-hidden="{word}"', f"data-id={word}-1", f'data-role="{word}"', f"aria-label='{word} x'",
+                    f'data-x="a > b" title="class={word}"', f"alt='id=&quot;{word}&quot;'"):
+            assert html_text.Page(article(f"<p {tag}>kept</p>")).text().split("\n") == ["First of all.", "kept", "And here the article ends."], tag
+            assert html_text.Page(f"<article {tag}><p>kept</p></article>").text() == "kept", tag
+        for url in (f'"/view?id={word}-4"', f"/view?id={word}&class={word}", f"'?role={word}'"):
+            page = html_text.Page(article(f"<p>see <a href={url}>this</a> ok</p>"))
+            assert "see this ok" in page.text(), url
+
+
+def test_attributes_are_read_as_browsers_do():
+    for tag in ("hidden", 'class=ad class="x"', "CLASS='ad'", "class = ad", 'class="&#97;d"', "title='x'class=ad", "style='display:&#32;none'"):
+        assert "gone" not in html_text.Page(article(f"<div {tag}>gone</div>")).text(), tag
+    for tag in ('class="x" class=ad', "class='' ad", "data-class=ad"):
+        assert "stays" in html_text.Page(article(f"<div {tag}>stays</div>")).text(), tag
+
+
+def test_doubtful_names_need_a_second_sign_within_an_article():
+    prose = "Some running prose of the article that goes on for a while."
+    for inner in (f'<p class="social">{prose}</p>', f'<div class="search-history"><p>{prose}</p></div>', f'<div id="alert-levels">{prose}</div>'):
+        assert prose in html_text.Page(article(inner)).text(), inner
+        assert prose not in html_text.Page(article("<p>" + 9 * "more of it " + "</p>" + inner, rest="")).text(), inner
+    for inner in (
+        f'<div class="ad">{prose}</div>', f'<p class="advert-box">{prose}</p>', f'<div class="share">{prose}</div>',
+        f'<div class="share-this"><a href="/x">{prose}</a></div>', f'<div class="search-box">{prose}<form><input></form></div>',
+        f'<div class="comments">{prose}</div>',
+    ):
+        assert prose not in html_text.Page(article(inner)).text(), inner
+
+
+def test_headings_of_main_and_parts():
+    page = "<main><h1>Title</h1><p>by someone</p><article><p>Text of it.</p></article><article><p>Less.</p></article></main>"
+    assert html_text.Page(page).text() == "Title\nText of it."
+    assert html_text.Page("<main><h1>Site</h1><article><h1>Own</h1><p>Text.</p></article></main>").text() == "Own\nText."

@@ -70,3 +70,22 @@ def test_edges(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
     one_kind = toxicity.train(docs, labels.where("toxic = 1"))
     assert toxicity.score(docs, one_kind).agg(F.min("score")).first()[0] == 1.0
+    with pytest.warns(UserWarning, match="no toxicity model"):
+        assert toxicity.keep_clean(docs, one_kind).count() == docs.count()
+
+
+@pytest.mark.parametrize("kinds", [[1] * 5, [1, 0, 1], [0, 0, 0], []])
+def test_few_labels_never_drop_a_corpus(spark, kinds):
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(kinds)), "doc_id long, toxic int")
+    assert toxicity.keep_clean(docs, toxicity.train(docs, labels)).count() == 50
+
+
+def test_held_out_ranking_and_recall(spark, sf01):
+    """Recall, and the share of (toxic, clean) pairs that the score orders rightly."""
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf01}/labels.parquet").collect()}
+    rows = QUERIES["op6_toxicity_grammar"](spark, sf01).collect()
+    held = [(r.score, r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    toxic, clean = [x for x in held if x[2]], [x for x in held if not x[2]]
+    pairs = [(a[0] > b[0]) + 0.5 * (a[0] == b[0]) for a in toxic for b in clean]
+    assert sum(pairs) / len(pairs) > 0.85 and sum(x[1] for x in toxic) / len(toxic) > 0.6
