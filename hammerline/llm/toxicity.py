@@ -306,6 +306,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if fit["y"].nunique() < 2:
         return Model(share=share)
     beta = rising_logistic(np.array(fit["x"].tolist()), fit["y"].to_numpy(float))
+    if not beta[1:].any():
+        return Model(share=share)  # no clause tells the kinds apart
     return Model(learn_lexicon(sample), tuple(map(float, beta)), share)
 
 
@@ -334,13 +336,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents not predicted toxic, with all their columns.
+    """The documents that the grammar doesn't reject, with all their columns.
 
-    A model that could not be fitted, as there were too few labels of either kind, tells no
+    Rejected is what scores 0.5 or more and more than a text in which no clause matches, so
+    mostly toxic labels reject nothing by themselves. A model that could not be fitted, as there were too few labels of either kind, tells no
     document from another: then all of them pass, with a warning.
     """
     if model.coefficients is None:
         warnings.warn("no toxicity model: too few labels of either kind; all documents pass", stacklevel=2)
         return docs
     whole = docs.select(F.struct("*").alias("doc"), score_column(F.col(text_col), model).alias("score"))
-    return whole.where("score < 0.5").select("doc.*")
+    unmatched = 1 / (1 + math.exp(-model.coefficients[0]))
+    return whole.where(F.col("score") < max(0.5, math.nextafter(unmatched + 1e-12, 2))).select("doc.*")

@@ -184,7 +184,7 @@ def test_doubtful_names_need_a_second_sign_within_an_article():
         f'<div class="share-this"><a href="/x">{prose}</a></div>', f'<div class="search-box">{prose}<form><input></form></div>',
         f'<div class="comments">{prose}</div>',
     ):
-        assert prose not in html_text.Page(article(inner)).text(), inner
+        assert prose not in html_text.Page(article(inner, "<p>" + 9 * "more of it " + "</p>")).text(), inner
 
 
 def test_headings_of_main_and_parts():

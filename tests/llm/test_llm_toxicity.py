@@ -81,11 +81,12 @@ def test_few_labels_never_drop_a_corpus(spark, kinds):
     assert toxicity.keep_clean(docs, toxicity.train(docs, labels)).count() == 50
 
 
-def test_held_out_ranking_and_recall(spark, sf01):
+def test_held_out_ranking_and_recall(spark):
     """Recall, and the share of (toxic, clean) pairs that the score orders rightly."""
+    sf01 = "/root/testdata/sf0.1"  # some 800 held-out labels
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf01}/labels.parquet").collect()}
     rows = QUERIES["op6_toxicity_grammar"](spark, sf01).collect()
     held = [(r.score, r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     toxic, clean = [x for x in held if x[2]], [x for x in held if not x[2]]
     pairs = [(a[0] > b[0]) + 0.5 * (a[0] == b[0]) for a in toxic for b in clean]
-    assert sum(pairs) / len(pairs) > 0.85 and sum(x[1] for x in toxic) / len(toxic) > 0.6
+    assert len(toxic) > 50 and sum(pairs) / len(pairs) > 0.95 and sum(x[1] for x in toxic) / len(toxic) > 0.9
