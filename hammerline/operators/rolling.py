@@ -60,12 +60,24 @@ def rolling_by_date(
     integers.
     """
     keys = list(keys)
+    daily = daily_sums(df, keys, date, value, weight)
+    benchmarks = day_frames(daily, keys, date, mean_days, count_days)
+    joined = left_join_spread_nulls(df, benchmarks, [*keys, date], F.struct(*df.columns))
+    return joined.select(*df.columns, *_frame_names(mean_days, count_days))
+
+
+def daily_sums(df: DataFrame, keys: Sequence[str], date: str, value: str, weight: str | None = None) -> DataFrame:
+    """Per key and day: the exact sum, the number of values (or the weights' sum), the rows."""
     _exact(df, value, weight)
     amount = F.col(value) if weight is None else F.col(value) * F.col(weight)
     units = F.count(value) if weight is None else F.sum(F.when(F.col(value).isNotNull(), F.col(weight)))
-    daily = df.groupBy(*keys, date).agg(
-        F.sum(amount).alias("_sum"), units.alias("_n"), F.count("*").alias("_rows")
-    )
+    return df.groupBy(*keys, date).agg(F.sum(amount).alias("_sum"), units.alias("_n"), F.count("*").alias("_rows"))
+
+
+def day_frames(
+    daily: DataFrame, keys: Sequence[str], date: str, mean_days: Sequence[int], count_days: Sequence[int]
+) -> DataFrame:
+    """Means and counts per key and day from daily sums; a day needs those of its longest frame."""
     by_day = W.partitionBy(*keys).orderBy(F.unix_date(date))
 
     def frame(column: str, days: int) -> Column:
@@ -77,9 +89,7 @@ def rolling_by_date(
 
     means = [_mean(frame("_sum", d), frame("_n", d)).alias(f"vwap_{d}d") for d in mean_days]
     counts = [frame("_rows", d).alias(f"sale_count_{d}d") for d in count_days]
-    benchmarks = daily.select(*keys, date, *means, *counts)
-    joined = left_join_spread_nulls(df, benchmarks, [*keys, date], F.struct(*df.columns))
-    return joined.select(*df.columns, *_frame_names(mean_days, count_days))
+    return daily.select(*keys, date, *means, *counts)
 
 
 def with_deviation(df: DataFrame, value: str = "sale_price_usd", days: Sequence[int] = fixed.COUNT_WINDOWS) -> DataFrame:

@@ -30,6 +30,7 @@ class Layout:
     normalised = property(lambda self: self.path("processed", "normalised"))
     enriched = property(lambda self: self.path("processed", "enriched"))
     benchmarks = property(lambda self: self.path("processed", "benchmarks"))
+    benchmark_versions = property(lambda self: self.path("processed", "benchmark_versions"))
     quarantine = property(lambda self: self.path("processed", "quarantine"))
     warehouse = property(lambda self: self.path("warehouse"))
     seen = property(lambda self: self.path("state", "seen_hashes"))
