@@ -19,7 +19,7 @@ from hammerline.operators import checks, dedup, incremental, outliers, resolve,
 from hammerline.plans import certs, ingest, marts, monitor, parsing, serving
 from hammerline.schemas import RAW_SALE
 from hammerline.session import materialise, scratch_path, write_table
-from hammerline.sources import scans, sinks
+from hammerline.sources import layouts, scans, sinks
 from hammerline.sources.versions import Versions
 from hammerline.streaming import ingest as streaming
 
@@ -709,7 +709,7 @@ def grade_join_raw(spark, sf):
 def _written_marts(spark, sf) -> scans.Layout:
     layout = scans.Layout(scratch_path(spark, "layout"))
     sinks.write_source_tables(t.enriched(spark, sf), layout.warehouse, grain="month")
-    marts.build_marts(spark, layout, t.as_of_future(), t.seed(spark, sf))
+    marts.build_marts(spark, layout, t.as_of_future(), t.seed(spark, sf), grain="files")
     return layout
 
 
@@ -724,6 +724,61 @@ def build_marts(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _mart(spark, sf, name):
+    return spark.read.parquet(_written_marts(spark, sf).mart(name))
+
+
+@query(sql(f"SELECT {', '.join(FACT_OUT)} FROM fact"), number="sale_price_usd grade_id", text="sale_date")
+def mart_fact(spark, sf):
+    """The contents of the written fact, read by its buckets."""
+    return marts.read_fact(spark, _written_marts(spark, sf)).select(*FACT_OUT)
+
+
+@query(sql(f"SELECT {', '.join(BENCH_OUT)} FROM pct"), number="grade_id", text="benchmark_date")
+def mart_benchmarks(spark, sf):
+    """The contents of the written benchmarks."""
+    return _mart(spark, sf, "fct_price_benchmarks").select(*BENCH_OUT)
+
+
+@query(sql("SELECT * FROM dim_card"))
+def mart_cards(spark, sf):
+    return _mart(spark, sf, "dim_card")
+
+
+@query(sql("SELECT * FROM dim_fighter"))
+def mart_fighters(spark, sf):
+    return _mart(spark, sf, "dim_fighter")
+
+
+@query(sql(f"SELECT {', '.join(FACT_OUT)} FROM fact"), number="sale_price_usd grade_id", text="sale_date")
+def star_fact_bucketed(spark, sf):
+    """The fact with its card looked up where sales and cards lie in the same buckets."""
+    dim = t.entities(spark, sf)
+    resolved = write_table(t.resolved(spark, sf, dim), "resolved")
+    by = layouts.Buckets(tuple(marts.CARD_KEYS), tuple(marts.CARD_KEYS), 16)
+    cards = layouts.save_bucketed(marts.dim_card(resolved, dim), scratch_path(spark, "cards"), by)
+    sales = layouts.save_bucketed(resolved, scratch_path(spark, "sales"), by)
+    joined = marts.join_card(sales, cards, co_located=True)
+    return marts.join_grade(joined, marts.dim_grade(spark)).select(*FACT_OUT)
+
+
+@query(
+    """SELECT source, CAST(CAST(ts AS DATE) AS VARCHAR) AS sale_date, count(*) AS records, CAST(sum(event_id) AS BIGINT) AS ids
+       FROM (SELECT *, CASE event_type WHEN 'view' THEN 'ebay' WHEN 'click' THEN 'pwcc' ELSE 'myslabs' END AS source FROM events)
+       GROUP BY ALL"""
+)
+def source_days(spark, sf):
+    """K3 by day: the events as rows of three sources, a folder per source and day, read source by source."""
+    events = t.table(spark, sf, "events")
+    source = F.when(F.col("event_type") == "view", "ebay").when(F.col("event_type") == "click", "pwcc").otherwise("myslabs")
+    path = scratch_path(spark, "source_days")
+    sinks.write_source_tables(events.withColumns({"source": source, "sale_date": F.to_date("ts"), "processing_date": t.as_of()}), path)
+    rows = reduce(DataFrame.unionByName, (scans.scan_table(spark, path, s) for s in fixed.STAGED_SOURCES))
+    return rows.groupBy("source", F.col("sale_date").cast("string").alias("sale_date")).agg(
+        F.count("*").alias("records"), F.sum("event_id").alias("ids")
+    )
+
+
 # --- serving --------------------------------------------------------------------------------
 
 
@@ -745,7 +800,7 @@ def _overview(spark, sf):
 
 @query(sql(OVERVIEW), text="benchmark_date")
 def overview_from_marts(spark, sf):
-    """The overview as it is served: from written marts, of which it reads one day's folder."""
+    """The overview as it is served: from written marts, of which it reads the files of one day."""
     layout = _written_marts(spark, sf)
     read = lambda mart: spark.read.parquet(layout.mart(mart))
     return serving.market_overview(read("fct_price_benchmarks"), read("dim_fighter"), read("dim_grade"), t.as_of())

@@ -157,10 +157,11 @@ def rolling_by_rows(
     keys = list(keys)
     _exact(df, value)
     order = [F.col(date).asc_nulls_first(), F.col(tie).asc_nulls_first()]
-    # A struct of the keys is never NULL itself, so NULL keys group and join as values.
+    # A struct of the keys is never NULL itself, so NULL keys group and join as values. They are
+    # counted by the plain keys, which a table bucketed by them need not shuffle.
     grouped = df.withColumn("_group", F.struct(*keys))
-    counts = grouped.groupBy("_group").agg(F.count("*").alias("_rows"))
-    hot = materialise(counts.where(F.col("_rows") > hot_rows).select("_group"))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    hot = materialise(counts.where(F.col("_rows") > hot_rows).select(F.struct(*keys).alias("_group")))
     if hot.isEmpty():
         return _row_frames(df, keys, order, value, mean_rows, count_rows)
     side = F.broadcast(hot) if is_small(hot) else hot

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,18 @@ from hammerline import fixed
 from hammerline.functions.sales import pct_deviation, rookie, surrogate_key
 from hammerline.operators.resolve import resolve_dim
 from hammerline.operators.rolling import DIM_KEYS, HOT_ROWS, rolling_by_rows
-from hammerline.session import is_small, left_join_spread_nulls, scratch_scope
+from hammerline.session import is_small, left_join_spread_nulls, scratch_scope, write_table
 from hammerline.sources import sinks
+from hammerline.sources.layouts import (
+    BUCKET_ROWS,
+    FILE_BYTES,
+    Buckets,
+    bucket_number,
+    open_bucketed,
+    save_bucketed,
+    save_clustered,
+    table_size,
+)
 from hammerline.sources.scans import Layout, grade_table, scan_seed
 
 STAGING = [
@@ -130,9 +141,14 @@ def dim_card(resolved: DataFrame, entities: DataFrame, per_fighter: bool = False
     return flagged.groupBy("card_id", *CARD_KEYS).agg(F.bool_or("is_rookie").alias("is_rookie"))
 
 
-def join_card(sales: DataFrame, cards: DataFrame) -> DataFrame:
-    """Card key by year, set and number; sales lacking one of them get NULL."""
+def join_card(sales: DataFrame, cards: DataFrame, co_located: bool = False) -> DataFrame:
+    """Card key by year, set and number; sales lacking one of them get NULL.
+
+    ``co_located`` sides are bucketed by these keys and are joined where they lie.
+    """
     right = cards.select("card_id", *CARD_KEYS)
+    if co_located:
+        return sales.join(right, CARD_KEYS, "left")
     return left_join_spread_nulls(sales, right, CARD_KEYS, F.struct(*sales.columns))
 
 
@@ -216,22 +232,50 @@ def resolved_sales(
 
 
 def build_marts(
-    spark: SparkSession, layout: Layout, as_of: Column | None = None, seed: DataFrame | None = None
+    spark: SparkSession,
+    layout: Layout,
+    as_of: Column | None = None,
+    seed: DataFrame | None = None,
+    grain: str = "day",
+    file_bytes: int = FILE_BYTES,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> None:
     """Entry point B: marts written as tables from the per-source raw tables; ``seed`` takes
-    the place of the built-in aliases."""
+    the place of the built-in aliases.
+
+    The fact is bucketed by entity and grade and sorted by time, as its windows want it, so the
+    benchmarks are made without shuffling it. They lie in folders by day, or by month with that
+    ``grain``; with the grain "files" contiguous days share files of about ``file_bytes``, which
+    is the choice for thin days.
+    """
     with scratch_scope(spark):
-        _build_marts(spark, layout, as_of, seed)
+        _build_marts(spark, layout, as_of, seed, grain, file_bytes, bucket_rows)
 
 
-def _build_marts(spark: SparkSession, layout: Layout, as_of: Column | None, seed: DataFrame | None) -> None:
+def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The sales fact by its buckets."""
+    return open_bucketed(spark, layout.mart("fct_card_sales"))
+
+
+def _build_marts(
+    spark: SparkSession, layout: Layout, as_of: Column | None, seed: DataFrame | None, grain: str, file_bytes: int, bucket_rows: int
+) -> None:
     enriched = spark.read.parquet(layout.warehouse)
     sinks.save_mart(dim_fighter(scan_seed(spark) if seed is None else seed), layout.mart("dim_fighter"))
     entities = spark.read.parquet(layout.mart("dim_fighter"))
     sinks.save_mart(dim_grade(spark), layout.mart("dim_grade"))
     grades = spark.read.parquet(layout.mart("dim_grade"))
-    resolved = resolved_sales(enriched, entities, as_of)
+    resolved = write_table(resolved_sales(enriched, entities, as_of), "resolved")
     sinks.save_mart(dim_card(resolved, entities), layout.mart("dim_card"))
-    sinks.save_mart(fct_card_sales(resolved, grades), layout.mart("fct_card_sales"), "sale_date")
-    fact = spark.read.parquet(layout.mart("fct_card_sales"))
-    sinks.save_mart(fct_price_benchmarks(fact), layout.mart("fct_price_benchmarks"), "benchmark_date")
+    rows = resolved.count()
+    by = Buckets(DIM_KEYS, (*DIM_KEYS, "sale_date", "sale_id"), bucket_number(rows, bucket_rows))
+    fact = save_bucketed(fct_card_sales(resolved, grades), layout.mart("fct_card_sales"), by)
+    bench, path = fct_price_benchmarks(fact), layout.mart("fct_price_benchmarks")
+    if grain != "files":
+        sinks.save_mart(bench, path, "benchmark_date", grain)
+        return
+    # Rows of the benchmarks are narrower than those of the fact, which bounds their files.
+    size, _ = table_size(spark, layout.mart("fct_card_sales"))
+    per_file = math.ceil(file_bytes * max(1, rows) / max(1, size))
+    days = fact.groupBy(F.col("sale_date").alias("day")).agg(F.count("*").alias("rows"))
+    save_clustered(bench, path, "benchmark_date", days, per_file, ["sale_id"])

@@ -1,7 +1,7 @@
 """Serving queries.
 
-All take the marts and an explicit ``as_of`` date. The benchmark mart is partitioned by
-day, so the date filter prunes to one folder, or to the trailing 90.
+All take the marts and an explicit ``as_of`` date. The benchmark mart lies in folders by day or
+is clustered by day, so the date filter skips all but the day, or the trailing 90.
 """
 
 from __future__ import annotations

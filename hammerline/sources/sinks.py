@@ -73,12 +73,18 @@ def append_run_log(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").option("timestampNTZFormat", MICROS).option("timestampFormat", MICROS + "XXX").json(path)
 
 
-def save_mart(df: DataFrame, path: str, day: str | None = None) -> None:
-    """K7: a mart as a table, by day when ``day`` names a date column."""
+def save_mart(df: DataFrame, path: str, day: str | None = None, grain: str = "day") -> None:
+    """K7: a mart as a table, in folders by day or month when ``day`` names a date column.
+
+    Thin days make tiny files: see :func:`hammerline.sources.layouts.save_clustered`.
+    """
     if day is None:
         df.write.mode("overwrite").parquet(path)
-    else:
+    elif grain == "day":
         _partitioned(df, [day]).mode("overwrite").parquet(path)
+    else:
+        folder = f"{day}_{grain}"
+        _partitioned(df.withColumn(folder, F.trunc(day, grain)), [folder]).mode("overwrite").parquet(path)
 
 
 def save_view(df: DataFrame, name: str) -> None:
