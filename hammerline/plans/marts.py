@@ -268,7 +268,8 @@ def _build_marts(
     resolved = write_table(resolved_sales(enriched, entities, as_of), "resolved")
     sinks.save_mart(dim_card(resolved, entities), layout.mart("dim_card"))
     rows = resolved.count()
-    by = Buckets(DIM_KEYS, (*DIM_KEYS, "sale_date", "sale_id"), bucket_number(rows, bucket_rows))
+    number = bucket_number(rows, bucket_rows, spark.sparkContext.defaultParallelism)
+    by = Buckets(DIM_KEYS, (*DIM_KEYS, "sale_date", "sale_id"), number)
     fact = save_bucketed(fct_card_sales(resolved, grades), layout.mart("fct_card_sales"), by)
     bench, path = fct_price_benchmarks(fact), layout.mart("fct_price_benchmarks")
     if grain != "files":

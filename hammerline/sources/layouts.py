@@ -25,6 +25,7 @@ from hammerline.session import is_small, materialise
 
 # What a bucket or file should hold at most.
 BUCKET_ROWS = 4_000_000
+LEAST_BUCKET_ROWS = 20_000
 FILE_BYTES = 128 * 1024 * 1024
 MOST_BUCKETS = 65_536
 
@@ -38,9 +39,17 @@ class Buckets:
     number: int
 
 
-def bucket_number(rows: int, per_bucket: int = BUCKET_ROWS) -> int:
-    """A power of two, so that tables of different size still align by whole factors."""
-    return min(MOST_BUCKETS, 1 << max(0, math.ceil(math.log2(max(1, rows) / per_bucket))))
+def bucket_number(rows: int, per_bucket: int = BUCKET_ROWS, cores: int = 1) -> int:
+    """A power of two, so that tables of different size still align by whole factors.
+
+    Tables of fewer full buckets than cores get smaller ones, as a bucket is read by one task.
+    """
+
+    def power(buckets: float) -> int:
+        return 1 << max(0, math.ceil(math.log2(max(1.0, buckets))))
+
+    spread = min(power(cores), power(rows / LEAST_BUCKET_ROWS))
+    return min(MOST_BUCKETS, max(power(rows / per_bucket), spread))
 
 
 def _name(path: str) -> str:
