@@ -21,6 +21,7 @@ from hammerline.schemas import RAW_SALE
 from hammerline.session import materialise, scratch_path, write_table
 from hammerline.sources import layouts, scans, sinks
 from hammerline.sources.versions import Versions
+from hammerline.streaming import compact
 from hammerline.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1575,6 +1576,22 @@ def append_new(spark, sf):
     return spark.read.parquet(path).select(*SALE_OUT, "l_partkey")
 
 
+@query(
+    sql(
+        f"""SELECT {SALE_SQL}, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY record_hash ORDER BY l_partkey % 4,
+                scraped_at DESC, l_partkey DESC, l_suppkey DESC, sale_price_usd DESC, grade DESC NULLS LAST) AS rn FROM sales)
+            WHERE rn = 1"""
+    ), number="sale_price_usd", text="sale_date")
+def append_batches(spark, sf):
+    """Four batches appended to compacted folders: of each key the first batch's newest row."""
+    rows = write_table(t.sales(spark, sf), "sales")
+    path = scratch_path(spark, "appended")
+    write = compact.appender(spark, path, ties=t.TIES, buckets=8, fanout=3)
+    for batch in range(4):
+        write(rows.where(F.col("l_partkey") % 4 == batch), batch)
+    return compact.read_appended(spark, path).select(*SALE_OUT, "l_partkey")
+
+
 # --- operators whose only evidence were tests --------------------------------------------------
 
 
