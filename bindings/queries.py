@@ -21,7 +21,7 @@ from hammerline.schemas import RAW_SALE
 from hammerline.session import materialise, scratch_path, write_table
 from hammerline.sources import layouts, scans, sinks
 from hammerline.sources.versions import Versions
-from hammerline.streaming import compact
+from hammerline.streaming import compact, newest
 from hammerline.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1592,6 +1592,18 @@ def append_batches(spark, sf):
     return compact.read_appended(spark, path).select(*SALE_OUT, "l_partkey")
 
 
+@query(like("keep_latest"), number="sale_price_usd", text="sale_date")
+def stream_newest(spark, sf):
+    """The newest row of each key by keyed state: the sales arrive in several batches, in no order."""
+    folder, path, state = (scratch_path(spark, name) for name in ("arrivals", "newest", "newest_state"))
+    rows = t.sales(spark, sf)
+    rows.withColumn("part", F.col("l_partkey") % 4).write.partitionBy("part").parquet(folder)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(folder).select(*rows.columns)
+    newest.write_newest(stream, path, state, ties=t.TIES, lateness="7300 days").awaitTermination()
+    return newest.keep_newest(spark.read.parquet(path), ties=t.TIES).select(*SALE_OUT, "l_partkey")
+
+
 # --- operators whose only evidence were tests --------------------------------------------------
 
 
