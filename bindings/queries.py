@@ -15,7 +15,7 @@ from bindings.tables import AS_OF
 from hammerline import fixed
 from hammerline.functions import sales as fs
 from hammerline.functions import text as tx
-from hammerline.operators import checks, dedup, incremental, outliers, resolve, rolling, scd, validate
+from hammerline.operators import checks, dedup, incremental, outliers, quantile_store, resolve, rolling, scd, validate
 from hammerline.plans import certs, ingest, marts, monitor, parsing, serving
 from hammerline.schemas import RAW_SALE
 from hammerline.session import materialise, scratch_path, write_table
@@ -406,6 +406,35 @@ def iqr_bounds(spark, sf):
     return outliers.iqr_bounds(t.ingested(spark, sf))
 
 
+def _stored_counts(spark, sf):
+    """Counts per day, made in two steps: most of the older sales first, then all of them."""
+    rows = write_table(t.ingested(spark, sf).select("record_hash", "source", "grade", "sale_date", "sale_price_usd"), "ingested")
+    store = Versions(spark, scratch_path(spark, "counts"))
+    on_time = ~F.col("record_hash").startswith("0") | ~F.month("sale_date").isin(5, 6)
+    quantile_store.refresh(rows.where((F.col("sale_date") < F.lit("1998-03-10")) & on_time), store)
+    quantile_store.refresh(rows, store)
+    return store
+
+
+@query(like("iqr_bounds"))
+def iqr_bounds_stored(spark, sf):
+    """The bounds from counts kept per day."""
+    return quantile_store.bounds(_stored_counts(spark, sf))
+
+
+@query(
+    sql(
+        """SELECT source, grade, q1, q3, q3 - q1 AS iqr, q1 - 3.0 * (q3 - q1) AS lower_bound, q3 + 3.0 * (q3 - q1) AS upper_bound
+           FROM (SELECT source, grade, quantile_disc(CAST(sale_price_usd AS DOUBLE), 0.25) AS q1,
+                        quantile_disc(CAST(sale_price_usd AS DOUBLE), 0.75) AS q3 FROM ingested
+                 WHERE sale_date BETWEEN DATE '1995-02-10' AND DATE '1996-01-20' GROUP BY source, grade)"""
+    )
+)
+def iqr_bounds_of_a_period(spark, sf):
+    """The bounds of a span of days from the same counts."""
+    return quantile_store.bounds(_stored_counts(spark, sf), dt.date(1995, 2, 10), dt.date(1996, 1, 20))
+
+
 @query(sql("SELECT record_hash, source, grade, is_outlier, includes_buyer_premium, sale_type FROM normalised"))
 def iqr_outliers(spark, sf):
     return t.normalised(spark, sf).select(
