@@ -117,6 +117,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     bits = filter_bits(narrow.count())
     pages = write_table(repeated_pages(narrow, "digest", bits), "pages")
     winners = probe(narrow, pages, "digest", bits).where("maybe").groupBy("digest").agg(F.max("id").alias("keep_id"))
+    # Written, so that a hot text can be split in the join.
+    winners = write_table(winners, "winners")
     probed = probe(whole, pages, "digest", bits)
     alone = probed.where(~F.col("maybe")).select("doc")
     again = probed.where("maybe").join(winners, "digest").where(F.col("id").eqNullSafe(F.col("keep_id")))

@@ -25,8 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hammerline.llm.components import components
+from hammerline.llm.exact_dedup import filter_bits, probe, repeated_pages
 from hammerline.llm.texts import filled, small_batches
-from hammerline.session import materialise
+from hammerline.session import materialise, write_table
 
 SEED = 42
 SHINGLE = 3
@@ -258,14 +259,21 @@ def keep_one(
 ) -> DataFrame:
     """The documents that stay, with all columns: of each component the one with its id.
 
-    Of rows alike in id and text one stays. Documents are joined to the ids that stay and to
-    the digest that tells rows with one id apart.
+    Of rows alike in id and text one stays. Most documents stay and are alone: a bounded filter of
+    the rows that go or are repeated lets them pass without a shuffle, and only the others are
+    joined to what is decided about them.
     """
-    mark = F.xxhash64(filled(text_col)).alias("mark")
+    mark = F.xxhash64(F.col(id_col), filled(text_col)).alias("mark")
     # A NULL id comes last, so that it stands for a component only if there is no other.
     key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), mark).alias("key")
     grouped = near_components(docs.select(key, F.col(text_col).alias("text")), "key", "text", shingle, distance)
-    stay = grouped.select("component_id.*").distinct().select(F.col("id").alias("stay_id"), F.col("mark").alias("stay_mark"))
-    marked = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), mark)
-    kept = marked.join(stay, (F.col("mark") == F.col("stay_mark")) & F.col("id").eqNullSafe(F.col("stay_id")))
-    return kept.dropDuplicates(["id", "mark"]).select("doc.*")
+    counted = grouped.groupBy("key").agg(F.count("*").alias("n"), (F.min("component_id") == F.col("key")).alias("stays"))
+    decided = counted.where(~F.col("stays") | (F.col("n") > 1))
+    decided = write_table(decided.select(F.col("key.id").alias("its_id"), F.col("key.mark").alias("its_mark"), "stays"), "decided")
+    bits = filter_bits(decided.count())
+    pages = write_table(repeated_pages(decided, "its_mark", bits, least=1), "pages")
+    probed = probe(docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), mark), pages, "mark", bits)
+    alike = (F.col("mark") == F.col("its_mark")) & F.col("id").eqNullSafe(F.col("its_id"))
+    rest = write_table(probed.where("maybe").join(decided, alike, "left").where("stays is null or stays"), "rest")
+    once = probed.where(~F.col("maybe")).select("doc").unionByName(rest.where("stays is null").select("doc"))
+    return once.unionByName(rest.where("stays").dropDuplicates(["id", "mark"]).select("doc")).select("doc.*")

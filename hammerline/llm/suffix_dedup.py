@@ -30,10 +30,10 @@ other than the id and the text are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -47,7 +47,7 @@ LEAST = 400
 LEAD = 128
 # Bytes scanned at a time, and slice bytes that a bucket should hold.
 LOT = 1 << 19
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 # So many different slices with the same leading bytes may share a bucket; more are spread.
 HOT = 20_000
 POSITION_BITS = 24
@@ -337,23 +337,32 @@ def _sort_buckets(parts: DataFrame, least: int, lead: int) -> DataFrame:
     key = F.when(F.col("hot"), whole).otherwise(F.substring("part", F.col("off") + 1, F.lit(lead)))
     ranged = parts.repartitionByRange(max(1, -(-size // BUCKET_BYTES)), key)
 
-    def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket = [b for b in batches if len(b)]
-        if not bucket:
+    names = ["digest", "lo", "hi", "window"]
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The slices are copied out of their batches one by one; of a batch nothing else is kept.
+        slices, digests, columns = [], [], {"lo": [], "off": [], "again": [], "hot": []}
+        for batch in batches:
+            slices += [bytes(view) for view in views(batch.column("part"))]
+            digests += batch.column("digest").to_pylist()
+            for name, parts in columns.items():
+                parts.append(batch.column(name).to_numpy(zero_copy_only=False).copy())
+        if not slices:
             return
-        rows = pd.concat(bucket, ignore_index=True)
-        slices, offs = [bytes(p) for p in rows["part"]], rows["off"].to_numpy(np.int64)
-        names, los, again = rows["digest"].to_numpy(), rows["lo"].to_numpy(np.int64), rows["again"].to_numpy(bool)
-        repeated, border = compare_bucket(slices, offs, rows["hot"].to_numpy(bool), least, lead)
+        los, offs, again, hot = (np.concatenate(columns[name]) for name in columns)
+        repeated, border = compare_bucket(slices, offs.astype(np.int64), hot.astype(bool), least, lead)
         out = []
-        for i in np.flatnonzero(repeated.any(axis=1) & ~again):
+        for i in np.flatnonzero(repeated.any(axis=1) & ~again.astype(bool)):
             starts = np.sort(los[i] + offs[i] - np.flatnonzero(repeated[i]))
-            out += [(names[i], a, b + least, None) for a, b in runs(starts)]
+            out += [(digests[i], a, b + least, None) for a, b in runs(starts)]
         for i, w in border:
-            out.append((names[i], los[i] + w, los[i] + w + least, xxhash.xxh3_128_digest(slices[i][w : w + least])))
-        yield pd.DataFrame(out, columns=["digest", "lo", "hi", "window"])
+            out.append((digests[i], int(los[i]) + w, int(los[i]) + w + least, hashlib.sha256(slices[i][w : w + least]).digest()))
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        for start in range(0, len(out), HANDED_ON):
+            part = zip(*out[start : start + HANDED_ON])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(part, kinds)], names)
 
-    return ranged.mapInPandas(sort, "digest binary, lo long, hi long, window binary")
+    return ranged.mapInArrow(sort, "digest binary, lo long, hi long, window binary")
 
 
 def merge_spans(spans) -> list[tuple[int, int]]:

@@ -12,12 +12,14 @@ copies.
 
 Defined cases: NULL html is the empty payload, NULL url an empty target; line ends in a url are
 percent-encoded; a NULL id is smaller than any other; of rows alike in id and payload one is the
-response; an empty table makes an empty archive; further columns are not archived.
+response; an empty table makes an empty archive; further columns are not archived. Record ids are
+made of id, url, payload and a number among rows alike in all three, so that the same pages get
+the same ids however they are partitioned.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hammerline.llm.exact_dedup import filter_bits, probe, repeated_pages
@@ -30,6 +32,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n"
 # Payloads below so many bytes are stored as responses even when equal.
 LEAST_BYTES = 0
+# Rows alike in everything are numbered in so many parts.
+SLICES = 1024
 CAPTURED = "2024-01-01T00:00:00Z"
 
 
@@ -50,7 +54,8 @@ def payload_digest(payload: Column) -> Column:
 
 
 def _uuid(*parts: Column) -> Column:
-    digits = F.md5(F.concat_ws("|", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts)))
+    # JSON keeps a missing part apart from an empty one, and one part from the next.
+    digits = F.md5(F.to_json(F.array(*(p.cast("string") for p in parts))))
     cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *(F.substring(digits, a, n) for a, n in cuts)), F.lit(">"))
 
@@ -87,6 +92,31 @@ def headers_of(records: DataFrame) -> Column:
     )
 
 
+def numbered(records: DataFrame) -> DataFrame:
+    """Adds ``nth``: 0, or a number from 1 among the rows alike in id, url and payload.
+
+    Alike rows are few, and are told by a grouping that carries counts only. Their rows are
+    numbered slice by slice, from where the counts of the slices before end, so that any number of
+    them has no task of its own.
+    """
+    alike, each = ["id", "url", "key"], ["id", "url", "key", "slice"]
+    several = records.groupBy(*alike).agg(F.count("*").alias("n")).where("n > 1")
+    several = write_table(several.select(F.struct(*alike).alias("alike")), "several")
+    if several.isEmpty():
+        return records.withColumn("nth", F.lit(0).cast("long"))
+    rows = records.withColumn("alike", F.struct(*alike))
+    alone = rows.join(several, "alike", "left_anti").drop("alike").withColumn("nth", F.lit(0).cast("long"))
+    again = rows.join(several, "alike", "left_semi").drop("alike").withColumn("slice", F.pmod("row", F.lit(SLICES)))
+    again = write_table(again, "again")
+    sizes = again.groupBy(*each).agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*alike).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.struct(*each).alias("place"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    starts = write_table(starts, "starts")
+    placed = again.withColumn("place", F.struct(*each)).join(starts, "place")
+    inside = F.row_number().over(Window.partitionBy("place").orderBy("row"))
+    return alone.unionByName(placed.withColumn("nth", F.col("start") + inside).select(alone.columns))
+
+
 def write(pages: DataFrame, path: str, id_col: str = "page_id", least_bytes: int = LEAST_BYTES) -> None:
     """Archive ``pages`` (id, url, html) below ``path``."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -99,17 +129,16 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", least_bytes: int
         ),
         "records",
     )
-    first = write_table(
-        narrow.groupBy("key").agg(F.max(F.struct("id", "row")).alias("first"), F.count("*").alias("n")), "firsts"
-    )
+    narrow = numbered(narrow)
+    first = write_table(narrow.groupBy("key").agg(F.max(F.struct("id", "url", "nth")).alias("first")), "firsts")
     records = narrow.join(first, "key")
-    alone = (F.col("row") == F.col("first.row")) | (F.col("payload_bytes") < least_bytes)
+    alone = F.struct("id", "url", "nth").eqNullSafe(F.col("first")) | (F.col("payload_bytes") < least_bytes)
     records = records.withColumns(
         {
             "record_type": F.when(alone, F.lit("response")).otherwise(F.lit("revisit")),
             "refers_to": F.when(~alone, F.col("first.id")),
-            "record_id": _uuid(F.col("id"), F.col("row"), F.col("key")),
-            "refers_record": _uuid(F.col("first.id"), F.col("first.row"), F.col("key")),
+            "record_id": _uuid(F.col("id"), F.col("url"), F.col("nth"), F.col("key")),
+            "refers_record": _uuid(F.col("first.id"), F.col("first.url"), F.col("first.nth"), F.col("key")),
         }
     )
     header = headers_of(records).alias("header")
@@ -168,6 +197,8 @@ def summary(spark: SparkSession, path: str, id_col: str = "page_id") -> DataFram
     verified = responses.groupBy("key").agg(
         F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest")
     )
+    # Written, so that the revisits of a hot payload can be split in the join.
+    verified = write_table(verified, "verified")
     revisits = spark.read.parquet(f"{path}/headers").where("record_type = 'revisit'").join(verified, "key")
     columns = ["id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return responses.select(columns).unionByName(revisits.select(columns)).withColumnRenamed("id", id_col)
