@@ -13,28 +13,48 @@ from hammerline.session import write_table
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity grammar rejects go."""
+    """Documents that the toxicity grammar rejects go.
+
+    NULL and empty texts match no clause and stay; repeated rows share one score; very long texts
+    are scored whole. Without labels of both kinds, or an empty table, nothing is rejected.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.keep_clean(docs, toxicity.train(docs, labels))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
+    """Of equal texts the document with the largest id stays.
+
+    NULL is the empty text; a NULL id is smaller than any other; of rows alike in id and text one
+    stays. All columns are kept, whatever their names.
+    """
     return exact_dedup.keep_first(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash the one with the smallest id stays."""
+    """Of documents linked by SimHash the one with the smallest id stays.
+
+    Texts without words have the fingerprint zero and are linked like any other; a NULL id is
+    larger than any other here; of rows alike in id and text one stays.
+    """
     return simhash_vp.keep_one(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target takes it."""
+    """Each document as often as its source's target takes it.
+
+    NULL and empty texts have size 0 and cost nothing of a target; a NULL source is a source of its
+    own; ties are drawn by a seeded hash, so reruns agree. An empty table gives an empty mixture.
+    """
     return mixing.apply_mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text."""
+    """Token counts and digests of the ids and of the decoded text.
+
+    NULL and empty texts have no ids; texts of any length are encoded whole; repeated rows are
+    encoded alike.
+    """
     import public_tokenizers
 
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
