@@ -15,7 +15,7 @@ from bindings.tables import AS_OF
 from hammerline import fixed
 from hammerline.functions import sales as fs
 from hammerline.functions import text as tx
-from hammerline.operators import checks, dedup, incremental, measured, outliers, quantile_store, resolve, rolling, scd, validate
+from hammerline.operators import checks, dedup, incremental, measured, outliers, quantile_store, resolve, rolling, scd, snapshots, validate
 from hammerline.plans import certs, ingest, marts, monitor, parsing, serving
 from hammerline.schemas import RAW_SALE
 from hammerline.session import materialise, scratch_path, write_table
@@ -1048,20 +1048,8 @@ DIFFERS = (
 )
 
 
-@query(
-    sql(
-        f"""SELECT {O_SNAP}, DATE '{FIRST}' AS valid_from,
-                   CASE WHEN n.fighter_id IS NULL OR {DIFFERS} THEN DATE '{SECOND}' END AS valid_to
-            FROM o LEFT JOIN n ON o.fighter_id = n.fighter_id AND o.grade_id = n.grade_id
-            UNION ALL
-            SELECT {N_SNAP}, DATE '{SECOND}', NULL FROM n
-            LEFT JOIN o ON o.fighter_id = n.fighter_id AND o.grade_id = n.grade_id
-            WHERE o.fighter_id IS NULL OR {DIFFERS}""",
-        ("o", f"SELECT * FROM ({AT.format(d=FIRST)}) WHERE NOT ({NEW})"),
-        ("n", f"SELECT * FROM ({AT.format(d=SECOND)}) WHERE NOT ({GONE})"),
-    ), text="valid_from valid_to")
-def scd2_snapshot(spark, sf):
-    """Two snapshot runs over all benchmarks up to their day; the second lacks some keys."""
+def _snapshot_states(spark, sf):
+    """The newest benchmarks of every key on the two days, each lacking some keys."""
     rows = write_table(t.benchmarks(spark, sf, t.entities(spark, sf)), "benchmarks")
 
     def state(day: str) -> DataFrame:
@@ -1072,10 +1060,14 @@ def scd2_snapshot(spark, sf):
             [F.col("benchmark_date").desc(), F.col("sale_id").desc()],
         )
 
-    def at(day: str):
-        return F.lit(day).cast("timestamp")
+    return state(FIRST).where(f"NOT ({NEW})"), state(SECOND).where(f"NOT ({GONE})")
+
+
+def _at(day: str):
+    return F.lit(day).cast("timestamp")
+
 
-    history = scd.apply_snapshot(scd.first_snapshot(state(FIRST).where(f"NOT ({NEW})"), at(FIRST)), state(SECOND).where(f"NOT ({GONE})"), at(SECOND))
+def _validity(history: DataFrame) -> DataFrame:
     return history.select(
         "fighter_id",
         "grade_id",
@@ -1087,6 +1079,35 @@ def scd2_snapshot(spark, sf):
     )
 
 
+@query(
+    sql(
+        f"""SELECT {O_SNAP}, DATE '{FIRST}' AS valid_from,
+                   CASE WHEN n.fighter_id IS NULL OR {DIFFERS} THEN DATE '{SECOND}' END AS valid_to
+            FROM o LEFT JOIN n ON o.fighter_id = n.fighter_id AND o.grade_id = n.grade_id
+            UNION ALL
+            SELECT {N_SNAP}, DATE '{SECOND}', NULL FROM n
+            LEFT JOIN o ON o.fighter_id = n.fighter_id AND o.grade_id = n.grade_id
+            WHERE o.fighter_id IS NULL OR {DIFFERS}""",
+        ("o", f"SELECT * FROM ({AT.format(d=FIRST)}) WHERE NOT ({NEW})"),
+        ("n", f"SELECT * FROM ({AT.format(d=SECOND)}) WHERE NOT ({GONE})"),
+    ), text="valid_from valid_to")
+def scd2_snapshot(spark, sf):
+    """Two snapshot runs over all benchmarks up to their day; the second lacks some keys."""
+    first, second = _snapshot_states(spark, sf)
+    return _validity(scd.apply_snapshot(scd.first_snapshot(first, _at(FIRST)), second, _at(SECOND)))
+
+
+@query(like("scd2_snapshot"), text="valid_from valid_to")
+def scd2_merged(spark, sf):
+    """The same history by merge, the second run made twice."""
+    first, second = _snapshot_states(spark, sf)
+    store = Versions(spark, scratch_path(spark, "snapshot"))
+    snapshots.merge_snapshot(store, first, _at(FIRST), buckets=16)
+    snapshots.merge_snapshot(store, second, _at(SECOND))
+    snapshots.merge_snapshot(store, second, _at("1998-12-31"))
+    return _validity(snapshots.history(store))
+
+
 # --- text -----------------------------------------------------------------------------------
 
 
