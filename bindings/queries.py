@@ -13,6 +13,7 @@ from bindings import tables as t
 from bindings.oracle import SALE_TYPE, SPORT, _key, sql
 from bindings.tables import AS_OF
 from hammerline import fixed
+from hammerline.functions import dates
 from hammerline.functions import sales as fs
 from hammerline.functions import text as tx
 from hammerline.operators import checks, dedup, incremental, measured, outliers, quantile_store, resolve, rolling, scd, snapshots, validate
@@ -1021,6 +1022,35 @@ def fighter_detail(spark, sf):
     )
 
 
+def _detail(spark, sf):
+    dim, grades = _star(spark, sf)
+    rows = write_table(t.fact(spark, sf, dim), "fact")
+    return serving.fighter_detail(marts.fct_price_benchmarks(rows), rows, dim, grades, t.as_of())
+
+
+@query(
+    sql(
+        f"""SELECT fighter_id, CAST(row_number() OVER (PARTITION BY fighter_id ORDER BY date, grade_label) - 1 AS BIGINT) AS place,
+                   date, grade_label, vwap_7d, vwap_30d, sale_count FROM ({HISTORY}) WHERE fighter_id IN (SELECT fighter_id FROM dim_fighter)"""
+    ), text="date")
+def fighter_detail_points(spark, sf):
+    """Every price point of the nested answers, with its place in its list."""
+    points = _detail(spark, sf).select("fighter_id", F.posexplode("price_history").alias("place", "p"))
+    return points.select("fighter_id", F.col("place").cast("long").alias("place"), "p.*")
+
+
+@query(
+    sql(
+        f"""SELECT fighter_id, CAST(row_number() OVER (PARTITION BY fighter_id ORDER BY sale_date DESC, sale_id) - 1 AS BIGINT) AS place,
+                   listing_title, sale_price_usd, sale_date, sale_type, source, listing_url, grade_label
+            FROM ({RECENT}) WHERE fighter_id IN (SELECT fighter_id FROM dim_fighter)"""
+    ), text="sale_date")
+def fighter_detail_sales(spark, sf):
+    """Every recent sale of the nested answers, with its place in its list."""
+    listed = _detail(spark, sf).select("fighter_id", F.posexplode("recent_sales").alias("place", "s"))
+    return listed.select("fighter_id", F.col("place").cast("long").alias("place"), "s.*")
+
+
 @query(
     sql(
         """SELECT count(*) AS total_records_in_fct_card_sales, count(DISTINCT fighter_id) AS fighters_with_coverage
@@ -1162,6 +1192,32 @@ def date_text(spark, sf):
     return rows.select("listing_id", "l_partkey", tx.date_from_text("raw", t.as_of()).alias("parsed"))
 
 
+@query(
+    sql(
+        """SELECT listing_id, l_partkey, CASE WHEN l_partkey % 9 IN (6, 7) THEN NULL ELSE sale_date END AS parsed,
+               CASE WHEN l_partkey % 9 = 6 THEN 'unread' WHEN l_partkey % 9 = 7 THEN 'blank'
+                    WHEN l_partkey % 9 IN (3, 8) AND day(sale_date) <= 12 AND day(sale_date) <> month(sale_date) THEN 'ambiguous'
+                    ELSE 'read' END AS how
+           FROM sales"""
+    ), text="parsed")
+def date_readings(spark, sf):
+    """Seven spellings, one of them without a date, by the grammar of tokens; what can't be read is told."""
+    day, kind = F.col("sale_date"), F.col("l_partkey") % 9
+    spelled = (
+        F.when(kind == 0, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:30:00.000Z")))
+        .when(kind == 1, F.concat(F.lit("Sold for $12.50 on "), F.date_format(day, "MMM d, yyyy"), F.lit(" at 10:15 pm")))
+        .when(kind == 2, F.concat(F.lit("Lot 17: ended Tue, the "), F.date_format(day, "d"), F.lit("th of "), F.date_format(day, "MMMM yyyy")))
+        .when(kind == 3, F.date_format(day, "M/d/yyyy"))
+        .when(kind == 4, F.concat(F.date_format(day, "yyyy MMMM "), F.lit("("), F.date_format(day, "dd"), F.lit(")")))
+        .when(kind == 5, F.concat(F.lit("Ended "), F.date_format(day, "dd-MMM-yy")))
+        .when(kind == 6, F.lit("Ended 31/31/2020"))
+        .when(kind == 7, F.lit("  "))
+        .otherwise(F.date_format(day, "MM.dd.yy"))
+    )
+    rows = t.sales(spark, sf).withColumn("found", dates.read_date(spelled))
+    return rows.select("listing_id", "l_partkey", F.col("found.date").alias("parsed"), F.col("found.how").alias("how"))
+
+
 @query(
     sql(
         r"""SELECT listing_id, l_partkey, nullif(array_to_string(list_transform(

@@ -5,8 +5,11 @@ from html.entities import html5
 import pytest
 from pyspark.sql import functions as F
 
+from hammerline.functions import dates
 from hammerline.functions import sales as fs
 from hammerline.functions import text as tx
+from hammerline.operators.measured import measure
+from hammerline.session import write_table
 
 
 def evaluate(spark, values, expr, kind="string"):
@@ -198,3 +201,41 @@ def test_epoch_is_independent_of_session_zone(spark):
         assert df.select(fs.epoch_seconds("d")).first()[0] == 86400
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def readings(spark, given, **options):
+    return [(r["date"], r["how"]) for r in evaluate(spark, given, lambda c: dates.read_date(c, **options))]
+
+
+def test_date_grammar(spark):
+    day = dt.date(2026, 5, 31)
+    given = [
+        "2026-05-31", "2026-05-31T23:59:59Z", "2026-05-31T23:59:59.000+02:00", "Sold May 31, 2026", "Sold on May 31, 2026 in Buy Now",
+        "Sun 31 May 2026", "5/31/2026", "may 31st, 2026", "31.5.26", "the 31st of May 2026, 10:30 a.m.", "2026 May 31",
+        "Lot 12: $1,200.00 | sold Sunday, 31-MAY-26 at 9:05 PM (id 1234567)", "31 2026 may",
+    ]
+    assert readings(spark, given) == [(day, "read")] * len(given)
+    first = dt.date(2024, 6, 1)
+    given = ["2024/06/01", "2024.6.1", "01-Jun-24", "Jun-01-2024", "June 1st, 2024", "Sold Jun 1, 24", "ended Jun 2024", "sept", "2024 june"]
+    want = [(first, "read")] * 7 + [(None, "unread"), (first, "read")]
+    assert readings(spark, given) == want
+    unread = ["soon", "13/45/2026", "Feb 30, 2026", "Jun 1 12:30", "12:30", "$12.50", "123 4567 89", "in 2024", "May"]
+    assert readings(spark, unread) == [(None, "unread")] * len(unread)
+    assert readings(spark, ["", None, "  "]) == [(None, "blank")] * 3
+
+
+def test_ambiguous_dates(spark):
+    given = ["6/1/24", "06.01.2024", "06-01-24", "6/6/2024", "13.6.2024", "31/12/99"]
+    how = ["ambiguous"] * 3 + ["read"] * 3
+    june, sixth = dt.date(2024, 6, 1), dt.date(2024, 1, 6)
+    rest = [dt.date(2024, 6, 6), dt.date(2024, 6, 13), dt.date(1999, 12, 31)]
+    assert readings(spark, given) == list(zip([june] * 3 + rest, how))
+    assert readings(spark, given, month_first=False) == list(zip([sixth] * 3 + rest, how))
+
+
+def test_readings_are_counted_while_writing(spark):
+    texts = ["May 31, 2026", "6/1/24", "soon", "", None, "5/31/2026"]
+    df = spark.createDataFrame([(x,) for x in texts], "raw string").withColumn("found", dates.read_date("raw"))
+    rows, taken = measure(df, dates.reading_counts(F.col("found.how")))
+    write_table(rows, "dates")
+    assert taken.counts() == {"rows": 6, "read": 2, "ambiguous": 1, "unread": 1, "blank": 2}
