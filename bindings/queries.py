@@ -1392,6 +1392,46 @@ def listing_pages_ebay(spark, sf):
     return parsing.page_sales(pages, "html", t.as_of(), parsing.EBAY_PAGE).select(*PARSED_OUT)
 
 
+@query(
+    sql(
+        f"""SELECT listing_id, 'ebay' AS source, sale_price_usd, sale_date, listing_title, {TITLE_GRADE}, listing_url,
+            'https://img.example.com/a.jpg' AS image_url, 'auction' AS sale_type FROM {TITLED}"""
+    ), number="sale_price_usd", text="sale_date")
+def listing_pages_varied(spark, sf):
+    """Result pages whose form varies by sale: quotes, order of attributes, wrappers, missing end tags,
+    and names of the wanted elements in comments, scripts and values of other attributes."""
+    form = F.col("l_partkey") % 4
+    quote = F.when(form % 2 == 0, "'").otherwise('"')
+    named = lambda tag, name, more="": F.concat(F.lit(f"<{tag} {more} data-class="), quote, F.lit("s-item s-item__title > x"), quote, F.lit(" class="), quote, F.lit(f"a {name}"), quote, F.lit(">"))
+    wrapped = lambda c: F.when(form == 1, F.concat(F.lit("<b><i>"), c, F.lit("</i></b>"))).when(form == 2, F.concat(F.lit("<span><span>"), c, F.lit("</span></span>"))).otherwise(c)
+    ends = lambda tags: F.when(form == 3, "").otherwise(tags)
+    html = F.concat(
+        F.lit("<body><!-- <li class='s-item'> --><script>var t = \"<li class='s-item'>\";</script><ul>"),
+        named("li", "s-item", "id=x"),
+        named("DIV", "s-item__title"),
+        F.lit("<span>"),
+        wrapped(F.col("listing_title")),
+        ends("</span>"),
+        F.lit("</div></em>"),
+        named("span", "s-item__price"),
+        wrapped(_money()),
+        F.lit("</span><p>"),
+        named("span", "s-item__ended-date"),
+        F.date_format("sale_date", "MMM d, yyyy"),
+        ends("</span></p>"),
+        F.lit("<p><a href="),
+        quote,
+        F.col("listing_url"),
+        quote,
+        F.lit(" class='x s-item__link y'><img src=https://img.example.com/a.jpg class=s-item__image-img>"),
+        ends("</a></p></li>"),
+        F.lit("<li class='s-item'><div class='s-item__title'><span>Shop on eBay</span></div><span class='s-item__price'>$1</span>"),
+        F.lit("<a class='s-item__link' href='https://x.example.com/itm/1'></a></ul>"),
+    )
+    pages = t.sales(spark, sf).select(html.alias("html"))
+    return parsing.page_sales(pages, "html", t.as_of(), parsing.EBAY_PAGE).select(*PARSED_OUT)
+
+
 @query(
     sql(
         f"""SELECT listing_id, 'myslabs' AS source, sale_price_usd, sale_date, listing_title, {TITLE_GRADE},
