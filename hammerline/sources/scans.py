@@ -142,7 +142,7 @@ def scan_titles(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.*json")
+        .option("pathGlobFilter", "*.*json{,.gz}")
         .json(path)
         .where(F.coalesce(F.col("listing_title"), F.lit("")) != "")
     )

@@ -1,0 +1,36 @@
+"""What large tables shuffle and write: narrow keys instead of rows, and few bytes a row."""
+
+import os
+import random
+
+from conftest import values
+from pyspark.sql import functions as F
+
+from hammerline.functions import markup
+from hammerline.operators import dedup, resolve
+from hammerline.schemas import RAW_SALE
+from hammerline.session import scratch_path, write_table
+from hammerline.sources import scans, sinks
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def files(path):
+    return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+
+
+def test_raw_files_and_stages_are_written_without_a_shuffle(spark):
+    rows = spark.createDataFrame([(str(i), s, f"title {i}") for i in range(20) for s in ("ebay", "pwcc")], "listing_id string, source string, listing_title string")
+    raw = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_SALE.fields])
+    path, stage = scratch_path(spark, "raw"), scratch_path(spark, "stage")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    sinks.append_raw(raw, path, F.lit("2024-01-02").cast("date"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert files(path) and all(f.endswith(".json.gz") for f in files(path))
+    assert scans.scan_titles(spark, path).count() == 40
+    assert scans.scan_raw(spark, path, "pwcc").count() == 20
+    sinks.write_stage(rows, stage, ["source"])
+    assert len(files(stage)) > 2 and all(f.endswith(".zstd.parquet") for f in files(stage))
+    assert values(spark.read.parquet(stage).select(*rows.columns)) == values(rows)
