@@ -21,6 +21,30 @@ def files(path):
     return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
 
 
+def test_many_repeated_keys_shuffle_only_their_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    made = [(rng.choice([None, *map(str, range(300))]), i % 7, rng.choice([None, i % 5]), f"row {i % 11}") for i in range(900)]
+    made += [(f"once {i}", 1, 1, "x") for i in range(2000)]
+    rows = write_table(spark.createDataFrame(made, "record_hash string, scraped_at int, price int, note string"), "rows")
+    want = values(dedup.keep_latest(rows, ties=["price"]))
+    monkeypatch.setattr(dedup, "is_small", lambda kept: False)
+    got = dedup.keep_latest(rows, ties=["price"])
+    text = plan(got)
+    assert values(got) == want == values(dedup.keep_latest(rows, ties=["price"], written=True))
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning" not in plan(dedup.keep_latest(rows, ties=["price"], written=True))
+
+
+def test_every_digest_in_one_bit_is_still_exact(spark, monkeypatch):
+    rows = write_table(spark.range(5000).selectExpr("cast(id % 4500 as string) record_hash", "id scraped_at"), "rows")
+    monkeypatch.setattr(dedup, "is_small", lambda kept: False)
+    monkeypatch.setattr(dedup, "PAGE", 8)
+    monkeypatch.setattr(dedup, "MAX_BITS", 8)
+    assert sorted(r.scraped_at for r in dedup.keep_latest(rows).collect()) == list(range(500, 5000))
+
+
 def test_raw_files_and_stages_are_written_without_a_shuffle(spark):
     rows = spark.createDataFrame([(str(i), s, f"title {i}") for i in range(20) for s in ("ebay", "pwcc")], "listing_id string, source string, listing_title string")
     raw = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_SALE.fields])
