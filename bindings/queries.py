@@ -501,14 +501,14 @@ def event_outliers(spark, sf):
     )
 )
 def resolve_entity(spark, sf):
-    named = resolve.resolve_entities(t.sales(spark, sf), t.odd_aliases(spark, sf))
+    named = resolve.resolve_entities(t.stored_sales(spark, sf), t.odd_aliases(spark, sf))
     return named.select("listing_id", "l_partkey", "fighter_name_canonical")
 
 
 @query(like("resolve_entity"))
 def resolve_entity_joined(spark, sf):
     """The same result by joins, the way of a dictionary too large for literals."""
-    named = resolve.resolve_entities(t.sales(spark, sf), t.odd_aliases(spark, sf), inline=0)
+    named = resolve.resolve_entities(t.stored_sales(spark, sf), t.odd_aliases(spark, sf), inline=0)
     return named.select("listing_id", "l_partkey", "fighter_name_canonical")
 
 
@@ -1629,7 +1629,7 @@ def roundtrip_raw(spark, sf):
 def roundtrip_stage(spark, sf):
     """All sources written, two of them wrongly; a second write replaces just these."""
     path = scratch_path(spark, "stage")
-    rows = t.sales(spark, sf).withColumn("processing_date", t.as_of())
+    rows = t.stored_sales(spark, sf).withColumn("processing_date", t.as_of())
     late = F.col("source").isin("ebay", "goldin")
     sinks.write_stage(rows.withColumn("listing_id", F.when(late, "old").otherwise(F.col("listing_id"))), path)
     sinks.write_stage(rows.where(late), path)
@@ -1755,7 +1755,7 @@ def append_new(spark, sf):
     ), number="sale_price_usd", text="sale_date")
 def append_batches(spark, sf):
     """Four batches appended to compacted folders: of each key the first batch's newest row."""
-    rows = write_table(t.sales(spark, sf), "sales")
+    rows = t.stored_sales(spark, sf)
     path = scratch_path(spark, "appended")
     write = compact.appender(spark, path, ties=t.TIES, buckets=8, fanout=3)
     for batch in range(4):

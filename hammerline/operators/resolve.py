@@ -150,18 +150,26 @@ def substring_matches(texts: DataFrame, text: str, aliases: DataFrame, broadcast
 def substring_alias(df: DataFrame, aliases: DataFrame, title: str, out: str = "canonical") -> DataFrame:
     """The canonical name of the first alias, by priority, contained in the title.
 
-    Each distinct title is resolved once, however many copies it has; the answer is then
-    joined back. ``aliases`` must be materialised. Works for a dictionary of any size.
+    Each distinct title is resolved once, however many copies it has; the answers are written,
+    measured, and joined back, by broadcast where they are small. Of a table larger than that
+    only the rows with a title are shuffled. ``aliases`` must be materialised; ``df`` is read
+    twice. Works for a dictionary of any size.
     """
     aliases = materialise(normal_aliases(aliases))
     left = df.withColumn("_text", F.lower(title))
     texts = left.select("_text").where(F.col("_text").isNotNull()).distinct()
-    best = (
+    best = write_table(
         substring_matches(texts, "_text", aliases, is_small(aliases))
         .groupBy("_text")
-        .agg(F.min_by("canonical", "priority").alias(out))
+        .agg(F.min_by("canonical", "priority").alias(out)),
+        "titles",
     )
-    return left_join_spread_nulls(left, best, ["_text"], F.struct(*df.columns)).drop("_text")
+    if is_small(best):
+        return left.join(F.broadcast(best), "_text", "left").drop("_text")
+    # Rows without a title to look up stay where they are.
+    asked, other = left.where(F.col("_text").isNotNull()), left.where(F.col("_text").isNull())
+    found = asked.join(best, "_text", "left").select(*df.columns, out)
+    return found.unionByName(other.select(*df.columns, F.lit(None).cast("string").alias(out)))
 
 
 def resolve_entities(
@@ -176,14 +184,16 @@ def resolve_entities(
 
     A small dictionary becomes literals of one map-only expression; a larger one is
     joined: by equality on the name, then by substring on the titles still unresolved. Both
-    read the same normal form, so the size of the dictionary does not change an answer.
+    read the same normal form, so the size of the dictionary does not change an answer. ``df``
+    is read twice for a dictionary that is joined by broadcast, and should be cheap to read.
     """
     aliases = materialise(normal_aliases(aliases))
     head = aliases.limit(inline + 1).collect()
     if len(head) <= inline:
         return resolve_inline(df, name, title, [tuple(r) for r in head], out)
-    # The titles still open and the join back read the named rows: they are written once.
-    named = write_table(exact_alias(df, aliases, name, "_by_name"), "named")
+    named = exact_alias(df, aliases, name, "_by_name")
+    if not is_small(aliases):  # the titles still open and the join back read the named rows
+        named = write_table(named, "named")
     open_title = named.withColumn("_title", F.when(F.col("_by_name").isNull(), F.col(title)))
     both = substring_alias(open_title, aliases, "_title", "_by_title")
     return both.withColumn(out, F.coalesce("_by_name", "_by_title")).select(*df.columns, out)

@@ -45,6 +45,18 @@ def test_every_digest_in_one_bit_is_still_exact(spark, monkeypatch):
     assert sorted(r.scraped_at for r in dedup.keep_latest(rows).collect()) == list(range(500, 5000))
 
 
+def test_rows_without_open_title_are_not_shuffled(spark, monkeypatch):
+    aliases = write_table(spark.createDataFrame([(1, "ann", "Ann"), (2, "bo", "Bo")], "priority long, alias string, canonical string"), "aliases")
+    rows = write_table(spark.createDataFrame([(i, t) for i, t in enumerate(["x ANN", None, "bo ann", "none", None, "", "x ANN"])], "id int, title string"), "rows")
+    want = [(0, "Ann"), (1, None), (2, "Ann"), (3, None), (4, None), (5, None), (6, "Ann")]
+    small = resolve.substring_alias(rows, aliases, "title").select("id", "canonical")
+    assert values(small) == want and "Exchange hashpartitioning" not in plan(small)
+    monkeypatch.setattr(resolve, "is_small", lambda kept: False)
+    large = resolve.substring_alias(rows, aliases, "title").select("id", "canonical")
+    assert values(large) == want
+    assert values(large.where("canonical is null")) == [(i, None) for i in (1, 3, 4, 5)]
+
+
 def test_raw_files_and_stages_are_written_without_a_shuffle(spark):
     rows = spark.createDataFrame([(str(i), s, f"title {i}") for i in range(20) for s in ("ebay", "pwcc")], "listing_id string, source string, listing_title string")
     raw = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_SALE.fields])
