@@ -70,3 +70,11 @@ def test_raw_files_and_stages_are_written_without_a_shuffle(spark):
     sinks.write_stage(rows, stage, ["source"])
     assert len(files(stage)) > 2 and all(f.endswith(".zstd.parquet") for f in files(stage))
     assert values(spark.read.parquet(stage).select(*rows.columns)) == values(rows)
+
+
+def test_walk_skips_void_tags_that_no_step_fits(spark):
+    html = "<p>a<br><img src=1><hr><p>b<img class='w' src=2/><wbr></p><b>c</b>"
+    page = spark.createDataFrame([(html,)], "html string")
+    fields = {"image": (markup.Field((markup.Step("img", ("w",)),), "@src"),), "text": (markup.Field((markup.Step("b"),)),)}
+    got = markup.read_scopes(page, "html", (markup.Step("p"),), fields)
+    assert set(values(got)) == {(None, None), ("2/", None)}
