@@ -196,6 +196,10 @@ FACT_COLUMNS = [
 ]
 
 
+# What dimensions and fact read of resolved sales; the rest is not stored for them.
+RESOLVED_COLUMNS = [c for c in FACT_COLUMNS if c not in ("card_id", "grade_id")] + [*CARD_KEYS, "grader", "grade_numeric"]
+
+
 def fct_card_sales(resolved: DataFrame, grades: DataFrame, cards: DataFrame | None = None) -> DataFrame:
     """The sales fact. Pass ``cards`` when the card dimension comes from elsewhere."""
     with_card = derive_card(resolved) if cards is None else join_card(resolved, cards)
@@ -265,7 +269,7 @@ def _build_marts(
     entities = spark.read.parquet(layout.mart("dim_fighter"))
     sinks.save_mart(dim_grade(spark), layout.mart("dim_grade"))
     grades = spark.read.parquet(layout.mart("dim_grade"))
-    resolved = write_table(resolved_sales(enriched, entities, as_of), "resolved")
+    resolved = write_table(resolved_sales(enriched, entities, as_of).select(*RESOLVED_COLUMNS), "resolved")
     sinks.save_mart(dim_card(resolved, entities), layout.mart("dim_card"))
     rows = resolved.count()
     number = bucket_number(rows, bucket_rows, spark.sparkContext.defaultParallelism)
