@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +23,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hammerline.operators.dedup import new_records
-from hammerline.session import scratch_scope, write_table
+from hammerline.session import open_files, parts_apart, scratch_scope, write_table
+from hammerline.sources.layouts import FILE_BYTES
 from hammerline.sources.versions import Change, Conflict, Folder, Versions, in_values
 
 ROWS, BUCKET, BATCHES = "rows", "bucket", "batches"
 # Folders up to this size count as of one size.
 LEAST_BYTES = 1 << 20
+# Buckets of at least so many rows of a batch are written by every task, without a shuffle, up to so many buckets.
+DEALT_ROWS = 100_000
+OPEN_FILES = 64
 ATTEMPTS = 5
 
 
@@ -48,11 +53,20 @@ def to_merge(folders: Sequence[Folder], fanout: int) -> list[Folder]:
 
 
 def merge_folders(change: Change, table: str, fanout: int) -> int:
-    """Put one folder in place of each value's folders that are to be merged; their number."""
+    """Put one folder in place of each value's folders that are to be merged; their number.
+
+    A task reads folders of one value only and writes them to one file, so nothing is shuffled.
+    """
     old = change.tables[table]
     chosen = set(to_merge(old.folders, fanout))
     if chosen:
-        change.put(table, change.read(table, chosen.__contains__), old.by, replaces=chosen.__contains__)
+        values: dict[str, set[Folder]] = {}
+        for folder in chosen:
+            values.setdefault(folder.name, set()).add(folder)
+        files = {name: math.ceil(sum(f.bytes for f in found) / FILE_BYTES) for name, found in values.items()}
+        parts = [change.read(table, values[name].__contains__).coalesce(max(1, files[name])) for name in sorted(values)]
+        with parts_apart(change.store.spark):
+            change.put(table, reduce(DataFrame.unionByName, parts), old.by, replaces=chosen.__contains__, deal=False)
     return len(chosen)
 
 
@@ -81,8 +95,12 @@ def appender(
     buckets: int = 64,
     fanout: int = 8,
     versions_kept: int = 10,
+    written: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """What one batch does: append the rows whose key no earlier batch has, the newest of copies."""
+    """What one batch does: append the rows whose key no earlier batch has, the newest of copies.
+
+    A batch is stored first, as it is read several times; not if batches are ``written`` tables.
+    """
     store = Versions(spark, path)
 
     def once(rows: DataFrame, batch_id: int) -> bool:
@@ -90,10 +108,15 @@ def appender(
         done = change.notes.get(BATCHES, {})
         if batch_id <= done.get(name, -1):
             return True
-        mine = {str(r[0]) for r in rows.select(BUCKET).distinct().collect()}  # at most ``buckets``
+        counts = rows.groupBy(BUCKET).count().collect()  # at most ``buckets``
+        mine = {str(r[0]) for r in counts}
+        # Small batches are dealt to their folders, so as to be one file each.
+        deal = buckets > OPEN_FILES or sum(r["count"] for r in counts) < DEALT_ROWS * buckets
         schema = T.StructType([rows.schema[key]])
         seen = change.read(ROWS, in_values(BUCKET, mine), schema).select(key)
-        change.put(ROWS, new_records(rows.drop(BUCKET), seen, key, latest, ties).withColumn(BUCKET, bucket_of(key, buckets)), [BUCKET])
+        fresh = new_records(rows.drop(BUCKET), seen, key, latest, ties).withColumn(BUCKET, bucket_of(key, buckets))
+        with open_files(spark, buckets):
+            change.put(ROWS, fresh, [BUCKET], deal=deal)
         merge_folders(change, ROWS, fanout)
         change.notes[BATCHES] = done | {name: batch_id}
         try:
@@ -105,7 +128,8 @@ def appender(
     def write(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope(spark):
             keyed = batch.where(F.col(key).isNotNull())
-            rows = write_table(keyed.withColumn(BUCKET, bucket_of(key, buckets)), "batch")
+            keyed = keyed.withColumn(BUCKET, bucket_of(key, buckets))
+            rows = keyed if written else write_table(keyed, "batch")
             if not any(once(rows, batch_id) for _ in range(ATTEMPTS)):
                 raise Conflict(f"{path} changes too often for batch {batch_id}")
         if batch_id % versions_kept == versions_kept - 1:

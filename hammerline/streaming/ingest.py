@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hammerline import schemas
 from hammerline.operators.dedup import new_records
-from hammerline.session import scratch_scope, write_table
+from hammerline.session import CODEC, scratch_scope, write_table
 from hammerline.sources.scans import or_empty
 
 
@@ -46,7 +46,8 @@ def append_new(
     The written table itself is the seen set. It is partitioned by the first ``prefix``
     characters of the key, and a batch reads only the key column of the folders its own
     keys fall into. A batch writes its own folders, so a batch repeated after a failure
-    replaces its first try.
+    replaces its first try. The rows of a prefix are brought together first: a folder has few
+    files, however many tasks a batch has.
     """
     spark = stream.sparkSession
     seen_schema = f"{key} string, key_prefix string, batch_id long"
@@ -61,8 +62,10 @@ def append_new(
             (
                 new_records(rows, seen, key, latest, ties)
                 .withColumns({"key_prefix": start, "batch_id": F.lit(batch_id).cast("long")})
+                .hint("rebalance", "key_prefix")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
+                .option("compression", CODEC)
                 .partitionBy("key_prefix", "batch_id")
                 .parquet(path)
             )
