@@ -703,9 +703,9 @@ def staging_one_scan(spark, sf):
 @query(like("staging_one_scan"), number="sale_price_usd", text="sale_date")
 def union_sources(spark, sf):
     """The three staging models over the per-source raw tables, then their union."""
-    rows = t.enriched(spark, sf).withColumn("processing_date", t.as_of())
+    rows = t.enriched(spark, sf, monthly=True).withColumn("processing_date", t.as_of())
     path = scratch_path(spark, "source_tables")
-    sinks.write_source_tables(rows, path, grain="month")
+    sinks.write_source_tables(rows, path, grain="month", deal=False)
     stages = [
         marts.staged(scans.scan_table(spark, path, source), source, t.as_of_future())
         for source in fixed.STAGED_SOURCES
@@ -766,7 +766,7 @@ def grade_join_raw(spark, sf):
 
 def _written_marts(spark, sf) -> scans.Layout:
     layout = scans.Layout(scratch_path(spark, "layout"))
-    sinks.write_source_tables(t.enriched(spark, sf), layout.warehouse, grain="month")
+    sinks.write_source_tables(t.enriched(spark, sf, monthly=True), layout.warehouse, grain="month", deal=False)
     marts.build_marts(spark, layout, t.as_of_future(), t.seed(spark, sf), grain="files")
     return layout
 

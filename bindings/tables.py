@@ -112,12 +112,25 @@ def sales(spark: SparkSession, sf: str, dear: bool = False) -> DataFrame:
     return df.withColumn("record_hash", record_hash())
 
 
-def stored_sales(spark: SparkSession, sf: str) -> DataFrame:
+# How sales lie that go to folders by source and month; the first is told by the supplier alone.
+MONTHLY = "l_suppkey % 4", "trunc(l_shipdate, 'month')"
+
+
+def stored_sales(spark: SparkSession, sf: str, monthly: bool = False) -> DataFrame:
     """:func:`sales` over the written join, for what reads them several times: the columns of the
-    tables are stored, which are a fraction of the texts made of them."""
+    tables are stored, which are a fraction of the texts made of them. ``monthly`` sales are laid out
+    by source and month, which shuffles that fraction instead of the texts."""
     both = {c: name for name in ("lineitem", "part") for c in table(spark, sf, name).columns}
     read = [c for c in both if re.search(rf"\b{c}\b", SALES)]
-    joined = write_table(_bound(spark, sf, f"SELECT {', '.join(read)} {SALES_FROM}", ("lineitem", "part")), "joined")
+    text = f"SELECT {', '.join(read)} {SALES_FROM}"
+    if monthly:
+        lines = table(spark, sf, "lineitem").rdd.getNumPartitions()
+        for name in ("lineitem", "part"):
+            table(spark, sf, name).createOrReplaceTempView(name)
+        parts = max(4 * lines, spark.sparkContext.defaultParallelism)
+        joined = write_table(spark.sql(text).repartition(parts, *map(F.expr, MONTHLY)), "joined")
+    else:
+        joined = write_table(_bound(spark, sf, text, ("lineitem", "part")), "joined")
     joined.createOrReplaceTempView("joined_sales")
     return spark.sql(SALES.replace(SALES_FROM, "FROM joined_sales")).withColumn("record_hash", record_hash())
 
@@ -146,20 +159,21 @@ def runs_as_of() -> Column:
     return F.lit(RUNS_AS_OF).cast("timestamp_ntz").cast("timestamp")
 
 
-def ingested(spark: SparkSession, sf: str) -> DataFrame:
+def ingested(spark: SparkSession, sf: str, monthly: bool = False) -> DataFrame:
     """Stage 1. The load time is the scrape time, as the tables have no other clock."""
-    return keep_latest(stored_sales(spark, sf), ties=TIES, written=True).withColumn("ingested_at", F.col("scraped_at"))
+    by = [F.col("source"), F.trunc("sale_date", "month")] if monthly else []
+    return keep_latest(stored_sales(spark, sf, monthly), ties=TIES, written=True, by=by).withColumn("ingested_at", F.col("scraped_at"))
 
 
-def normalised(spark: SparkSession, sf: str) -> DataFrame:
+def normalised(spark: SparkSession, sf: str, monthly: bool = False) -> DataFrame:
     """Stages 1-2. Deduplicated rows feed the bounds and the flags; both read what is stored of them."""
-    rows = ingested(spark, sf).withColumn("includes_buyer_premium", stage_premium())
+    rows = ingested(spark, sf, monthly).withColumn("includes_buyer_premium", stage_premium())
     return flag_outliers(rows).withColumn("sale_type", normalised_sale_type())
 
 
-def enriched(spark: SparkSession, sf: str) -> DataFrame:
+def enriched(spark: SparkSession, sf: str, monthly: bool = False) -> DataFrame:
     """Stages 1-3."""
-    named = resolve_entities(normalised(spark, sf), aliases(spark, sf))
+    named = resolve_entities(normalised(spark, sf, monthly), aliases(spark, sf))
     return named.withColumn("sport", sport("card_set", "fighter_name_canonical"))
 
 

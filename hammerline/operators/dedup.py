@@ -37,6 +37,7 @@ def keep_latest(
     latest: str = "scraped_at",
     ties: Sequence[str] | None = None,
     written: bool = False,
+    by: Sequence[Column] = (),
 ) -> DataFrame:
     """Newest row per key. Among equally new rows the one with the largest ``ties``
     wins, then the largest remaining columns in order, so reruns agree.
@@ -48,8 +49,8 @@ def keep_latest(
     few that share a digest or a bit with them, the row itself, led by its order columns, is the
     value whose maximum is taken: each task reduces its own copies of a key to one row, so a hot
     key costs the shuffle one row per task. ``df`` is read three times and should be cheap to
-    read; with ``written`` so is the result, as what had to be shuffled is kept in a table. Rows
-    with a NULL key are not comparable and are left out; see :func:`split_null_key`.
+    read; with ``written`` so is the result, as what had to be shuffled is kept in a table, laid out
+    ``by`` columns that also lay out ``df``. Rows with a NULL key are not comparable and are left out; see :func:`split_null_key`.
     """
     order = [latest, *(ties or [])]
     sortable = _sortable(df)
@@ -65,7 +66,9 @@ def keep_latest(
     alone, again = _teller(repeated, key)(keyed)
     kept = again.groupBy(key).agg(newest.alias("_row"))
     kept = kept.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
-    return alone.unionByName(write_table(kept, "kept") if written else kept)
+    if not written:
+        return alone.unionByName(kept)
+    return alone.unionByName(write_table(kept.repartition(*by) if by else kept, "kept"))
 
 
 def _teller(digests: DataFrame, key: str) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:

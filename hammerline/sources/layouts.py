@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hammerline.session import is_small, materialise
+from hammerline.session import CODEC, is_small, materialise
 
 # What a bucket or file should hold at most.
 BUCKET_ROWS = 4_000_000
@@ -60,24 +60,28 @@ def _layout(path: str) -> str:
     return path.rstrip("/") + ".layout"
 
 
-def save_bucketed(df: DataFrame, path: str, buckets: Buckets) -> DataFrame:
+def save_bucketed(
+    df: DataFrame, path: str, buckets: Buckets, derive: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """Write a table by buckets, replacing it, and return it as Spark's catalog knows it.
 
-    Rows are shuffled once by the bucket's own hash. Adaptive execution splits a bucket that
+    Rows are shuffled once by the bucket's own hash. What ``derive`` adds, column by column, is made
+    after the shuffle and does not go through it. Adaptive execution splits a bucket that
     holds a large share of the rows over several tasks, and has one task write several small ones.
     """
     spark, name = df.sparkSession, _name(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = derive(df.hint("rebalance", buckets.number, *buckets.keys))
     (
-        df.hint("rebalance", buckets.number, *buckets.keys)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .format("parquet")
+        .option("compression", CODEC)
         .option("path", path)
         .bucketBy(buckets.number, *buckets.keys)
         .sortBy(*buckets.sort)
         .saveAsTable(name)
     )
-    spec = json.dumps(asdict(buckets) | {"schema": df.schema.jsonValue()})
+    spec = json.dumps(asdict(buckets) | {"schema": rows.schema.jsonValue()})
     spark.range(1).select(F.lit(spec).alias("value")).coalesce(1).write.mode("overwrite").text(_layout(path))
     return spark.table(name)
 
@@ -114,13 +118,18 @@ def clusters(days: DataFrame, rows_per_file: int) -> DataFrame:
     )
 
 
-def save_clustered(df: DataFrame, path: str, day: str, days: DataFrame, rows_per_file: int, sort: Sequence[str] = ()) -> None:
-    """Write a table in files of contiguous days; ``days`` (day, rows) says how busy each is."""
+def save_clustered(
+    df: DataFrame, path: str, day: str, days: DataFrame, rows_per_file: int, sort: Sequence[str] = (), hexed: Sequence[str] = ()
+) -> None:
+    """Write a table in files of contiguous days; ``days`` (day, rows) says how busy each is.
+    ``hexed`` columns, which hold keys in lowercase hex, are shuffled as bytes."""
     numbered = materialise(clusters(days, max(1, rows_per_file))).withColumnRenamed("day", "_day")
     side = F.broadcast(numbered) if is_small(numbered) else numbered
     spread = F.pmod(F.xxhash64(*df.columns), F.greatest("files", F.lit(1)))
     # Days that are not listed go with the first.
     cluster = F.coalesce(F.col("first") + spread, F.lit(0))
     placed = df.join(side, F.col(day) == F.col("_day"), "left").withColumn("_cluster", cluster)
-    placed = placed.select(*df.columns, "_cluster").hint("rebalance", "_cluster")
-    placed.sortWithinPartitions("_cluster", day, *sort).drop("_cluster").write.mode("overwrite").parquet(path)
+    placed = placed.select(*df.columns, "_cluster").withColumns({c: F.unhex(c) for c in hexed}).hint("rebalance", "_cluster")
+    ordered = placed.sortWithinPartitions("_cluster", day, *sort).drop("_cluster")
+    ordered = ordered.withColumns({c: F.lower(F.hex(c)) for c in hexed})
+    ordered.write.mode("overwrite").option("compression", CODEC).parquet(path)

@@ -8,8 +8,10 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from bindings import tables as t
 from hammerline.operators import dedup, incremental, rolling
 from hammerline.session import parts_apart, scratch_path
+from hammerline.sources import layouts, sinks
 from hammerline.sources.versions import Versions
 from hammerline.streaming import compact
 from hammerline.streaming import ingest as streaming
@@ -125,3 +127,32 @@ def test_a_prefix_gets_one_file_of_a_batch(spark, tmp_path):
         streaming.append_new(stream, str(tmp_path / "out"), str(tmp_path / "state"), prefix=1).awaitTermination()
     files = glob.glob(str(tmp_path / "out" / "*" / "*" / "*.parquet"))
     assert len(files) == 16 and spark.read.parquet(str(tmp_path / "out")).count() == 4000
+
+
+def test_what_is_derived_and_hex_does_not_go_through_shuffles(spark, tmp_path):
+    key = F.md5(F.col("id").cast("string"))
+    df = spark.range(300).select("id", (F.col("id") % 5).alias("k"), F.when(F.col("id") % 9 > 0, key).alias("key"), F.date_add(F.lit(DAY), (F.col("id") % 7).cast("int")).alias("day"))
+    by = layouts.Buckets(("k",), ("k", "id"), 4)
+    path = str(tmp_path / "bucketed")
+    layouts.save_bucketed(df.drop("key", "day"), path, by, lambda rows: rows.withColumn("own", F.md5(F.col("id").cast("string"))))
+    spark.sql(f"DROP TABLE {layouts._name(path)}")
+    assert values(layouts.open_bucketed(spark, path)) == values(df.select("id", "k", key))
+    days = df.groupBy("day").agg(F.count("*").alias("rows"))
+    layouts.save_clustered(df, str(tmp_path / "days"), "day", days, 50, ["key"], hexed=["key"])
+    back = spark.read.parquet(str(tmp_path / "days"))
+    assert back.columns == df.columns and values(back) == values(df)
+    codecs = {f.split(".")[-2] for folder in ("bucketed", "days") for f in glob.glob(str(tmp_path / folder / "*.parquet"))}
+    assert codecs == {"zstd"}
+
+
+def test_sales_laid_out_by_month_go_to_their_folders_as_they_lie(spark, sf, tmp_path):
+    laid = t.ingested(spark, sf, monthly=True)
+    assert values(laid.select("record_hash", "l_partkey", "sale_date")) == values(t.ingested(spark, sf).select("record_hash", "l_partkey", "sale_date"))
+    files = t.stored_sales(spark, sf, monthly=True).groupBy("source", F.trunc("sale_date", "month")).agg(F.countDistinct("_metadata.file_path").alias("files"))
+    assert files.where("files > 1").isEmpty()
+    path = str(tmp_path / "out")
+    sinks.write_source_tables(laid, path, grain="month", deal=False)
+    folders, found = glob.glob(f"{path}/*/*/"), glob.glob(f"{path}/*/*/*.parquet")
+    assert len(found) <= 2 * len(folders)  # one of single rows, one of the newest of copies
+    back = spark.read.parquet(path)
+    assert values(back.select("record_hash", "listing_title", "sale_price_usd")) == values(laid.select("record_hash", "listing_title", "sale_price_usd"))
