@@ -19,7 +19,7 @@ from hammerline.functions import text as tx
 from hammerline.operators import checks, dedup, incremental, measured, outliers, quantile_store, resolve, rolling, scd, snapshots, validate
 from hammerline.plans import certs, ingest, marts, monitor, parsing, serving
 from hammerline.schemas import RAW_SALE
-from hammerline.session import materialise, scratch_path, write_table
+from hammerline.session import CODEC, materialise, scratch_path, scratch_scope, shuffles_dropped, write_table
 from hammerline.sources import layouts, scans, sinks
 from hammerline.sources.versions import Versions
 from hammerline.streaming import compact, newest
@@ -1768,12 +1768,16 @@ def append_batches(spark, sf):
 @query(like("keep_latest"), number="sale_price_usd", text="sale_date")
 def stream_newest(spark, sf):
     """The newest row of each key by keyed state: the sales arrive in several batches, in no order."""
-    folder, path, state = (scratch_path(spark, name) for name in ("arrivals", "newest", "newest_state"))
-    rows = t.sales(spark, sf)
-    rows.withColumn("part", F.col("l_partkey") % 4).write.partitionBy("part").parquet(folder)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(folder).select(*rows.columns)
-    newest.write_newest(stream, path, state, ties=t.TIES, lateness="7300 days").awaitTermination()
+    path = scratch_path(spark, "newest")
+    with scratch_scope(spark), shuffles_dropped(spark):  # arrivals and state go once all have arrived
+        folder, state = scratch_path(spark, "arrivals"), scratch_path(spark, "newest_state")
+        rows = t.sales(spark, sf)
+        # As many files as cores have: a batch rewrites the state, so their number should not grow with the table.
+        files = rows.withColumn("part", F.col("l_partkey") % 4).coalesce(spark.sparkContext.defaultParallelism)
+        files.write.option("compression", CODEC).partitionBy("part").parquet(folder)
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(folder).select(*rows.columns)
+        newest.write_newest(stream, path, state, ties=t.TIES, lateness="7300 days").awaitTermination()
     return newest.keep_newest(spark.read.parquet(path), ties=t.TIES).select(*SALE_OUT, "l_partkey")
 
 

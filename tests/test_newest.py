@@ -2,11 +2,17 @@
 
 import datetime as dt
 import json
+import os
+import pickle
 import random
 
 import pytest
 from conftest import values
+from pyspark.sql import Row
+from test_spread import Handle
 
+from bindings import queries
+from hammerline import session
 from hammerline.operators.dedup import keep_latest
 from hammerline.session import scratch_path
 from hammerline.streaming import newest
@@ -93,3 +99,23 @@ def test_columns_are_checked(spark, tmp_path):
     rows = spark.readStream.schema("record_hash string, scraped_at timestamp, many array<int>").json(str(tmp_path))
     with pytest.raises(TypeError):
         newest.newest_changes(rows)
+
+
+def test_state_is_compressed_and_few_versions_are_kept(spark):
+    handle, made = Handle(), newest.Newest(["k", "at", "title"], 0, [1], 1, retention=10)
+    made.init(handle)
+    rows = [Row(k=f"k{i}", at=i * 1000, title=f"UFC card of the year, PSA 10, number {i}") for i in range(300)]
+    assert len(list(made.handleInputRows(0, iter(rows), None))) == 300
+    assert len(handle.kept[0]) < len(pickle.dumps([tuple(r) for r in rows])) / 2
+    assert made._held() == {r.k: tuple(r) for r in rows}
+    before = spark.conf.get(newest.RETAINED)
+    with newest._started_with(spark, None):
+        assert spark.conf.get(newest.RETAINED) == "2"
+    assert spark.conf.get(newest.RETAINED) == before
+
+
+def test_arrivals_and_state_go_with_the_stream(spark, sf, tmp_path, monkeypatch):
+    session.scratch_root(spark)
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    queries.QUERIES["stream_newest"](spark, sf)
+    assert {n.rsplit("-", 1)[0] for n in os.listdir(tmp_path / "hammerline")} == {"newest"}
