@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hammerline import schemas
 from hammerline.operators.dedup import new_records
-from hammerline.session import CODEC, scratch_scope, write_table
+from hammerline.session import CODEC, bytes_to_hex, hex_to_bytes, scratch_scope, shuffles_dropped, write_table
 from hammerline.sources.scans import or_empty
 
 
@@ -46,23 +46,24 @@ def append_new(
     The written table itself is the seen set. It is partitioned by the first ``prefix``
     characters of the key, and a batch reads only the key column of the folders its own
     keys fall into. A batch writes its own folders, so a batch repeated after a failure
-    replaces its first try. The rows of a prefix are brought together first: a folder has few
-    files, however many tasks a batch has.
+    replaces its first try. The rows of a prefix are brought together as the batch is stored, and
+    written as they lie: a folder has few files, however many tasks a batch has, and rows are shuffled
+    once. Shuffle files go with the step that made them.
     """
     spark = stream.sparkSession
     seen_schema = f"{key} string, key_prefix string, batch_id long"
     start = F.substring(F.col(key), 1, prefix)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with scratch_scope(spark):
-            rows = write_table(batch.where(F.col(key).isNotNull()), "batch")
+        with scratch_scope(spark), shuffles_dropped(batch.sparkSession):
+            keyed = hex_to_bytes(batch.where(F.col(key).isNotNull()).withColumn("key_prefix", start), key)
+            rows = write_table(bytes_to_hex(keyed.hint("rebalance", "key_prefix"), key).drop("key_prefix"), "batch")
             prefixes = [r[0] for r in rows.select(start).distinct().collect()]  # at most 16 ** prefix of a hash
             seen = or_empty(spark, seen_schema, lambda: spark.read.schema(seen_schema).parquet(path))
             seen = seen.where(F.col("key_prefix").isin(prefixes)).where(F.col("batch_id") < batch_id)
             (
                 new_records(rows, seen, key, latest, ties)
                 .withColumns({"key_prefix": start, "batch_id": F.lit(batch_id).cast("long")})
-                .hint("rebalance", "key_prefix")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .option("compression", CODEC)

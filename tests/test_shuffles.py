@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bindings import tables as t
 from hammerline.operators import dedup, incremental, rolling
-from hammerline.session import parts_apart, scratch_path
+from hammerline.session import SHUFFLES_DROPPED, parts_apart, scratch_path
 from hammerline.sources import layouts, sinks
 from hammerline.sources.versions import Versions
 from hammerline.streaming import compact
@@ -157,3 +157,34 @@ def test_sales_laid_out_by_month_go_to_their_folders_as_they_lie(spark, sf, tmp_
     assert len(found) <= 2 * len(folders)  # one of single rows, one of the newest of copies
     back = spark.read.parquet(path)
     assert values(back.select("record_hash", "listing_title", "sale_price_usd")) == values(laid.select("record_hash", "listing_title", "sale_price_usd"))
+
+
+def test_a_batch_is_stored_by_prefix_and_its_shuffles_go(spark, tmp_path, monkeypatch):
+    seen = []
+
+    def noted(rows, *args, plain=streaming.new_records):
+        placed = rows.select(F.substring("record_hash", 1, 1).alias("p"), F.input_file_name().alias("file"))
+        files = placed.groupBy("p").agg(F.countDistinct("file").alias("files"))
+        seen.append((rows.sparkSession.conf.get(SHUFFLES_DROPPED, None), max(r["files"] for r in files.collect())))
+        return plain(rows, *args)
+
+    monkeypatch.setattr(streaming, "new_records", noted)
+    keys = [f"{k}{i:02d}" for k in ("a", "b", "AB", "zz", "0f1", "") for i in range(50)]
+    spark.createDataFrame([(k, i % 3, i) for i, k in enumerate(keys * 2)], KEYED).repartition(8).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(KEYED).parquet(str(tmp_path / "in"))
+    streaming.append_new(stream, str(tmp_path / "out"), str(tmp_path / "state"), ties=["x"], prefix=1).awaitTermination()
+    assert seen == [("true", 1)]
+    whole = spark.read.parquet(str(tmp_path / "in"))
+    assert values(spark.read.parquet(str(tmp_path / "out")).select(whole.columns)) == values(dedup.keep_latest(whole, ties=["x"]))
+
+
+def test_many_frames_are_joined_without_sorting_rows(spark, monkeypatch):
+    odd = F.when(F.col("record_hash") == "h1", None).when(F.col("record_hash") == "h2", "").when(F.col("record_hash") == "h3", "AB").when(
+        F.col("record_hash") == "h4", "abc").when(F.col("record_hash") == "h5", F.sha2("record_hash", 256)).otherwise(F.col("record_hash"))
+    rows = priced(spark).withColumn("record_hash", odd)
+    want = values(rolling.rolling_by_date(rows))
+    monkeypatch.setattr(rolling, "is_small", lambda *_: False)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        rolled = rolling.rolling_by_date(rows)
+        assert "ShuffledHashJoin" in plan(rolled) and "SortMergeJoin" not in plan(rolled)
+        assert values(rolled) == want and rolled.columns[: len(rows.columns)] == rows.columns
