@@ -766,7 +766,8 @@ def grade_join_raw(spark, sf):
 
 def _written_marts(spark, sf) -> scans.Layout:
     layout = scans.Layout(scratch_path(spark, "layout"))
-    sinks.write_source_tables(t.enriched(spark, sf, monthly=True), layout.warehouse, grain="month", deal=False)
+    with scratch_scope(spark), shuffles_dropped(spark):  # what the source tables are made of goes before the marts are
+        sinks.write_source_tables(t.enriched(spark, sf, monthly=True), layout.warehouse, grain="month", deal=False)
     marts.build_marts(spark, layout, t.as_of_future(), t.seed(spark, sf), grain="files")
     return layout
 

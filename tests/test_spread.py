@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bindings import queries
 from bindings import tables as t
+from hammerline import session
 from hammerline.plans import ingest, marts
 from hammerline.schemas import RAW_SALE
 from hammerline.session import scratch_path, scratch_root, shuffles_dropped, spread_evenly, write_table
@@ -130,3 +131,23 @@ def test_only_columns_that_are_read_are_stored(spark, sf, monkeypatch):
     assert stored.pop("resolved") == set(marts.RESOLVED_COLUMNS)
     queries.QUERIES["rolling_rows_blocks"](spark, sf)
     assert stored.pop("fact") == {"fighter_id", "grade_id", "sale_date", "sale_id", "sale_price_usd"}
+
+
+def test_tables_on_the_way_to_marts_go_once_read(spark, sf, tmp_path, monkeypatch):
+    scratch_root(spark)
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    folders = lambda: {n.rsplit("-", 1)[0] for n in os.listdir(tmp_path / "hammerline")}
+    seen, build, bench = [], marts.build_marts, marts.fct_price_benchmarks
+    setting = spark.conf.get(CLEANUP, None)
+
+    def noted(plain):
+        def run(*args, **options):
+            seen.append((folders(), spark.conf.get(CLEANUP, None)))
+            return plain(*args, **options)
+
+        return run
+
+    monkeypatch.setattr(marts, "build_marts", noted(build))
+    monkeypatch.setattr(marts, "fct_price_benchmarks", noted(bench))
+    queries.QUERIES["mart_cards"](spark, sf)
+    assert seen == [({"layout"}, setting), ({"layout"}, "true")] and folders() == {"layout"}
